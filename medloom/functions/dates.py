@@ -1,8 +1,9 @@
 """Dates from text in several notations.
 
 A column accepts a list of order classes, tried in the listed order. Each class has a shape that is
-checked first, and the text is then rearranged to year-month-day and cast with ``try_cast``. That keeps
-the work in generated JVM code: a formatter-based parse would raise and catch an exception per bad row.
+checked first, months and days in range included, and the text is then rearranged to year-month-day and
+cast with ``try_cast``. A cast or a formatter given a bad date raises and catches an exception in the JVM,
+so only days like 31 February get that far. Rewriting keeps the generated code short enough to be compiled.
 """
 
 from __future__ import annotations
@@ -41,22 +42,30 @@ _MONTH = (
     "|sep(?:tember)?|oct(?:ober)?|nov(?:ember)?|dec(?:ember)?)"
 )
 _YEAR = "(?!0000)[0-9]{4}"
+_MM = "(?:0?[1-9]|1[0-2])"
+_DD = "(?:0?[1-9]|[12][0-9]|3[01])"
+_YY = "[0-9]{2}"
 _CLOCK = "(?:[01]?[0-9]|2[0-3]):[0-5][0-9]"
 _CLOCK12 = "(?:0?[1-9]|1[0-2]):[0-5][0-9](?::[0-5][0-9])? ?[AaPp][Mm]"
 
-# Shapes are tested on text whose '/' and '.' are already '-'. They exclude each other.
+# Shapes of each class, on text whose '/' and '.' are already '-', and how to write a match in
+# year-month-day order. Month names become numbers and two-digit years (marked 'y') full years afterwards.
 _SHAPES = {
-    YMD: f"^{_YEAR}-[0-9]{{1,2}}-[0-9]{{1,2}}$",
-    YMD_TIME: f"^{_YEAR}-[0-9]{{1,2}}-[0-9]{{1,2}} +{_CLOCK}(?::[0-5][0-9])?$",
-    YMD_TIME_FRACTION: f"^{_YEAR}-[0-9]{{1,2}}-[0-9]{{1,2}} +{_CLOCK}(?::[0-5][0-9](?:-[0-9]{{1,7}})?)?$",
-    COMPACT: f"^{_YEAR}[0-9]{{4}}$",
-    "NUM4": f"^[0-9]{{1,2}}-[0-9]{{1,2}}-{_YEAR}$",
-    "NUM2": "^ *[0-9]{1,2} *- *[0-9]{1,2} *- *[0-9] *[0-9]$",
-    MON: f"^(?i){_MONTH} +[0-9]{{1,2}}(?:, *| +){_YEAR}$",
-    MON_TIME: f"^(?i){_MONTH} +[0-9]{{1,2}},? +{_YEAR} +{_CLOCK12}$",
-    DAY_MON: f"^(?i)[0-9]{{1,2}}[- ]{_MONTH}[- ]{_YEAR}$",
+    YMD: (f"^({_YEAR}-{_MM}-{_DD})$", "$1"),
+    YMD_TIME: (f"^({_YEAR}-{_MM}-{_DD})(?: +{_CLOCK}(?::[0-5][0-9])?)?$", "$1"),
+    YMD_TIME_FRACTION: (f"^({_YEAR}-{_MM}-{_DD})(?: +{_CLOCK}(?::[0-5][0-9](?:-[0-9]{{1,7}})?)?)?$", "$1"),
+    COMPACT: (f"^({_YEAR})(0[1-9]|1[0-2])(0[1-9]|[12][0-9]|3[01])$", "$1-$2-$3"),
+    MDY: (f"^({_MM})-({_DD})-({_YEAR})$", "$3-$1-$2"),
+    DMY: (f"^({_DD})-({_MM})-({_YEAR})$", "$3-$2-$1"),
+    MDY2: (f"^({_MM})-({_DD})-({_YY})$", "y$3-$1-$2"),
+    DMY2: (f"^({_DD})-({_MM})-({_YY})$", "y$3-$2-$1"),
+    MON: (f"^(?i)({_MONTH}) +({_DD})(?:, *| +)({_YEAR})$", "$3-$1-$2"),
+    MON_TIME: (f"^(?i)({_MONTH}) +({_DD}),? +({_YEAR}) +{_CLOCK12}$", "$3-$1-$2"),
+    DAY_MON: (f"^(?i)({_DD})[- ]({_MONTH})[- ]({_YEAR})$", "$3-$2-$1"),
 }
-_SHAPE_OF = {MDY: "NUM4", DMY: "NUM4", MDY2: "NUM2", DMY2: "NUM2"}
+_NAMED = (MON, MON_TIME, DAY_MON)
+_SHORT = (MDY2, DMY2)
+_ISO = f"^{_YEAR}-{_MM}-{_DD}$"
 
 CREATED_SHAPE = (
     f"^{_YEAR}-[0-9]{{1,2}}-[0-9]{{1,2}}"
@@ -68,66 +77,60 @@ _MAX_SHIFT = 3652058  # days between the first and the last day
 
 def date_text(col: Column) -> Column:
     """The text with '/' and '.' written as '-'."""
-    return F.translate(col, "/.", "--")
+    return F.replace(F.replace(col, F.lit("/"), F.lit("-")), F.lit("."), F.lit("-"))
 
 
-def _month_number(name: Column) -> Column:
+def close_gaps(text: Column) -> Column:
+    """Remove the spaces on both sides of dashes."""
+    for _ in range(2):
+        text = F.replace(F.replace(text, F.lit(" -"), F.lit("-")), F.lit("- "), F.lit("-"))
+    return text
+
+
+def _rearranged(text: Column, kinds: Sequence[str]) -> Column:
+    """The text in year-month-day order if it has one of the shapes, else unchanged.
+
+    A rearranged text has none of the other shapes, so the first class that fits wins; a text with the
+    shapes of two classes is a real date under both.
+    """
+    for kind in kinds:
+        shape, order = _SHAPES[kind]
+        text = F.regexp_replace(text, shape, order)
+    return text
+
+
+def _numbered_month(text: Column) -> Column:
+    """'2021-Apr-3' as '2021-04-3'; NULL where the middle part is no month name."""
     pairs = [F.lit(x) for pair in MONTHS.items() for x in pair]
-    return F.try_element_at(F.create_map(*pairs), F.lower(F.substring(name, 1, 3)))
-
-
-def _iso(year: Column, month: Column, day: Column) -> Column:
-    return F.concat(year, F.lit("-"), month, F.lit("-"), day).try_cast("date")
-
-
-def _full_year(two_digits: Column) -> Column:
-    """00-29 are 2000-2029, 30-99 are 1930-1999."""
-    return F.concat(F.when(two_digits < "30", F.lit("20")).otherwise(F.lit("19")), two_digits)
-
-
-def _read(kind: str, text: Column) -> Column:
-    """The date in a text that already has the shape of ``kind``."""
-    if kind == YMD:
-        return text.try_cast("date")
-    if kind in (YMD_TIME, YMD_TIME_FRACTION):
-        return F.substring_index(text, " ", 1).try_cast("date")
-    if kind == COMPACT:
-        return _iso(F.substring(text, 1, 4), F.substring(text, 5, 2), F.substring(text, 7, 2))
-    if kind in (MDY, DMY):
-        first = F.substring_index(text, "-", 1)
-        second = F.substring_index(F.substring_index(text, "-", 2), "-", -1)
-        year = F.substring_index(text, "-", -1)
-        return _iso(year, first, second) if kind == MDY else _iso(year, second, first)
-    if kind in (MDY2, DMY2):
-        digits = F.replace(text, F.lit(" "), F.lit(""))
-        first = F.substring_index(digits, "-", 1)
-        second = F.substring_index(F.substring_index(digits, "-", 2), "-", -1)
-        year = _full_year(F.substring_index(digits, "-", -1))
-        return _iso(year, first, second) if kind == MDY2 else _iso(year, second, first)
-    if kind in (MON, MON_TIME):
-        day = F.regexp_extract(text, " +([0-9]{1,2})", 1)
-        year = F.regexp_extract(text, "([0-9]{4})", 1)
-        return _iso(year, _month_number(text), day)
-    if kind == DAY_MON:
-        day = F.regexp_extract(text, "^([0-9]{1,2})", 1)
-        name = F.regexp_extract(text, "([A-Za-z]+)", 1)
-        year = F.regexp_extract(text, "([0-9]{4})$", 1)
-        return _iso(year, _month_number(name), day)
-    raise ValueError(f"unknown date class {kind}")
+    number = F.try_element_at(F.create_map(*pairs), F.lower(F.substring(text, 6, 3)))
+    return F.concat(F.substring(text, 1, 5), number, F.lit("-"), F.substring_index(text, "-", -1))
+
+
+def _full_year(text: Column) -> Column:
+    """'y21-4-3' as '2021-4-3': 00-29 are 2000-2029, 30-99 are 1930-1999."""
+    text = F.regexp_replace(text, "^y([0-2])", "20$1")
+    return F.regexp_replace(text, "^y([3-9])", "19$1")
+
+
+def date_order(text: Column, classes: Sequence[str]) -> Column:
+    """The text rewritten to year-month-day where it fits one of the classes, tried in order."""
+    numeric = [k for k in classes if k in (MDY, DMY)]
+    short = [k for k in classes if k in _SHORT]
+    timed = [k for k in classes if k in (YMD_TIME, YMD_TIME_FRACTION)]
+    compact = [k for k in classes if k == COMPACT]
+    named = [k for k in classes if k in _NAMED]
+    dash = F.instr(text, "-")
+    out = F.when(dash == 5, _rearranged(text, timed))
+    if named:
+        out = out.when(text.rlike("[A-Za-z]"), _numbered_month(_rearranged(text, named)))
+    if short:
+        out = out.when(text.rlike("^[0-9]{1,2}-[0-9]{1,2}-[0-9]{2}$"), _full_year(_rearranged(text, short)))
+    return out.otherwise(_rearranged(text, numeric + compact))
 
 
 def parse_date(text: Column, classes: Sequence[str]) -> Column:
     """First class, in order, whose shape and calendar fit. ``text`` must come from ``date_text``."""
-    by_shape: dict[str, list[str]] = {}
-    for kind in classes:
-        by_shape.setdefault(_SHAPE_OF.get(kind, kind), []).append(kind)
-    out = None
-    for shape, kinds in by_shape.items():
-        readings = [_read(kind, text) for kind in kinds]
-        value = F.coalesce(*readings) if len(readings) > 1 else readings[0]
-        fits = text.rlike(_SHAPES[shape])
-        out = F.when(fits, value) if out is None else out.when(fits, value)
-    return out
+    return F.regexp_extract(date_order(text, classes), _ISO, 0).try_cast("date")
 
 
 def parse_created(text: Column) -> Column:

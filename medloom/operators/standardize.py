@@ -3,11 +3,14 @@
 Every job is a chain of narrow projections: clean text, drop placeholder tokens, convert, filter on the
 required keys. There is no join, no explode and no shuffle, so each runs as one map stage whose tasks
 are independent, and a consumer that needs three columns reads and converts only those three.
+
+Placeholder tokens are tested only in free text: none of them reads as a number, date, code or label.
+A text that a later step uses more than once gets a projection of its own, so it is computed once.
 """
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -28,13 +31,22 @@ HOSPITAL_BEDS = (
 )
 
 
-def _tokens(raw: DataFrame, widths: Mapping[str, int], tokens: Sequence[str], days: Sequence[str] = ()) -> DataFrame:
-    """Cleaned texts with placeholders as NULL; date columns in ``days`` get '-' as their separator."""
+def _clean(
+    raw: DataFrame,
+    widths: Mapping[str, int],
+    tokens: Sequence[str],
+    texts: Sequence[str] = (),
+    prepared: Mapping[str, Callable[[Column], Column]] | None = None,
+) -> DataFrame:
+    """Cleaned columns; ``texts`` lose placeholders, ``prepared`` columns get a first rewriting."""
+    prepared = prepared or {}
     clean = raw.select(*[S.clean_text(c(name), width).alias(name) for name, width in widths.items()])
-    present = [(name, S.null_tokens(c(name), tokens)) for name in widths]
-    return clean.select(
-        *[(D.date_text(value) if name in days else value).alias(name) for name, value in present]
-    )
+
+    def second(name: str) -> Column:
+        value = S.null_tokens(c(name), tokens) if name in texts else c(name)
+        return prepared[name](value).alias(name) if name in prepared else value.alias(name)
+
+    return clean.select(*[second(name) for name in widths])
 
 
 def _keep(df: DataFrame, *keys: str) -> DataFrame:
@@ -53,7 +65,7 @@ def standardize_admissions(raw: DataFrame) -> DataFrame:
     ids = ("admission_id", "patient_id", "hospital_id", "department_id", "length_of_stay")
     days = ("admission_date", "discharge_date")
     texts = ("admission_type", "discharge_status", "room_number", "attending_physician")
-    tokens = _tokens(raw, _same(ids + days + texts), S.COMMON_TOKENS, days)
+    tokens = _clean(raw, _same(ids + days + texts), S.COMMON_TOKENS, texts, dict.fromkeys(days, D.date_text))
     typed = _keep(
         tokens.select(
             *[N.safe_int(c(x)).alias(x) for x in ids],
@@ -105,7 +117,7 @@ def standardize_billing(raw: DataFrame) -> DataFrame:
     """Bills with nine money columns."""
     names = ("bill_id", "admission_id", "bill_date", "payment_date", "payment_status", *CHARGES)
     days = ("bill_date", "payment_date")
-    tokens = _tokens(raw, _same(names), S.COMMON_TOKENS, days)
+    tokens = _clean(raw, _same(names), S.COMMON_TOKENS, (), dict.fromkeys(days, D.date_text))
     return _keep(
         tokens.select(
             N.safe_int(c("bill_id")).alias("bill_id"),
@@ -121,7 +133,7 @@ def standardize_billing(raw: DataFrame) -> DataFrame:
 def standardize_departments(raw: DataFrame) -> DataFrame:
     """Departments with bed counts; ids above 255 do not fit and drop the row."""
     names = ("department_id", "hospital_id", "dept_name", "hod", "bed_count", "avg_occupancy")
-    tokens = _tokens(raw, _same(names), S.COMMON_TOKENS)
+    tokens = _clean(raw, _same(names), S.COMMON_TOKENS, ("dept_name", "hod"))
     return _keep(
         tokens.select(
             N.safe_int(c("department_id"), "tinyint").alias("department_id"),
@@ -140,7 +152,10 @@ def standardize_diagnoses(raw: DataFrame) -> DataFrame:
     names = (
         "diagnosis_id", "admission_id", "diagnosis_date", "icd_code", "diagnosis_type", "diagnosis_description",
     )
-    tokens = _tokens(raw, _same(names), S.COMMON_TOKENS, ("diagnosis_date",))
+    tokens = _clean(
+        raw, _same(names), S.COMMON_TOKENS, ("diagnosis_description",),
+        {"diagnosis_date": lambda x: D.close_gaps(D.date_text(x))},
+    )
     return _keep(
         tokens.select(
             N.safe_int(c("diagnosis_id")).alias("diagnosis_id"),
@@ -160,7 +175,9 @@ def standardize_hospitals(raw: DataFrame) -> DataFrame:
         "hospital_id", "hospital_name", "branch_location", "total_beds", *HOSPITAL_BEDS,
         "icu_percentage", "established_year", "accreditation",
     )
-    tokens = _tokens(raw, _same(names), S.COMMON_TOKENS)
+    tokens = _clean(
+        raw, _same(names), S.COMMON_TOKENS, ("hospital_name", "branch_location", "accreditation"),
+    )
     return _keep(
         tokens.select(
             N.safe_int(c("hospital_id"), "tinyint").alias("hospital_id"),
@@ -182,7 +199,10 @@ def standardize_lab_results(raw: DataFrame) -> DataFrame:
         "lab_result_id", "admission_id", "test_date", "test_name", "result_value", "unit",
         "reference_range", "status", "lab_technician",
     )
-    tokens = _tokens(raw, _same(names), S.LAB_TOKENS, ("test_date",))
+    tokens = _clean(
+        raw, _same(names), S.LAB_TOKENS,
+        ("test_name", "unit", "reference_range", "status", "lab_technician"), {"test_date": D.date_text},
+    )
     return _keep(
         tokens.select(
             N.safe_int(c("lab_result_id")).alias("lab_result_id"),
@@ -215,7 +235,9 @@ PROVIDER_WIDTHS = {
 
 def standardize_patients(raw: DataFrame) -> DataFrame:
     """Patients. Rows without a patient id stay."""
-    tokens = _tokens(raw, PATIENT_WIDTHS, S.PATIENT_TOKENS, ("date_of_birth",))
+    tokens = _clean(
+        raw, PATIENT_WIDTHS, S.PATIENT_TOKENS, ("mrn", "area"), {"date_of_birth": D.date_text},
+    )
     return tokens.select(
         N.safe_int(c("patient_id")).alias("patient_id"),
         "mrn",
@@ -231,7 +253,14 @@ def standardize_patients(raw: DataFrame) -> DataFrame:
 
 def standardize_procedures(raw: DataFrame) -> DataFrame:
     """Procedures with five-digit codes and title-cased descriptions."""
-    tokens = _tokens(raw, PROCEDURE_WIDTHS, S.PROCEDURE_TOKENS, ("procedure_date",))
+    tokens = _clean(
+        raw, PROCEDURE_WIDTHS, S.PROCEDURE_TOKENS, ("procedure_description",),
+        {
+            "cpt_code": N.cpt_number,
+            "procedure_description": S.spaced_commas,
+            "procedure_date": D.date_text,
+        },
+    )
     return _keep(
         tokens.select(
             N.safe_int(c("procedure_id")).alias("procedure_id"),
@@ -248,7 +277,10 @@ def standardize_procedures(raw: DataFrame) -> DataFrame:
 
 def standardize_providers(raw: DataFrame) -> DataFrame:
     """Providers with title-cased names."""
-    tokens = _tokens(raw, PROVIDER_WIDTHS, S.PROVIDER_TOKENS)
+    tokens = _clean(
+        raw, PROVIDER_WIDTHS, S.PROVIDER_TOKENS, ("name", "specialty"),
+        {"years_experience": lambda x: N.safe_int(x, "tinyint")},
+    )
     return _keep(
         tokens.select(
             N.safe_int(c("provider_id")).alias("provider_id"),

@@ -18,6 +18,7 @@ def spark(tmp_path_factory):
         master="local[8]",
         spark__sql__shuffle__partitions="8",
         spark__ui__enabled="false",
+        spark__ui__showConsoleProgress="false",
         spark__driver__memory="6g",
         spark__checkpoint__dir=str(tmp_path_factory.mktemp("shared")),
     )
