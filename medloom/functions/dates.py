@@ -13,6 +13,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from medloom.functions.binding import let
+
 YMD = "YMD"
 YMD_TIME = "YMD_TIME"
 YMD_TIME_FRACTION = "YMD_TIME_FRACTION"
@@ -72,7 +74,6 @@ CREATED_SHAPE = (
     r"(?:[ T](?:[01]?[0-9]|2[0-3]):[0-5][0-9](?::[0-5][0-9](?:\.[0-9]{1,7})?)?)?$"
 )
 FIRST_DAY, LAST_DAY = "0001-01-01", "9999-12-31"
-_MAX_SHIFT = 3652058  # days between the first and the last day
 
 
 def date_text(col: Column) -> Column:
@@ -130,23 +131,32 @@ def date_order(text: Column, classes: Sequence[str]) -> Column:
 
 def parse_date(text: Column, classes: Sequence[str]) -> Column:
     """First class, in order, whose shape and calendar fit. ``text`` must come from ``date_text``."""
-    return F.regexp_extract(date_order(text, classes), _ISO, 0).try_cast("date")
+    return let(text, lambda t: F.regexp_extract(date_order(t, classes), _ISO, 0).try_cast("date"))
 
 
 def parse_created(text: Column) -> Column:
     """ISO date or date-time, rounded half up to whole seconds, without a time zone."""
-    seconds = F.substring_index(text, ".", 1).try_cast("timestamp_ntz")
-    fraction = F.substring_index(text, ".", -1)
-    rounds_up = F.contains(text, F.lit(".")) & (F.substring(fraction, 1, 1) >= "5")
-    value = F.when(rounds_up, seconds + F.expr("INTERVAL '1' SECOND")).otherwise(seconds)
-    return F.when(text.rlike(CREATED_SHAPE), value)
 
+    def read(t: Column) -> Column:
+        seconds = F.substring_index(t, ".", 1).try_cast("timestamp_ntz")
+        rounds_up = t.rlike(r"\.[5-9]")
+        value = F.when(rounds_up, seconds + F.expr("INTERVAL '1' SECOND")).otherwise(seconds)
+        return F.when(t.rlike(CREATED_SHAPE), value)
 
-def shift_days(day: Column, days: Column) -> Column:
-    """``day`` moved by ``days``; NULL when the shift alone cannot stay in the calendar."""
-    return F.when(days.between(-_MAX_SHIFT, _MAX_SHIFT), F.date_add(day, days.cast("int")))
+    return let(text, read)
 
 
 def in_calendar(day: Column) -> Column:
     """NULL for dates outside years 1 to 9999."""
-    return F.when(day.between(F.lit(FIRST_DAY).cast("date"), F.lit(LAST_DAY).cast("date")), day)
+    first, last = F.lit(FIRST_DAY).cast("date"), F.lit(LAST_DAY).cast("date")
+    return let(day, lambda d: F.when(d.between(first, last), d))
+
+
+def days_after(day: Column, days: Column) -> Column:
+    """``day`` plus whole days; NULL outside the calendar."""
+    return in_calendar(F.try_add(day, days))
+
+
+def days_before(day: Column, days: Column) -> Column:
+    """``day`` minus whole days; NULL outside the calendar."""
+    return in_calendar(F.try_subtract(day, days))

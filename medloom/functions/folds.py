@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -93,6 +93,12 @@ def fold(col: Column, mapping: Mapping[str, str], default: str = "null") -> Colu
     raise ValueError(f"unknown default {default}")
 
 
+def fold_or_na(col: Column, mapping: Mapping[str, str], tokens: Sequence[str]) -> Column:
+    """Like ``fold`` with sentence case, from cleaned text; placeholders and missing texts become 'NA'."""
+    known = {**dict.fromkeys(tokens, "NA"), **mapping}
+    return F.coalesce(fold(col, known, "sentence"), F.lit("NA"))
+
+
 def fold_gender(col: Column) -> Column:
     """Male, Female, Other or NULL."""
     key = F.upper(col)

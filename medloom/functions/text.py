@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from medloom.functions.binding import let
+
 # Placeholder texts that mean "no value", per source (upper case).
 COMMON_TOKENS = ("", "NULL", "N/A", "TBD", "-")
 LAB_TOKENS = ("", "NULL", "N/A", "TBD", "-", "SEE ATTACHED")
@@ -66,8 +68,8 @@ def cut(col: Column, width: int) -> Column:
 
 
 def or_na(col: Column) -> Column:
-    """'NA' where the value is missing or only spaces."""
-    return F.when(F.trim(col) != "", col).otherwise(F.lit("NA"))
+    """'NA' where the value is missing; for texts that cannot be blank."""
+    return F.coalesce(col, F.lit("NA"))
 
 
 def concat_blank(*cols: Column) -> Column:
@@ -80,13 +82,15 @@ def physician_core(col: Column) -> Column:
 
     Any name that starts with the letters 'dr' loses them ('Drake' -> 'ake'), as in the source rule.
     """
-    head = F.upper(F.substring(col, 1, 3))
-    rest = (
-        F.when(head == "DR.", F.substring(col, 4, 4000))
-        .when(head.startswith("DR"), F.substring(col, 3, 4000))
-        .otherwise(col)
-    )
-    return F.nullif(F.ltrim(rest), F.lit(""))
+    def strip(name: Column) -> Column:
+        head = F.upper(F.substring(name, 1, 3))
+        return (
+            F.when(head == "DR.", F.substring(name, 4, 4000))
+            .when(head.startswith("DR"), F.substring(name, 3, 4000))
+            .otherwise(name)
+        )
+
+    return F.nullif(F.ltrim(let(col, strip)), F.lit(""))
 
 
 def physician_label(core: Column) -> Column:

@@ -65,51 +65,46 @@ def standardize_admissions(raw: DataFrame) -> DataFrame:
     ids = ("admission_id", "patient_id", "hospital_id", "department_id", "length_of_stay")
     days = ("admission_date", "discharge_date")
     texts = ("admission_type", "discharge_status", "room_number", "attending_physician")
-    tokens = _clean(raw, _same(ids + days + texts), S.COMMON_TOKENS, texts, dict.fromkeys(days, D.date_text))
+    tokens = _clean(
+        raw, _same(ids + days + texts), S.COMMON_TOKENS, ("room_number", "attending_physician"),
+        dict.fromkeys(days, D.date_text),
+    )
     typed = _keep(
         tokens.select(
             *[N.safe_int(c(x)).alias(x) for x in ids],
             *[D.parse_date(c(x), D.STAY_CLASSES).alias(x) for x in days],
-            M.fold(c("admission_type"), M.ADMISSION_TYPES, "sentence").alias("admission_type"),
-            M.fold(c("discharge_status"), M.DISCHARGE_STATUSES, "sentence").alias("discharge_status"),
-            F.upper(S.cut(c("room_number"), 12)).alias("room_number"),
+            M.fold_or_na(c("admission_type"), M.ADMISSION_TYPES, S.COMMON_TOKENS).alias("admission_type"),
+            M.fold_or_na(c("discharge_status"), M.DISCHARGE_STATUSES, S.COMMON_TOKENS).alias("discharge_status"),
+            S.or_na(F.upper(S.cut(c("room_number"), 12))).alias("room_number"),
             S.physician_core(c("attending_physician")).alias("attending_physician"),
         ),
         "admission_id",
     )
-    moved = typed.select(
-        "*",
-        D.shift_days(c("discharge_date"), -c("length_of_stay").cast("long")).alias("back"),
-        D.shift_days(c("admission_date"), c("length_of_stay")).alias("ahead"),
-    )
-    imputed = moved.select(
-        "*",
-        D.in_calendar(c("back")).alias("admission_date_imputed"),
-        D.in_calendar(c("ahead")).alias("discharge_date_imputed"),
-    )
     stay_known = c("length_of_stay").isNotNull()
-    return imputed.select(
+    begun = D.days_before(c("discharge_date"), c("length_of_stay"))
+    ended = D.days_after(c("admission_date"), c("length_of_stay"))
+    return typed.select(
         "admission_id",
         "admission_date",
         "patient_id",
         "hospital_id",
         "department_id",
         "discharge_date",
-        S.or_na(c("admission_type")).alias("admission_type"),
-        S.or_na(c("discharge_status")).alias("discharge_status"),
+        "admission_type",
+        "discharge_status",
         "length_of_stay",
-        S.or_na(c("room_number")).alias("room_number"),
+        "room_number",
         S.or_na(S.physician_label(c("attending_physician"))).alias("attending_physician"),
-        "admission_date_imputed",
-        "discharge_date_imputed",
+        begun.alias("admission_date_imputed"),
+        ended.alias("discharge_date_imputed"),
         (c("admission_date").isNull() & c("discharge_date").isNotNull() & stay_known).alias(
             "is_admission_date_imputed"
         ),
         (c("discharge_date").isNull() & c("admission_date").isNotNull() & stay_known).alias(
             "is_discharge_date_imputed"
         ),
-        F.coalesce("admission_date", "admission_date_imputed").alias("admission_date_final"),
-        F.coalesce("discharge_date", "discharge_date_imputed").alias("discharge_date_final"),
+        F.coalesce(c("admission_date"), begun).alias("admission_date_final"),
+        F.coalesce(c("discharge_date"), ended).alias("discharge_date_final"),
     )
 
 

@@ -237,7 +237,7 @@ def rule(raw: str, column: str, expr: str, alias: str, tokens=S.COMMON_TOKENS, w
     return (
         f"with c as (select {C.clean(column, width)} v from ({raw_duckdb(raw)})), "
         f"t as (select {C.token('v', tokens)} v from c) "
-        f"select v as input, {expr} {alias}, count(*) n from t group by all"
+        f"select v as input, {expr} as {alias}, count(*) n from t group by all"
     )
 
 
@@ -258,11 +258,11 @@ def kpi_occupancy() -> str:
       e as (select department_id, a, d,
         unnest(generate_series(date_trunc('month', a), date_trunc('month', d - 1), interval 1 month))::date m from s),
       p as (select department_id, m,
-        sum(least(d, (m + interval 1 month)::date) - greatest(a, m)) days from e group by 1, 2),
+        sum(least(d, (m + interval 1 month)::date) - greatest(a, m)) as n_days from e group by 1, 2),
       b as (select department_id, sum(bed_count) beds from {std('departments')} group by 1)
-      select cast(p.department_id as integer) department_id, m as "month", cast(days as bigint) patient_days,
-        cast(beds as bigint) beds, round(cast(days as double) / nullif(beds * day(last_day(m)), 0), 6) occupancy
-      from p join b using (department_id) where days > 0"""
+      select cast(p.department_id as integer) department_id, m as "month", cast(n_days as bigint) patient_days,
+        cast(beds as bigint) beds, round(cast(n_days as double) / nullif(beds * day(last_day(m)), 0), 6) occupancy
+      from p join b using (department_id) where n_days > 0"""
 
 
 def kpi_revenue_tieout() -> str:
@@ -432,7 +432,7 @@ CHECKS: dict[str, str] = {
     "semi_exists": f"select * from {std('admissions')} where admission_id in (select admission_id from {std('lab_results')})",
     "preview": f"select * from {std('admissions')} order by admission_date nulls first, admission_id limit 25",
     "listagg_top": f"""with g as (select diagnosis_type, icd_code, count(*) f from {std('diagnoses')}
-        where icd_code is not null group by all qualify row_number() over (partition by diagnosis_type order by f desc, icd_code) <= 5)
+        where icd_code is not null group by 1, 2 qualify row_number() over (partition by diagnosis_type order by f desc, icd_code) <= 5)
       select diagnosis_type, string_agg(icd_code || ' (' || f || ')', ', ' order by f desc, icd_code) top_codes from g group by 1""",
     "export_csv": f"select test_name, {_text('results')} results, {_text('timed_results')} timed_results from ({kpi_labs()})",
     "fold_admission_type": rule(
@@ -457,23 +457,23 @@ CHECKS: dict[str, str] = {
     "title_description": rule(
         "raw_procedures", "procedure_description", C.description("v"), "title", S.PROCEDURE_TOKENS, 400
     ),
-    "parse_dates_stay": rule("raw_admissions", "admission_date", C.day(C.dashed("v"), C.STAY), "day"),
+    "parse_dates_stay": rule("raw_admissions", "admission_date", C.day(C.dashed("v"), C.STAY), "parsed"),
     "parse_dates_diagnosis": rule(
-        "raw_diagnoses", "diagnosis_date", C.day(C.dashed("v"), ["ymd", "ymd_time", "dmy", "mdy", "dmy2", "mdy2"]), "day"
+        "raw_diagnoses", "diagnosis_date", C.day(C.dashed("v"), ["ymd", "ymd_time", "dmy", "mdy", "dmy2", "mdy2"]), "parsed"
     ),
     "parse_dates_test": rule(
-        "raw_lab_results", "test_date", C.day(C.dashed("v"), ["ymd", "dmy", "mdy"]), "day", S.LAB_TOKENS
+        "raw_lab_results", "test_date", C.day(C.dashed("v"), ["ymd", "dmy", "mdy"]), "parsed", S.LAB_TOKENS
     ),
     "parse_dates_birth": rule(
-        "raw_patients", "date_of_birth", C.day(C.dashed("v"), ["ymd", "compact", "mdy", "dmy"]), "day",
+        "raw_patients", "date_of_birth", C.day(C.dashed("v"), ["ymd", "compact", "mdy", "dmy"]), "parsed",
         S.PATIENT_TOKENS, 60,
     ),
     "parse_dates_procedure": rule(
-        "raw_procedures", "procedure_date", C.day(C.dashed("v"), ["ymd", "compact", "mdy", "dmy", "mon"]), "day",
+        "raw_procedures", "procedure_date", C.day(C.dashed("v"), ["ymd", "compact", "mdy", "dmy", "mon"]), "parsed",
         S.PROCEDURE_TOKENS, 60,
     ),
     "parse_dates_created": rule(
-        "raw_patients", "created_date", C.created("v"), "day", S.PATIENT_TOKENS, 60
+        "raw_patients", "created_date", C.created("v"), "parsed", S.PATIENT_TOKENS, 60
     ),
     "kpi_los_monthly": kpi_los_monthly(),
     "kpi_occupancy": kpi_occupancy(),

@@ -54,29 +54,31 @@ def all_std(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
 
 def on_raw(
     raw: str, column: str, build: Callable[..., Column], alias: str,
-    tokens: tuple[str, ...] | None = S.COMMON_TOKENS, width: int = 255,
+    tokens: tuple[str, ...] = S.COMMON_TOKENS, width: int = 255, prepare: Callable[..., Column] | None = None,
 ) -> Query:
-    """One rule over one raw column: distinct (input, output) pairs with their row counts."""
+    """One rule over one raw column: distinct (input, output) pairs with their row counts.
+
+    Inputs are counted first, so a rule runs once per distinct text. ``prepare`` is a first step of the rule.
+    """
 
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        df = raw_table(spark, sf_dir, raw).select(S.clean_text(F.col(column), width).alias("input"))
-        if tokens:
-            df = df.select(S.null_tokens(F.col("input"), tokens).alias("input"))
-        return (
-            df.select("input", build(F.col("input")).alias(alias))
-            .groupBy("input", alias)
+        cleaned = raw_table(spark, sf_dir, raw).select(S.clean_text(F.col(column), width).alias("input"))
+        inputs = (
+            cleaned.select(S.null_tokens(F.col("input"), tokens).alias("input"))
+            .groupBy("input")
             .agg(F.count(F.lit(1)).alias("n"))
         )
+        prepared = inputs.select("input", "n", (prepare or (lambda c: c))(F.col("input")).alias("prepared"))
+        return prepared.select("input", build(F.col("prepared")).alias(alias), "n")
 
     return run
 
 
-def parse_query(raw: str, column: str, classes: tuple[str, ...], gaps: bool = False) -> Query:
-    def build(text: Column) -> Column:
-        dashed = D.date_text(text)
-        return D.parse_date(D.close_gaps(dashed) if gaps else dashed, classes)
-
-    return on_raw(raw, column, build, "day")
+def parse_query(
+    raw: str, column: str, classes: tuple[str, ...], tokens: tuple[str, ...] = S.COMMON_TOKENS, width: int = 255,
+    prepare: Callable[..., Column] = D.date_text,
+) -> Query:
+    return on_raw(raw, column, lambda c: D.parse_date(c, classes), "parsed", tokens, width, prepare)
 
 
 def _std_query(entity: str) -> Query:
@@ -365,10 +367,6 @@ def negative_stays(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _titles(entity: str, column: str, tokens: tuple[str, ...], width: int, build: Callable[..., Column]) -> Query:
-    return on_raw(f"raw_{entity}", column, build, "title", tokens, width)
-
-
 QUERIES: dict[str, Query] = {
     **{f"std_{e}": _std_query(e) for e in STANDARDIZE},
     **{f"health_{e}": _health_query(e) for e in STANDARDIZE},
@@ -410,34 +408,31 @@ QUERIES: dict[str, Query] = {
     "fold_accreditation": on_raw("raw_hospitals", "accreditation", M.fold_accreditation, "label"),
     "valid_icd": on_raw("raw_diagnoses", "icd_code", N.icd_code, "code"),
     "valid_cpt": on_raw(
-        "raw_procedures", "cpt_code", lambda c: N.cpt_code(N.cpt_number(c)), "code", S.PROCEDURE_TOKENS, 20
+        "raw_procedures", "cpt_code", N.cpt_code, "code", S.PROCEDURE_TOKENS, 20, N.cpt_number
     ),
     "valid_pincode": on_raw("raw_patients", "pincode", N.pincode, "code", S.PATIENT_TOKENS, 20),
-    "title_name": _titles(
-        "providers", "name", S.PROVIDER_TOKENS, 200, lambda c: S.title_words(S.squeeze_spaces(c, 2), True)
+    "title_name": on_raw(
+        "raw_providers", "name", lambda c: S.title_words(c, True), "title", S.PROVIDER_TOKENS, 200,
+        lambda c: S.squeeze_spaces(c, 2),
     ),
-    "title_specialty": _titles(
-        "providers", "specialty", S.PROVIDER_TOKENS, 200, lambda c: S.title_words(S.squeeze_spaces(c, 2))
+    "title_specialty": on_raw(
+        "raw_providers", "specialty", S.title_words, "title", S.PROVIDER_TOKENS, 200, lambda c: S.squeeze_spaces(c, 2)
     ),
-    "title_description": _titles(
-        "procedures", "procedure_description", S.PROCEDURE_TOKENS, 400,
-        lambda c: S.cut(S.title_description(S.spaced_commas(c)), 200),
+    "title_description": on_raw(
+        "raw_procedures", "procedure_description", lambda c: S.cut(S.title_description(c), 200), "title",
+        S.PROCEDURE_TOKENS, 400, S.spaced_commas,
     ),
     "parse_dates_stay": parse_query("raw_admissions", "admission_date", D.STAY_CLASSES),
-    "parse_dates_diagnosis": parse_query("raw_diagnoses", "diagnosis_date", D.DIAGNOSIS_CLASSES, True),
-    "parse_dates_test": on_raw(
-        "raw_lab_results", "test_date", lambda c: D.parse_date(D.date_text(c), D.TEST_CLASSES), "day", S.LAB_TOKENS
-    ),
-    "parse_dates_birth": on_raw(
-        "raw_patients", "date_of_birth", lambda c: D.parse_date(D.date_text(c), D.BIRTH_CLASSES), "day",
-        S.PATIENT_TOKENS, 60,
+    "parse_dates_diagnosis": parse_query(
+        "raw_diagnoses", "diagnosis_date", D.DIAGNOSIS_CLASSES, prepare=lambda c: D.close_gaps(D.date_text(c))
     ),
-    "parse_dates_procedure": on_raw(
-        "raw_procedures", "procedure_date", lambda c: D.parse_date(D.date_text(c), D.PROCEDURE_CLASSES), "day",
-        S.PROCEDURE_TOKENS, 60,
+    "parse_dates_test": parse_query("raw_lab_results", "test_date", D.TEST_CLASSES, S.LAB_TOKENS),
+    "parse_dates_birth": parse_query("raw_patients", "date_of_birth", D.BIRTH_CLASSES, S.PATIENT_TOKENS, 60),
+    "parse_dates_procedure": parse_query(
+        "raw_procedures", "procedure_date", D.PROCEDURE_CLASSES, S.PROCEDURE_TOKENS, 60
     ),
     "parse_dates_created": on_raw(
-        "raw_patients", "created_date", D.parse_created, "day", S.PATIENT_TOKENS, 60
+        "raw_patients", "created_date", D.parse_created, "parsed", S.PATIENT_TOKENS, 60
     ),
     "kpi_los_monthly": _kpi(kpis.kpi_los_monthly, "admissions"),
     "kpi_occupancy": _kpi(kpis.kpi_occupancy, "admissions", "departments"),

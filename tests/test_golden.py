@@ -71,8 +71,9 @@ CASES = [
      ["00099", "99213", None, "99213", None, None, None, "00000", "99213"]),
     ("pincode", N.pincode, ["560 001", "012345", "12345", "1,23,456", "+123456", "0123456"],
      ["560001", "012345", None, None, "123456", "123456"]),
-    ("admission type", token(S.COMMON_TOKENS, lambda v: S.or_na(M.fold(v, M.ADMISSION_TYPES, "sentence"))),
-     ["er", "E.R.", "day care", "walk-in", None], ["Emergency", "E.r.", "Observation", "Walk-in", "NA"]),
+    ("admission type", lambda v: M.fold_or_na(S.clean_text(v), M.ADMISSION_TYPES, S.COMMON_TOKENS),
+     ["er", "E.R.", "day care", "walk-in", None, "n/a", " "],
+     ["Emergency", "E.r.", "Observation", "Walk-in", "NA", "NA", "NA"]),
     ("discharge status", lambda v: M.fold(v, M.DISCHARGE_STATUSES, "sentence"), ["lama", "SNF", "went home"],
      ["Left Against Medical Advice", "Skilled Nursing Facility", "Went home"]),
     ("physician", lambda v: S.or_na(S.physician_label(S.physician_core(v))),
