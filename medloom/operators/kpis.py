@@ -262,16 +262,24 @@ def kpi_readmit_30d(admissions: DataFrame, days: int = 30) -> DataFrame:
         F.col("admission_date_final").alias("day"), F.col("discharge_date_final").alias("left_on"),
         (F.col("discharge_date_final").isNotNull() & (F.col("discharge_status") != "Expired")).alias("is_index"),
     )
+    # The day's last stay as one number that sorts by id, then end, then kind: unlike a struct, its maximum
+    # is kept in a hash aggregate. The end is a day count below 2**22, 0 when the stay is open.
+    end_number = F.coalesce(F.datediff(left_on, F.lit("0001-01-01").cast("date")) + 1, F.lit(0))
+    packed = F.shiftleft(F.col("admission_id").cast("bigint"), 24) + end_number * 2 + F.col("is_index").cast("int")
     sums = stays.groupBy("patient_id", "day", month_of("left_on").alias("discharge_month")).agg(
         F.count_if("is_index").alias("index_stays"),
         F.count_if(F.col("is_index") & within(day, left_on)).alias("same_day"),
-        F.max(F.struct("admission_id", "left_on", "is_index")).alias("last"),
+        F.max(packed).alias("last"),
     )
     along = Window.partitionBy("patient_id").orderBy("day", "last")
-    linked = sums.withColumn("next_day", F.lead("day").over(along))
-    ends_day = F.col("last.is_index") & F.coalesce(F.col("next_day") != day, F.lit(True))
-    counted_same_day = (ends_day & within(day, F.col("last.left_on"))).cast("int")
-    comes_back = (ends_day & within(F.col("next_day"), F.col("last.left_on"))).cast("int")
+    linked = sums.withColumn("next_day", F.lead("day").over(along)).withColumn(
+        "low_bits", F.pmod(F.col("last"), F.lit(2**24)).cast("int")
+    )
+    last_is_index = F.pmod(F.col("low_bits"), F.lit(2)) == 1
+    last_left_on = F.date_add(F.lit("0001-01-01").cast("date"), F.shiftright("low_bits", 1) - 1)
+    ends_day = last_is_index & F.coalesce(F.col("next_day") != day, F.lit(True))
+    counted_same_day = (ends_day & within(day, last_left_on)).cast("int")
+    comes_back = (ends_day & within(F.col("next_day"), last_left_on)).cast("int")
     return (
         linked.filter(F.col("discharge_month").isNotNull())
         .groupBy("discharge_month")

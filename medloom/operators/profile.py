@@ -1,9 +1,10 @@
 """Column profile: one row per column with counts, range and most frequent values.
 
 All columns are profiled together. Every row is turned into (column, text) pairs, counted per pair with
-map-side combining, and everything else comes out of those counts: one scan and one large shuffle for any
-number of columns. The top values are cut to a few per task before they are brought together, so no
-column's values are ever collected in one place, however many distinct ones there are.
+map-side combining, and counts and top values come out of those: one large shuffle for any number of
+columns. The top values are cut to a few per task before they are brought together, so no column's values
+are ever collected in one place, however many distinct ones there are. Ranges are a second, shuffle-free
+aggregate in each column's own type that reads only numeric and date columns.
 """
 
 from __future__ import annotations
@@ -40,11 +41,13 @@ def sample_by_key(df: DataFrame, rows: int, total: int, key: Sequence[str]) -> D
     return df.filter(bucket < F.lit(int(2**32 * min(1.0, rows / max(total, 1)))))
 
 
-def _text(field: T.StructField) -> Column:
+def _ranged(field: T.StructField) -> Column:
     column = F.col(f"`{field.name}`")
-    if isinstance(field.dataType, T.BooleanType):
-        column = column.cast("int")
-    return column.cast("string")
+    return column.cast("int") if isinstance(field.dataType, T.BooleanType) else column
+
+
+def _text(field: T.StructField) -> Column:
+    return _ranged(field).cast("string")
 
 
 def profile_columns(
@@ -78,20 +81,25 @@ def profile_columns(
     )
     counts = pairs.groupBy("column_no", "value").agg(F.count(F.lit(1)).alias("freq"))
 
-    numeric = [i for i, f in enumerate(fields) if family(f.dataType) == "numeric"]
-    datetime = [i for i, f in enumerate(fields) if family(f.dataType) == "datetime"]
-    as_number = F.when(
-        F.col("column_no").isin(numeric) & F.col("value").isNotNull(),
-        F.struct(F.col("value").try_cast("double"), F.col("value").try_cast("decimal(38,10)")),
-    ) if numeric else F.lit(None).cast("struct<a:double,b:decimal(38,10)>")
-    as_time = F.when(F.col("column_no").isin(datetime), F.col("value")) if datetime else F.lit(None).cast("string")
+    ranged = [(i, f) for i, f in enumerate(fields) if family(f.dataType) != "other"]
     stats = counts.groupBy("column_no").agg(
         F.sum("freq").alias("sample_rows"),
         F.coalesce(F.sum(F.when(F.col("value").isNull(), F.col("freq"))), F.lit(0)).alias("null_count"),
         F.count("value").alias("distinct_count"),
-        F.coalesce(F.min_by("value", as_number), F.min(as_time)).alias("min_value"),
-        F.coalesce(F.max_by("value", as_number), F.max(as_time)).alias("max_value"),
     )
+    if ranged:
+        extremes = df.agg(
+            *[
+                F.struct(
+                    F.lit(i).alias("column_no"),
+                    F.min(_ranged(f)).cast("string").alias("min_value"),
+                    F.max(_ranged(f)).cast("string").alias("max_value"),
+                ).alias(f"c{i}")
+                for i, f in ranged
+            ]
+        ).select(F.inline(F.array(*[f"c{i}" for i, _ in ranged])))
+    else:
+        extremes = spark.createDataFrame([], "column_no int, min_value string, max_value string")
     order = Window.partitionBy("column_no").orderBy(F.col("freq").desc(), F.col("value"))
     top = (
         counts.filter(F.col("value").isNotNull())
@@ -115,6 +123,7 @@ def profile_columns(
     return (
         columns.join(stats, "column_no", "left")
         .join(top, "column_no", "left")
+        .join(extremes, "column_no", "left")
         .select(
             "column_name",
             "data_type",
