@@ -13,7 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from medloom.functions.binding import let
+from medloom.functions.binding import constant_map, let
 
 YMD = "YMD"
 YMD_TIME = "YMD_TIME"
@@ -102,8 +102,7 @@ def _rearranged(text: Column, kinds: Sequence[str]) -> Column:
 
 def _numbered_month(text: Column) -> Column:
     """'2021-Apr-3' as '2021-04-3'; NULL where the middle part is no month name."""
-    pairs = [F.lit(x) for pair in MONTHS.items() for x in pair]
-    number = F.try_element_at(F.create_map(*pairs), F.lower(F.substring(text, 6, 3)))
+    number = F.try_element_at(constant_map(MONTHS), F.lower(F.substring(text, 6, 3)))
     return F.concat(F.substring(text, 1, 5), number, F.lit("-"), F.substring_index(text, "-", -1))
 
 

@@ -7,6 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from medloom.functions.binding import constant_map
 from medloom.functions.text import cut, drop_text, sentence_case
 
 # Accepted spellings (upper case) and the label each one gets.
@@ -82,8 +83,7 @@ GENDERS = {"Male": ("M", "MALE"), "Female": ("F", "FEMALE"), "Other": ("OTHER",
 
 def fold(col: Column, mapping: Mapping[str, str], default: str = "null") -> Column:
     """Label of the upper-cased text; unknown texts become NULL, sentence case, or stay ('keep')."""
-    pairs = [F.lit(x) for pair in mapping.items() for x in pair]
-    label = F.try_element_at(F.create_map(*pairs), F.upper(col))
+    label = F.try_element_at(constant_map(mapping), F.upper(col))
     if default == "null":
         return label
     if default == "sentence":

@@ -12,6 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from medloom.functions.binding import let
 from medloom.functions.text import drop_text, matched
 
 # Shapes of codes and numbers. 'tinyint' is unsigned, 0 to 255.
@@ -43,8 +44,11 @@ def cpt_number(col: Column) -> Column:
 
 def cpt_code(number: Column) -> Column:
     """Five-digit procedure code from a whole number 0..99999 out of ``cpt_number`` ('99213.0' counts)."""
-    fits = (number == F.floor(number)) & number.between(0, 99999)
-    return F.when(fits, F.lpad(number.cast("int").cast("string"), 5, "0"))
+    def padded(n: Column) -> Column:
+        fits = (n == F.floor(n)) & n.between(0, 99999)
+        return F.when(fits, F.lpad(n.cast("int").cast("string"), 5, "0"))
+
+    return let(number, padded)
 
 
 def icd_code(col: Column) -> Column:
@@ -59,4 +63,4 @@ def pincode(col: Column) -> Column:
 
 def experience_years(years: Column) -> Column:
     """Years of experience, 0 to 60."""
-    return F.when(years <= 60, years)
+    return let(years, lambda y: F.when(y <= 60, y))

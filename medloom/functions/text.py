@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from medloom.functions.binding import let
+from medloom.functions.binding import constant_array, let
 
 # Placeholder texts that mean "no value", per source (upper case).
 COMMON_TOKENS = ("", "NULL", "N/A", "TBD", "-")
@@ -35,7 +35,7 @@ def null_tokens(col: Column, tokens: Sequence[str] = COMMON_TOKENS) -> Column:
 
     A constant array compiles to one small loop; ``isin`` would unroll into a comparison per token.
     """
-    return F.when(~F.array_contains(F.array(*[F.lit(t) for t in tokens]), F.upper(col)), col)
+    return F.when(~F.array_contains(constant_array(tokens), F.upper(col)), col)
 
 
 def matched(col: Column, shape: str, group: int = 0) -> Column:

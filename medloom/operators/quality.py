@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from medloom.sources.shared import written
+
 
 def dup_key_check(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Keys that occur more than once, with their row count. Empty means a join on them cannot fan out."""
@@ -52,11 +54,9 @@ def refresh_latest(path: str, updates: DataFrame, key: str, order: Sequence[str]
     The table is partitioned by a bucket of the key. The merged rows are first written beside the table and
     then put in place, so a lost executor or a failed job never leaves a bucket half rewritten.
     """
-    from medloom.sources.shared import written
-
     spark = updates.sparkSession
     bucket = F.pmod(F.hash(F.col(key)), F.lit(buckets)).alias("bucket")
-    fresh = latest_per_key(updates, key, order).select("*", bucket)
+    fresh = written(latest_per_key(updates, key, order).select("*", bucket), "latest-updates")
     try:
         present = spark.read.parquet(path)
     except Exception as error:  # the first run finds no table

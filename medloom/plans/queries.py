@@ -18,7 +18,7 @@ from medloom.operators.profile import profile_columns
 from medloom.operators.standardize import STANDARDIZE
 from medloom.sources import writers
 from medloom.sources.raw import raw_table
-from medloom.sources.shared import new_path
+from medloom.sources.shared import new_path, written
 from medloom.sources.tables import publish_views, read_text_csv, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -104,9 +104,11 @@ def published(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def metrics_append(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two runs appended to one log; the metrics are computed once."""
     path = new_path(spark, "metrics")
+    metrics = written(health_all(spark, sf_dir), "health")
     for run, day in (("run-a", 0), ("run-b", 1)):
-        metriclog.append_metrics(health_all(spark, sf_dir), path, run, RUN_UTC + dt.timedelta(days=day))
+        metriclog.append_metrics(metrics, path, run, RUN_UTC + dt.timedelta(days=day))
     return metriclog.read_log(spark, path)
 
 

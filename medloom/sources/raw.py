@@ -8,7 +8,10 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from medloom.sources.tables import table
+from medloom.sources.tables import spread, table
+
+# Tables of at most a few dozen rows.
+DIMENSIONS = ("region", "nation")
 
 RAW_SQL = {
     "raw_admissions": (
@@ -172,7 +175,8 @@ from {events}
 def raw_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One raw table over the parquet files in ``sf_dir``."""
     source, sql = RAW_SQL[name]
-    return spark.sql(sql, **{source: table(spark, sf_dir, source)})
+    df = table(spark, sf_dir, source)
+    return spark.sql(sql, **{source: df if source in DIMENSIONS else spread(df)})
 
 
 def raw_duckdb(name: str) -> str:

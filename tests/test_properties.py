@@ -1,5 +1,6 @@
 """Any text may arrive in any column: no job fails, keys decide which rows stay, text stays clean."""
 
+import datetime as dt
 import random
 
 import pytest
@@ -7,9 +8,12 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
+from medloom.operators import metriclog, runlog
 from medloom.operators import standardize as Z
 from medloom.operators.health import HEALTH, health_all
 from medloom.plans import queries as Q
+from medloom.sources import writers
+from medloom.sources.tables import all_text, read_text_csv
 
 WORDS = st.one_of(
     st.none(),
@@ -81,3 +85,43 @@ def test_future_dates_count_unless_bounded(spark):
         rows = HEALTH["diagnoses"](std, Q.AS_OF["admissions"], **kw).collect()
         return {r.metric: r.value_num for r in rows}["diagnoses_last_90d"]
     assert recent() == 3.0 and recent(upper_bound=True) == 2.0
+
+
+def test_run_log_keeps_runs_apart_and_measures_jobs(spark, tmp_path):
+    path = str(tmp_path / "log")
+    sf = "/root/testdata/sf0.001"
+    frames = {"departments": Q.std(spark, sf, "departments"), "hospitals": Q.std(spark, sf, "hospitals")}
+    at = dt.datetime(2024, 5, 1, 2)
+    metriclog.append_metrics(runlog.measure(frames), path, "a", at)
+    metriclog.append_metrics(HEALTH["hospitals"](frames["hospitals"]), path, "b", at + dt.timedelta(days=1))
+    one = metriclog.read_run(spark, path, "a").collect()
+    assert [r.object_name for r in one] == ["departments", "hospitals"]
+    assert all(r.value_num > 0 and r.run_utc == at for r in one)
+    assert metriclog.read_run(spark, path, "b", at.date()).count() == 0
+    assert metriclog.read_run(spark, path, "b", at.date() + dt.timedelta(days=1)).count() == 3
+
+
+def test_latest_run_matches_comment_and_from_clause(spark):
+    rows = [
+        ("/*bench:x;obj:stg.a*/ select 1", 5000, 9000, 7, 2, dt.datetime(2024, 1, 1), 1),
+        ("SELECT * FROM stg.a WHERE 1=0", 1000, None, 3, 1, dt.datetime(2024, 1, 2), 2),
+        ("select * from stg.other", 9, 9, 9, 9, dt.datetime(2024, 1, 3), 3),
+    ]
+    log = spark.createDataFrame(
+        rows, "query_text string, cpu_us long, duration_us long, reads long, executions long, ended_at timestamp, log_id long"
+    )
+    got = {(r.object_name, r.metric): r.value_text for r in runlog.latest_run_stats(("stg.a", "stg.b"), log, {"stg.b": 12}).collect()}
+    assert got == {
+        ("stg.a", "timing:sample_recent"): "cpu_ms=1|elapsed_ms=NULL|logical_reads=3",
+        ("stg.a", "timing:recent_aggregate"): "cpu_ms=3|elapsed_ms=9|logical_reads=5|exec_count=3",
+        ("stg.b", "timing:sample_recent"): "cpu_ms=NULL|elapsed_ms=12|logical_reads=NULL",
+    }
+
+
+def test_csv_in_is_all_text_and_csv_out_reads_back(spark, tmp_path):
+    path = str(tmp_path / "out")
+    raw = spark.createDataFrame([("007", "1,5"), ("x", None)], "a string, b string")
+    writers.export_csv(raw, path)
+    back = read_text_csv(spark, path, ["a", "b"])
+    assert sorted(back.collect()) == sorted(raw.collect())
+    assert all_text(spark.range(1)).dtypes == [("id", "string")]
