@@ -6,10 +6,17 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from medloom.llm import phrases, suffixes
+from medloom.llm import bpe, exact, huffman, jaccard, packing, phrases, suffixes
+from medloom.llm.vocab import public_path
+from medloom.sources.shared import new_path
 from medloom.sources.tables import table
 
 
+def op1_vector_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pieces of all documents in sequences of at most 2048 tokens."""
+    return packing.pack(table(spark, sf_dir, "documents"), public_path("word_bpe_49k.json"), with_ids=False)
+
+
 def op3_phrase_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents without passages of 35 words that occur elsewhere."""
     return phrases.remove_passages(table(spark, sf_dir, "documents")).drop("kept")
@@ -20,8 +27,35 @@ def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffixes.remove_repeats(table(spark, sf_dir, "documents")).drop("kept")
 
 
+def op5_huffman_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids of all documents, written as Huffman codes and read back."""
+    folder = new_path(spark, "huffman")
+    huffman.write_ids(table(spark, sf_dir, "documents"), folder, public_path("byte_bpe_50k.json"))
+    return huffman.read_ids(spark, folder, with_ids=False)
+
+
+def op7_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of documents whose 4-word shingles overlap by 85 percent or more."""
+    return jaccard.similar_components(table(spark, sf_dir, "documents"))
+
+
+def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Groups of documents that are equal up to white space."""
+    return exact.groups(table(spark, sf_dir, "documents"))
+
+
+def op10_prefix_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Digests of the ids of all documents and of the texts decoded from them."""
+    return bpe.encode_digests(table(spark, sf_dir, "documents"), public_path("byte_bpe_50k.json"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_vector_packing": op1_vector_packing,
     "op3_phrase_dedup": op3_phrase_dedup,
     "op4_suffix_dedup": op4_suffix_dedup,
+    "op5_huffman_ids": op5_huffman_ids,
+    "op7_jaccard_join": op7_jaccard_join,
+    "op8_exact_dedup": op8_exact_dedup,
+    "op10_prefix_bpe": op10_prefix_bpe,
 }
 CHECKS: dict[str, str] = {}
