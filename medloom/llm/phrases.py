@@ -29,7 +29,7 @@ from pyspark.sql import types as T
 
 from medloom.llm.mapping import arrow_map
 from medloom.llm.rolling import chunks, word_layout
-from medloom.llm.stretches import KEYS, covered, keyed, repeated_runs, with_ranges, with_runs
+from medloom.llm.stretches import KEYS, covered, hot_grams, keyed, repeated_runs, with_ranges, with_runs
 
 WINDOW = 35
 GRAM = 8
@@ -239,7 +239,7 @@ def remove_passages(
     head = [rows.schema["_id"], T.StructField("_hash", T.LongType())]
     schema = T.StructType([*head, T.StructField("p0", T.IntegerType()), T.StructField("key", T.LongType()), T.StructField("stretch", T.BinaryType())])
     range_schema = T.StructType([*head, T.StructField("lo", T.IntegerType()), T.StructField("hi", T.IntegerType())])
-    hot = runs.filter("mixed").groupBy("key").agg(F.count("*").alias("n")).filter(F.col("n") > hot_runs).select("key", F.lit(True).alias("hot"))
+    hot = hot_grams(runs, hot_runs)
     plain, parts = runs, []
     if hot.limit(1).count():
         flagged = runs.join(hot, "key", "left")

@@ -106,6 +106,12 @@ def repeated_runs(docs: DataFrame, unit: str, window: int, gram: int) -> DataFra
     return written(runs.join(repeated, "key").select("_id", "_hash", "p0", "p1", "anchor", "key", "mixed"), "runs")
 
 
+def hot_grams(runs: DataFrame, limit: int) -> DataFrame:
+    """Grams of more than ``limit`` mixed runs. Written, so that a join to it can split such a gram's rows."""
+    counts = runs.filter("mixed").groupBy("key").agg(F.count("*").alias("n"))
+    return written(counts.filter(F.col("n") > limit).select("key", F.lit(True).alias("hot")), "hot")
+
+
 def with_runs(docs: DataFrame, runs: DataFrame) -> DataFrame:
     """Documents that have mixed runs, each with the list of them (at most as long as the document)."""
     listed = (

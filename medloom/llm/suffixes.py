@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from medloom.llm.mapping import arrow_map
-from medloom.llm.stretches import KEYS, covered, keyed, repeated_runs, with_ranges, with_runs
+from medloom.llm.stretches import KEYS, covered, hot_grams, keyed, repeated_runs, with_ranges, with_runs
 
 WINDOW = 200
 GRAM = 48
@@ -253,9 +253,7 @@ def _strip() -> Callable:
 def repeated_ranges(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, hot_runs: int = HOT_RUNS) -> tuple[DataFrame, DataFrame]:
     """``docs`` (from ``keyed``) as runs that repeat for sure or by comparison: (runs, settled ranges)."""
     runs = repeated_runs(docs, "byte", window, gram)
-    hot = (
-        runs.filter("mixed").groupBy("key").agg(F.count("*").alias("n")).filter(F.col("n") > hot_runs).select("key", F.lit(True).alias("hot"))
-    )
+    hot = hot_grams(runs, hot_runs)
     id_field = docs.schema["_id"]
     ints = [T.StructField(c, T.IntegerType()) for c in ("p0", "p1", "anchor")]
     schema = T.StructType([id_field, T.StructField("_hash", T.LongType()), *ints, T.StructField("lead", T.BinaryType()), T.StructField("stretch", T.BinaryType())])
