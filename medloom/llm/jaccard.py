@@ -1,19 +1,20 @@
 """Similarity join of documents by the Jaccard similarity of their word n-grams, exact, without listing all pairs.
 
-The join is a product of the sparse matrix of documents by n-grams with its transpose, of which only entries that can
-reach the threshold are computed.
-
-1. One pass over the texts gives every document's set size and set digests, and a frequency sketch of all n-grams of
-   all documents (counts in ``SKETCH`` buckets, a fixed size). Documents with equal sets form one class.
-2. Size bounds, part one. Linked sets share at least t times the larger size, so they share one of the first
-   n - ceil(t n) + 1 n-grams in any common order. The order is by sketched frequency, rare ones first. Each task sends
-   these n-grams of each class once. Sorted by n-gram and size, neighbours are joined unless their sizes alone rule a
-   link out; connected components of these joins are the blocks of the product: links never leave a block.
-3. Each block is multiplied in one task, document by document: an index of the prefixes, now ordered by the block's
-   own exact counts, gives the columns that can be non-zero, sizes discard more of them, and overlaps of the rest
-   are accumulated over whole sets. A document linked to an earlier one needs no row of its own unless its component
-   is not the block's largest, so a block of near copies costs a row, not a square. A block above ``BLOCK_GRAMS`` is
-   dealt into parts, and every two parts are multiplied in a task of their own.
+The join is a product of the sparse matrix of documents by n-grams with its transpose, of which only blocks that can
+hold an entry at the threshold are computed.
+
+1. One pass over the texts gives every document's set size and set digests. Documents with equal sets form one class.
+2. Blocks. Sizes bound how much two linked sets can differ: of n-grams in one set only there are at most
+   d = (1 - t) / (1 + t) times the sum of the sizes. So if the n-grams are dealt into more than d parts by hash, linked
+   sets agree on a whole part. The number of parts follows from the size class of the larger set; a set can be the
+   larger or the smaller one, so it has two dealings. Each task sends the digests of the parts of each class of equal
+   sets once; equal digests are joined in a chain. Connected components of these joins are the blocks of the product:
+   links never leave a block, and sets that share a passage, but no whole part, don't meet.
+3. Each block is multiplied in one task, document by document: an index of set prefixes, ordered by the block's own
+   counts, gives the columns that can be non-zero, sizes discard more of them, and overlaps of the rest are
+   accumulated over whole sets. A document linked to an earlier one needs no row of its own unless its component is
+   not the block's largest, so a block of near copies costs a row, not a square. A block above ``BLOCK_GRAMS`` is dealt
+   into parts, and every two parts are multiplied in a task of their own.
 4. Tasks return spanning edges only. Their connected components are the result.
 
 Hashes of n-grams have 64 bits, digests of sets 128.
@@ -37,8 +38,6 @@ from medloom.sources.shared import written
 
 PERCENT = 85
 WORDS = 4
-SKETCH = 1 << 20
-SKETCH_CHUNKS = 256
 BLOCK_GRAMS = 4_000_000
 U = np.uint64
 
@@ -83,106 +82,103 @@ def _texts(batch: pa.RecordBatch) -> list[bytes]:
 
 
 def _survey(words: int) -> Callable:
-    """Set sizes and digests of every row, and at the end of the task its share of the frequency sketch."""
+    """Set size and digests of every row."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sketch = np.zeros(SKETCH, np.int64)
-        id_type, some = pa.null(), False
         for batch in batches:
-            id_type = batch.column("_id").type
             for first, group in chunks(_texts(batch)):
                 grams, sizes = gram_sets(group, words)
-                sketch += np.bincount((grams & U(SKETCH - 1)).astype(np.int64), minlength=SKETCH)
-                some = some or len(grams) > 0
                 one, two = _set_digests(grams, sizes)
-                n = len(group)
-                yield pa.RecordBatch.from_pydict(
-                    {
-                        "_id": batch.column("_id").slice(first, n),
-                        "_hash": batch.column("_hash").slice(first, n),
-                        "n": pa.array(sizes.astype(np.int64)),
-                        "one": pa.array(one.view(np.int64)),
-                        "two": pa.array(two.view(np.int64)),
-                        "chunk": pa.nulls(n, pa.int32()),
-                        "counts": pa.nulls(n, pa.binary()),
-                    }
-                )
-        if some:
-            parts = [p.astype("<i4").tobytes() for p in sketch.reshape(SKETCH_CHUNKS, -1)]
-            columns = {"_id": pa.nulls(SKETCH_CHUNKS, id_type)} | {c: pa.nulls(SKETCH_CHUNKS, pa.int64()) for c in ("_hash", "n", "one", "two")}
-            columns |= {"chunk": pa.array(range(SKETCH_CHUNKS), pa.int32()), "counts": pa.array(parts, pa.binary())}
-            yield pa.RecordBatch.from_pydict(columns)
+                kept = {c: batch.column(c).slice(first, len(group)) for c in ("_id", "_hash")}
+                own = {"n": sizes.astype(np.int64), "one": one.view(np.int64), "two": two.view(np.int64)}
+                yield pa.RecordBatch.from_pydict(kept | {k: pa.array(v) for k, v in own.items()})
 
     return run
 
 
-def _add_sketches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    total: dict[int, np.ndarray] = {}
-    for batch in batches:
-        for chunk, counts in zip(batch.column("chunk").to_pylist(), batch.column("counts").to_pylist(), strict=True):
-            total[chunk] = total.get(chunk, 0) + np.frombuffer(counts, "<i4").astype(np.int64)
-    if total:
-        levels = [np.frexp(v.astype(np.float64))[1].astype(np.uint8).tobytes() for v in total.values()]
-        yield pa.RecordBatch.from_pydict({"chunk": pa.array(list(total), pa.int32()), "levels": pa.array(levels, pa.binary())})
-
-
-def frequency_levels(survey: DataFrame) -> np.ndarray:
-    """Binary order of magnitude of each sketch bucket's count over all documents: ``SKETCH`` bytes, whatever the input."""
-    shares = survey.filter("chunk is not null").select("chunk", "counts").repartition("chunk")
-    rows = arrow_map(shares, _add_sketches, "chunk int, levels binary").collect()
-    out = np.zeros((SKETCH_CHUNKS, SKETCH // SKETCH_CHUNKS), np.uint8)
-    for r in rows:
-        out[r.chunk] = np.frombuffer(r.levels, np.uint8)
-    return out.reshape(-1)
-
-
 def prefix_sizes(sizes: np.ndarray, percent: int) -> np.ndarray:
     """How many first elements of a set must be looked at: its size less the least overlap, and one."""
     return sizes - (percent * sizes + 99) // 100 + 1
 
 
-def _prefixes(words: int, percent: int, levels: np.ndarray) -> Callable:
+def size_classes(most: int, percent: int) -> np.ndarray:
+    """Least sizes of classes: a set and any smaller one linked to it lie in the same or in neighbouring classes."""
+    least = [1]
+    while least[-1] <= most:
+        least.append(100 * least[-1] // percent + 1)
+    return np.array(least, np.int64)
+
+
+def part_digests(grams: np.ndarray, sizes: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
+    """Digests of the parts of each set (not empty), end to end, and how many digests each set has.
+
+    A set of size class c is dealt as the larger set of a pair (class c) and as the smaller one (class c + 1). The
+    larger set of class c has at most ``top[c]`` elements, so linked sets agree on all but ``differ[c]`` parts. A few
+    parts more are made, so that they agree on one that is not empty; sets with more empty parts than that also
+    have digests of their empty parts.
+    """
+    least = size_classes(int(sizes.max()), percent)
+    least = np.append(least, size_classes(int(least[-1]) * 100 // percent + 1, percent)[len(least) : len(least) + 2])
+    top = least[1:] - 1
+    differ = 2 * top * (100 - percent) // (100 + percent)
+    spare = (differ + 1) // 50 + (differ >= 11)
+    parts = differ + 1 + spare
+    own = np.searchsorted(least, sizes, side="right") - 1
+    owner = np.repeat(np.arange(len(sizes)), sizes)
+    content = mix(grams ^ SECOND)
+    high = grams >> U(32)
+    out, owners = [], []
+    for level in (own, own + 1):
+        count = parts[level]
+        base = np.cumsum(count) - count
+        slot = ((high * count[owner].astype(U)) >> U(32)).astype(np.int64) + base[owner]  # ascending: grams are sorted
+        first = np.flatnonzero(np.append(True, slot[1:] != slot[:-1]))
+        held = owner[first]
+        name = (slot[first] - base[held]).astype(U) + (level[held].astype(U) << U(40))
+        out.append(mix(np.add.reduceat(content, first) + mix(name)))
+        owners.append(held)
+        full = np.bincount(held, minlength=len(sizes))
+        for i in np.flatnonzero(count - full > spare[level]).tolist():
+            filled = slot[first[held == i]] - base[i]
+            empty = np.setdiff1d(np.arange(count[i]), filled).astype(U)
+            out.append(mix(mix(empty + (level[i].astype(U) << U(40))) + SECOND))
+            owners.append(np.full(len(empty), i))
+    owner = np.concatenate(owners)
+    turn = np.argsort(owner, kind="stable")
+    return np.concatenate(out)[turn], np.bincount(owner, minlength=len(sizes))
+
+
+def _parts(words: int, percent: int) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sent: set[int] = set()
         for batch in batches:
             for _, group in chunks(_texts(batch)):
                 grams, sizes = gram_sets(group, words)
                 one, _ = _set_digests(grams, sizes)
-                token = (levels[(grams & U(SKETCH - 1)).astype(np.int64)].astype(U) << U(58)) | (grams >> U(6))
-                ends = np.cumsum(sizes)
                 new = np.zeros(len(group), bool)
-                for i, (digest, n, end) in enumerate(zip(one.tolist(), sizes.tolist(), ends.tolist(), strict=True)):
+                for i, (digest, n) in enumerate(zip(one.tolist(), sizes.tolist(), strict=True)):
                     if n and digest not in sent:
                         sent.add(digest)
                         new[i] = True
-                        token[end - n : end].sort()
-                keep = np.flatnonzero(new)
-                count = prefix_sizes(sizes[keep], percent)
-                columns = {
-                    "token": token[ranges((ends - sizes)[keep], count)].view(np.int64),
-                    "class": np.repeat(one[keep].view(np.int64), count),
-                    "n": np.repeat(sizes[keep], count),
-                }
-                yield from pa.table({k: pa.array(v) for k, v in columns.items()}).to_batches(max_chunksize=100_000)
+                if not new.any():
+                    continue
+                digests, counts = part_digests(grams[np.repeat(new, sizes)], sizes[new], percent)
+                columns = {"part": pa.array(digests.view(np.int64)), "class": pa.array(np.repeat(one[new].view(np.int64), counts))}
+                yield from pa.table(columns).to_batches(max_chunksize=100_000)
 
     return run
 
 
-def _neighbours(percent: int) -> Callable:
-    """Joins between neighbours of a posting list sorted by size, where sizes allow a link."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        carry = tuple(np.empty(0, np.int64) for _ in range(3))
-        for batch in batches:
-            token, kind, n = (np.append(c, batch.column(k).to_numpy()) for c, k in zip(carry, ("token", "class", "n"), strict=True))
-            carry = (token[-1:], kind[-1:], n[-1:])
-            joined = (token[1:] == token[:-1]) & (100 * n[:-1] >= percent * n[1:]) & (kind[1:] != kind[:-1])
-            pairs = np.stack([kind[1:][joined], kind[:-1][joined]])
-            pairs = np.unique(np.sort(pairs, axis=0), axis=1)
-            if pairs.shape[1]:
-                yield pa.RecordBatch.from_pydict({"a": pa.array(pairs[0]), "b": pa.array(pairs[1])})
-
-    return run
+def _chains(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Joins between neighbours that have the same part; rows arrive sorted."""
+    carry = tuple(np.empty(0, np.int64) for _ in range(2))
+    for batch in batches:
+        part, kind = (np.append(c, batch.column(k).to_numpy()) for c, k in zip(carry, ("part", "class"), strict=True))
+        carry = (part[-1:], kind[-1:])
+        joined = (part[1:] == part[:-1]) & (kind[1:] != kind[:-1])
+        pairs = np.unique(np.sort(np.stack([kind[1:][joined], kind[:-1][joined]]), axis=0), axis=1)
+        if pairs.shape[1]:
+            yield pa.RecordBatch.from_pydict({"a": pa.array(pairs[0]), "b": pa.array(pairs[1])})
 
 
 def _sets(words: int) -> Callable:
@@ -317,15 +313,12 @@ def similar_components(
         raise ValueError("percent lies in 1 to 100")
     rows = keyed(docs.withColumn(id_col, F.col(f"`{id_col}`").cast("long")), id_col, text_col)
     head = [rows.schema["_id"], *(T.StructField(c, T.LongType()) for c in ("_hash", "n", "one", "two"))]
-    schema = T.StructType([*head, T.StructField("chunk", T.IntegerType()), T.StructField("counts", T.BinaryType())])
-    survey = written(arrow_map(rows, _survey(words), schema), "survey")
-    levels = frequency_levels(survey)
-    digests = survey.filter("chunk is null").select("_id", "_hash", "n", "one", "two")
-    linking = digests.filter("n > 0 and _id is not null")
+    survey = written(arrow_map(rows, _survey(words), T.StructType(head)), "survey")
+    linking = survey.filter("n > 0 and _id is not null")
 
-    prefixes = arrow_map(rows.filter("_id is not null").select("_text"), _prefixes(words, percent, levels), "token long, class long, n long")
-    lists = prefixes.repartition("token").sortWithinPartitions("token", "n", "class")
-    blocks = components(arrow_map(lists, _neighbours(percent), "a long, b long"))
+    parts = arrow_map(rows.filter("_id is not null").select("_text"), _parts(words, percent), "part long, class long")
+    lists = parts.repartition("part").sortWithinPartitions("part", "class")
+    blocks = components(arrow_map(lists, _chains, "a long, b long"))
 
     classes = written(linking.groupBy("one", "two", "n").agg(F.min(F.struct("_id", "_hash")).alias("first")), "classes")
     chosen = written(
@@ -347,7 +340,7 @@ def similar_components(
 
     copies = linking.join(classes, ["one", "two", "n"]).select(F.col("_id").alias("a"), F.col("first._id").alias("b"))
     reach = components(links.unionByName(copies))
-    named = digests.join(reach, digests["_id"] == reach["node"], "left")
+    named = survey.join(reach, survey["_id"] == reach["node"], "left")
     return named.select(F.col("_id").alias(id_col), F.col("n").alias("n_shingles"), F.coalesce("component", "_id").alias("component_id"))
 
 
