@@ -127,7 +127,7 @@ def _pack(path: str, end_id: int, limits: tuple[int, int, int], with_ids: bool,
                     for column, value in zip(out, row, strict=False):
                         out[column].append(value)
                     if with_ids:
-                        out["ids"].append(np.frombuffer(part, "<u4").astype(np.int64).tolist())
+                        out["ids"].append(part)
                     offset += length
                     left[doc] -= length
                     if not left[doc]:
@@ -143,8 +143,9 @@ def _pack(path: str, end_id: int, limits: tuple[int, int, int], with_ids: bool,
                 "offset": pa.array(out["offset"], pa.int64()),
             }
             if with_ids:
-                columns["ids"] = pa.array(out["ids"], pa.list_(pa.int64()))
-            yield from pa.table(columns).to_batches(max_chunksize=20_000)
+                bounds = np.cumsum([0, *out["length"]], dtype=np.int32)
+                columns["ids"] = pa.ListArray.from_arrays(bounds, np.frombuffer(b"".join(out["ids"]), "<i4"))
+            yield from pa.table(columns).to_batches(max_chunksize=5_000)
 
         fresh: list[tuple[int, int, int]] = []
         tokens, id_type = 0, pa.null()
@@ -204,7 +205,7 @@ def pack(
     names = ("start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
     fields = [rows.schema["_id"], *(T.StructField(c, T.LongType()) for c in names)]
     if with_ids:
-        fields.append(T.StructField("ids", T.ArrayType(T.LongType())))
+        fields.append(T.StructField("ids", T.ArrayType(T.IntegerType())))
     limits = (max_tokens, max_segments, max_loss or max_tokens)
     run = _pack(tokenizer_path, end_id, limits, with_ids, (BLOCK_DOCUMENTS, BLOCK_TOKENS))
     return arrow_map(rows, run, T.StructType(fields)).withColumnRenamed("_id", id_col)

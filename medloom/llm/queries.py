@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from medloom.llm import bpe, exact, huffman, jaccard, packing, phrases, suffixes
+from medloom.llm import bpe, exact, forest, huffman, jaccard, langid, packing, phrases, quality, suffixes
 from medloom.llm.vocab import public_path
 from medloom.sources.shared import new_path
 from medloom.sources.tables import table
@@ -17,6 +17,12 @@ def op1_vector_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), public_path("word_bpe_49k.json"), with_ids=False)
 
 
+def op2_projection_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 5 nearest vectors of every 50th vector."""
+    vectors = table(spark, sf_dir, "embeddings")
+    return forest.search(vectors, vectors.filter("vec_id % 50 = 0"))
+
+
 def op3_phrase_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents without passages of 35 words that occur elsewhere."""
     return phrases.remove_passages(table(spark, sf_dir, "documents")).drop("kept")
@@ -34,6 +40,11 @@ def op5_huffman_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return huffman.read_ids(spark, folder, with_ids=False)
 
 
+def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The language of every document, learned from three quarters of them."""
+    return langid.identify(table(spark, sf_dir, "documents"))
+
+
 def op7_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Components of documents whose 4-word shingles overlap by 85 percent or more."""
     return jaccard.similar_components(table(spark, sf_dir, "documents"))
@@ -44,6 +55,11 @@ def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact.groups(table(spark, sf_dir, "documents"))
 
 
+def op9_quality_ftrl(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The quality of every document, learned from two thirds of the labels."""
+    return quality.rate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op10_prefix_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Digests of the ids of all documents and of the texts decoded from them."""
     return bpe.encode_digests(table(spark, sf_dir, "documents"), public_path("byte_bpe_50k.json"))
@@ -51,11 +67,14 @@ def op10_prefix_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_vector_packing": op1_vector_packing,
+    "op2_projection_forest": op2_projection_forest,
     "op3_phrase_dedup": op3_phrase_dedup,
     "op4_suffix_dedup": op4_suffix_dedup,
     "op5_huffman_ids": op5_huffman_ids,
+    "op6_language_id": op6_language_id,
     "op7_jaccard_join": op7_jaccard_join,
     "op8_exact_dedup": op8_exact_dedup,
+    "op9_quality_ftrl": op9_quality_ftrl,
     "op10_prefix_bpe": op10_prefix_bpe,
 }
 CHECKS: dict[str, str] = {}

@@ -37,11 +37,16 @@ from medloom.sources.shared import written
 KEYS = ("_id", "_hash")
 
 
-def keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """Only id and text, under names of our own, with a hash that tells apart rows that share an id."""
-    return docs.select(F.col(f"`{id_col}`").alias("_id"), F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit("")).alias("_text")).select(
-        "_id", F.xxhash64("_id", "_text").alias("_hash"), "_text"
-    )
+def keyed(docs: DataFrame, id_col: str, text_col: str, rest: bool = False) -> DataFrame:
+    """Id and text under names of our own, with a hash that tells apart rows that share an id.
+
+    With ``rest`` also all columns but the text, as one value.
+    """
+    columns = [F.col(f"`{id_col}`").alias("_id"), F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit("")).alias("_text")]
+    if rest:
+        columns.append(F.struct(*[F.col(f"`{c}`") for c in docs.columns if c != text_col]).alias("_rest"))
+    kept = ("_rest",) if rest else ()
+    return docs.select(*columns).select("_id", F.xxhash64("_id", "_text").alias("_hash"), "_text", *kept)
 
 
 def same_row(left: DataFrame, right: DataFrame):
@@ -128,7 +133,7 @@ def with_ranges(docs: DataFrame, runs: DataFrame, settled: DataFrame, window: in
     listed = (
         sure.unionByName(settled).groupBy(*KEYS).agg(F.collect_list(F.struct("lo", "hi")).alias("ranges"))
     )
-    return docs.join(listed, same_row(docs, listed), "left").select(docs["*"], listed["ranges"])
+    return docs.join(listed, same_row(docs, listed), "left").select(*[docs[c] for c in docs.columns], listed["ranges"])
 
 
 def covered(size: int, ranges: list[dict] | None) -> np.ndarray:

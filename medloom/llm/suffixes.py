@@ -290,3 +290,19 @@ def remove_repeats(
     longs = [T.StructField(c, T.LongType()) for c in ("n_bytes", "n_removed", "n_spans")]
     schema = T.StructType([rows.schema["_id"], T.StructField("_hash", T.LongType()), *longs, T.StructField("kept", T.BinaryType()), T.StructField("kept_sha256", T.StringType())])
     return arrow_map(found, _strip(), schema).withColumnRenamed("_id", id_col).drop("_hash")
+
+
+def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW, gram: int = GRAM, hot_runs: int = HOT_RUNS) -> DataFrame:
+    """The rows of ``docs``, with all their columns, each text as :func:`remove_repeats` leaves it.
+
+    Bytes of a character that was cut through are dropped. A missing text comes back empty.
+    """
+    rows = keyed(docs, id_col, text_col, rest=True)
+    runs, settled = repeated_ranges(rows.select("_id", "_hash", "_text"), window, gram, hot_runs)
+    found = with_ranges(rows, runs, settled, window).select("_rest", "_text", "ranges")
+    longs = [T.StructField(c, T.LongType()) for c in ("n_bytes", "n_removed", "n_spans")]
+    schema = T.StructType([rows.schema["_rest"], *longs, T.StructField("kept", T.BinaryType()), T.StructField("kept_sha256", T.StringType())])
+    whole = arrow_map(found, _strip(), schema)
+    kept = F.try_validate_utf8(F.col("kept"))
+    text = F.coalesce(kept, F.regexp_replace(F.make_valid_utf8(F.col("kept")), "\uFFFD", ""))
+    return whole.select(*[text.alias(c) if c == text_col else F.col(f"_rest.`{c}`").alias(c) for c in docs.columns])
