@@ -5,7 +5,7 @@
   smallest ids that can appear in an answer, so a vector that a third of all rows share is one entry too.
 * Search: a query goes down all trees through one shared priority queue of branches, ordered by the largest margin
   by which the query lies on the other side. Leaves are taken until they hold ``share`` times as many entries
-  as there are in one tree.
+  as there are in one tree, and ``LEAST`` at least.
 * Rerank: queries meet the entries of their leaves in blocks, and get exact cosines in double precision. A leaf of
   more than ``LEAF_ROWS`` entries is dealt into parts; queries of a part are streamed in batches.
 
@@ -29,6 +29,7 @@ from medloom.sources.shared import written
 TREES = 3
 LEAVES = 256
 SHARE = 1.2
+LEAST = 1000
 SAMPLE = 20_000
 LEAF_ROWS = 20_000
 QUERY_BATCH = 512
@@ -247,7 +248,7 @@ def search(
     parts = F.ceil(F.col("n") / leaf_rows).cast("int")
     dealing = spark.createDataFrame([(r.tree, r.leaf, r.n) for r in counts], "tree int, leaf int, n long").select("tree", "leaf", parts.alias("parts"))
     asked = valid(queries).filter(F.size("vec") == common.n).distinct()
-    visits = arrow_map(asked, _visit(forest, sizes, share * int(sizes[0].sum())), "tree int, leaf int, id long, vec array<double>")
+    visits = arrow_map(asked, _visit(forest, sizes, max(LEAST, share * int(sizes[0].sum()))), "tree int, leaf int, id long, vec array<double>")
     parted = placed.join(F.broadcast(dealing), ["tree", "leaf"]).select(
         "tree", "leaf", F.pmod(F.xxhash64("vec"), F.col("parts")).cast("int").alias("part"), F.lit(None).cast("long").alias("id"), "ids", "vec"
     )

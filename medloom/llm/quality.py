@@ -120,13 +120,14 @@ def _score(model: bytes) -> Callable:
 
 
 def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality", rows: int = TRAIN_ROWS) -> bytes:
-    """Weights (1 MB) learned from at most ``rows`` labelled documents."""
+    """Weights (1 MB) learned from at most ``rows`` labelled documents; none without any."""
     known = labels.select(F.col(f"`{id_col}`").alias("_id"), F.col(f"`{label_col}`").cast("int").alias("label")).filter("_id is not null and label in (0, 1)").distinct()
     drawn = known.orderBy(F.xxhash64("_id"), "_id", "label").limit(rows)
     texts = docs.select(F.col(f"`{id_col}`").alias("_id"), F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit("")).alias("_text"))
     sample = texts.join(F.broadcast(drawn), "_id")  # at most ``rows`` pairs of numbers
     one = sample.repartition(1).sortWithinPartitions(F.xxhash64("_id"), "_id", "label", "_text").select("label", "_text")
-    return bytes(arrow_map(one, _train, "w binary").first().w)
+    learned = arrow_map(one, _train, "w binary").first()
+    return bytes(learned.w) if learned else b""
 
 
 def score(docs: DataFrame, model: bytes, text_col: str = "text", keep: tuple[str, ...] = ()) -> DataFrame:

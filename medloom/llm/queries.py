@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from medloom.llm import bpe, exact, forest, huffman, jaccard, langid, packing, phrases, quality, suffixes
+from medloom.llm.checks import CHECKS
 from medloom.llm.vocab import public_path
 from medloom.sources.shared import new_path
 from medloom.sources.tables import table
@@ -77,4 +78,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_quality_ftrl": op9_quality_ftrl,
     "op10_prefix_bpe": op10_prefix_bpe,
 }
-CHECKS: dict[str, str] = {}
+
+__all__ = ["CHECKS", "QUERIES"]
