@@ -22,6 +22,7 @@ COMPACT = "COMPACT"
 MDY = "MDY"
 DMY = "DMY"
 DMY2 = "DMY2"
+YMD_TIME_ISO = "YMD_TIME_ISO"
 MDY2 = "MDY2"
 MON = "MON"
 MON_TIME = "MON_TIME"
@@ -30,7 +31,7 @@ DAY_MON = "DAY_MON"
 # Order in which each column's notations are tried.
 STAY_CLASSES = (YMD, YMD_TIME, COMPACT, MDY, DMY, MON)
 BIRTH_CLASSES = (YMD, COMPACT, MDY, DMY)
-PROCEDURE_CLASSES = (YMD, YMD_TIME_FRACTION, COMPACT, MDY, DMY, MON, MON_TIME, DAY_MON)
+PROCEDURE_CLASSES = (YMD, YMD_TIME_ISO, COMPACT, MDY, DMY, MON, MON_TIME, DAY_MON)
 DIAGNOSIS_CLASSES = (YMD, YMD_TIME_FRACTION, DMY, MDY, DMY2, MDY2)
 TEST_CLASSES = (YMD, DMY, MDY)
 
@@ -53,25 +54,28 @@ _CLOCK12 = "(?:0?[1-9]|1[0-2]):[0-5][0-9](?::[0-5][0-9])? ?[AaPp][Mm]"
 # Shapes of each class, on text whose '/' and '.' are already '-', and how to write a match in
 # year-month-day order. Month names become numbers and two-digit years (marked 'y') full years afterwards.
 _SHAPES = {
-    YMD: (f"^({_YEAR}-{_MM}-{_DD})$", "$1"),
-    YMD_TIME: (f"^({_YEAR}-{_MM}-{_DD})(?: +{_CLOCK}(?::[0-5][0-9])?)?$", "$1"),
-    YMD_TIME_FRACTION: (f"^({_YEAR}-{_MM}-{_DD})(?: +{_CLOCK}(?::[0-5][0-9](?:-[0-9]{{1,7}})?)?)?$", "$1"),
-    COMPACT: (f"^({_YEAR})(0[1-9]|1[0-2])(0[1-9]|[12][0-9]|3[01])$", "$1-$2-$3"),
-    MDY: (f"^({_MM})-({_DD})-({_YEAR})$", "$3-$1-$2"),
-    DMY: (f"^({_DD})-({_MM})-({_YEAR})$", "$3-$2-$1"),
-    MDY2: (f"^({_MM})-({_DD})-({_YY})$", "y$3-$1-$2"),
-    DMY2: (f"^({_DD})-({_MM})-({_YY})$", "y$3-$2-$1"),
-    MON: (f"^(?i)({_MONTH}) +({_DD})(?:, *| +)({_YEAR})$", "$3-$1-$2"),
-    MON_TIME: (f"^(?i)({_MONTH}) +({_DD}),? +({_YEAR}) +{_CLOCK12}$", "$3-$1-$2"),
-    DAY_MON: (f"^(?i)({_DD})[- ]({_MONTH})[- ]({_YEAR})$", "$3-$2-$1"),
+    YMD: (f"^({_YEAR}-{_MM}-{_DD})\\z", "$1"),
+    YMD_TIME: (f"^({_YEAR}-{_MM}-{_DD})(?: +{_CLOCK}(?::[0-5][0-9])?)?\\z", "$1"),
+    YMD_TIME_FRACTION: (f"^({_YEAR}-{_MM}-{_DD})(?: +{_CLOCK}(?::[0-5][0-9](?:-[0-9]{{1,7}})?)?)?\\z", "$1"),
+    YMD_TIME_ISO: (
+        f"^({_YEAR}-{_MM}-{_DD})(?: +{_CLOCK}(?::[0-5][0-9](?:-[0-9]{{1,7}})?)?|T{_CLOCK}:[0-5][0-9](?:-[0-9]{{1,7}})?)?\\z", "$1"
+    ),
+    COMPACT: (f"^({_YEAR})(0[1-9]|1[0-2])(0[1-9]|[12][0-9]|3[01])\\z", "$1-$2-$3"),
+    MDY: (f"^({_MM})-({_DD})-({_YEAR})\\z", "$3-$1-$2"),
+    DMY: (f"^({_DD})-({_MM})-({_YEAR})\\z", "$3-$2-$1"),
+    MDY2: (f"^({_MM})-({_DD})-({_YY})\\z", "y$3-$1-$2"),
+    DMY2: (f"^({_DD})-({_MM})-({_YY})\\z", "y$3-$2-$1"),
+    MON: (f"^(?i)({_MONTH}) +({_DD})(?:, *| +)({_YEAR})\\z", "$3-$1-$2"),
+    MON_TIME: (f"^(?i)({_MONTH}) +({_DD}),? +({_YEAR}) +{_CLOCK12}\\z", "$3-$1-$2"),
+    DAY_MON: (f"^(?i)({_DD})[- ]({_MONTH})[- ]({_YEAR})\\z", "$3-$2-$1"),
 }
 _NAMED = (MON, MON_TIME, DAY_MON)
 _SHORT = (MDY2, DMY2)
-_ISO = f"^{_YEAR}-{_MM}-{_DD}$"
+_ISO = f"^{_YEAR}-{_MM}-{_DD}\\z"
 
 CREATED_SHAPE = (
     f"^{_YEAR}-[0-9]{{1,2}}-[0-9]{{1,2}}"
-    r"(?:[ T](?:[01]?[0-9]|2[0-3]):[0-5][0-9](?::[0-5][0-9](?:\.[0-9]{1,7})?)?)?$"
+    r"(?:[ T](?:[01]?[0-9]|2[0-3]):[0-5][0-9](?::[0-5][0-9](?:\.[0-9]{1,7})?)?)?\z"
 )
 FIRST_DAY, LAST_DAY = "0001-01-01", "9999-12-31"
 
@@ -81,13 +85,6 @@ def date_text(col: Column) -> Column:
     return F.replace(F.replace(col, F.lit("/"), F.lit("-")), F.lit("."), F.lit("-"))
 
 
-def close_gaps(text: Column) -> Column:
-    """Remove the spaces on both sides of dashes."""
-    for _ in range(2):
-        text = F.replace(F.replace(text, F.lit(" -"), F.lit("-")), F.lit("- "), F.lit("-"))
-    return text
-
-
 def _rearranged(text: Column, kinds: Sequence[str]) -> Column:
     """The text in year-month-day order if it has one of the shapes, else unchanged.
 
@@ -116,15 +113,17 @@ def date_order(text: Column, classes: Sequence[str]) -> Column:
     """The text rewritten to year-month-day where it fits one of the classes, tried in order."""
     numeric = [k for k in classes if k in (MDY, DMY)]
     short = [k for k in classes if k in _SHORT]
-    timed = [k for k in classes if k in (YMD_TIME, YMD_TIME_FRACTION)]
+    timed = [k for k in classes if k in (YMD_TIME, YMD_TIME_FRACTION, YMD_TIME_ISO)]
     compact = [k for k in classes if k == COMPACT]
     named = [k for k in classes if k in _NAMED]
     dash = F.instr(text, "-")
-    out = F.when(dash == 5, _rearranged(text, timed))
+    bare = F.replace(text, F.lit(" "))
+    out = F
+    if short:  # two-digit years may have spaces anywhere, and only they
+        out = out.when(bare.rlike("^[0-9]{1,2}-[0-9]{1,2}-[0-9]{2}\\z"), _full_year(_rearranged(bare, short)))
+    out = out.when(dash == 5, _rearranged(text, timed))
     if named:
         out = out.when(text.rlike("[A-Za-z]"), _numbered_month(_rearranged(text, named)))
-    if short:
-        out = out.when(text.rlike("^[0-9]{1,2}-[0-9]{1,2}-[0-9]{2}$"), _full_year(_rearranged(text, short)))
     return out.otherwise(_rearranged(text, numeric + compact))
 
 

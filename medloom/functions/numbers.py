@@ -16,13 +16,13 @@ from medloom.functions.binding import let
 from medloom.functions.text import drop_text, matched
 
 # Shapes of codes and numbers. 'tinyint' is unsigned, 0 to 255.
-ICD_SHAPE = r"^[A-Z][0-9]{2}(?:[A-Z0-9]{1,4}|\.(?=\.*[A-Z0-9])[A-Z0-9.]{1,4})$"
-PINCODE_SHAPE = r"^(?:\+?0*(?=[1-9][0-9]{5}$))?([0-9]{6})$"
-DECIMAL_SHAPE = r"^[+-]?(?:[0-9]+\.?[0-9]*|\.[0-9]+)$"
+ICD_SHAPE = r"^[A-Z][0-9]{2}(?:[A-Z0-9]{1,4}|\.(?=\.*[A-Z0-9])[A-Z0-9.]{1,4})\z"
+PINCODE_SHAPE = r"^(?:\+?0*(?=[1-9][0-9]{5}\z))?([0-9]{6})\z"
+DECIMAL_SHAPE = r"^[+-]?(?:[0-9]+\.?[0-9]*|\.[0-9]+)\z"
 WHOLE_SHAPES = {
-    "int": ("int", r"^[+-]?0*[0-9]{1,10}$"),
-    "smallint": ("smallint", r"^[+-]?0*[0-9]{1,5}$"),
-    "tinyint": ("smallint", r"^\+?0*(?:[0-9]{1,2}|1[0-9]{2}|2[0-4][0-9]|25[0-5])$"),
+    "int": ("int", r"^[+-]?0*[0-9]{1,10}\z"),
+    "smallint": ("smallint", r"^[+-]?0*[0-9]{1,5}\z"),
+    "tinyint": ("smallint", r"^\+?0*(?:[0-9]{1,2}|1[0-9]{2}|2[0-4][0-9]|25[0-5])\z"),
 }
 
 

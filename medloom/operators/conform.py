@@ -7,8 +7,9 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from medloom.sources.shared import written
+
 UNMAPPED = "Unmapped"
-BROADCAST_ROWS = 100_000
 
 
 def map_frame(spark: SparkSession, pairs: Mapping[str, str]) -> DataFrame:
@@ -16,17 +17,16 @@ def map_frame(spark: SparkSession, pairs: Mapping[str, str]) -> DataFrame:
     return spark.createDataFrame(list(pairs.items()), "source_value string, standard_value string")
 
 
-def lookup_side(lookup: DataFrame, broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """The map with one row per source value, broadcast only after its size has been counted.
+def lookup_side(lookup: DataFrame) -> DataFrame:
+    """The map with one row per source value, written once.
 
-    Beyond ``broadcast_rows`` the join is left to the planner, which shuffles both sides; adaptive execution
-    then splits the partitions of very frequent values.
+    Whether it is broadcast follows from its bytes. Where it is not, adaptive execution splits the partitions of
+    very frequent or missing values, which it could not if the map were still to be aggregated.
     """
     single = lookup.filter(F.col("source_value").isNotNull()).groupBy("source_value").agg(
         F.min("standard_value").alias("standard_value")
     )
-    small = lookup.limit(broadcast_rows + 1).count() <= broadcast_rows
-    return F.broadcast(single) if small else single
+    return written(single, "lookup")
 
 
 def conform_column(df: DataFrame, column: str, lookup: DataFrame, alias: str) -> DataFrame:

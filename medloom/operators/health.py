@@ -41,13 +41,13 @@ def _rows() -> Column:
 
 def _sum_where(condition: Column, value: Column, kind: str) -> Column:
     zero = F.lit(0).cast(kind)
-    total = F.sum(F.when(condition, F.coalesce(value.cast(kind), zero)).otherwise(zero))
+    total = F.sum(F.when(condition, F.coalesce(value.try_cast(kind), zero)).otherwise(zero))
     return F.coalesce(total, zero)
 
 
 def _mean_where(condition: Column, value: Column, kind: str) -> Column:
-    """Sum by count over rows that meet the condition and have a value; 0 when there is none."""
-    n = F.count_if(condition & value.isNotNull())
+    """Sum by count over rows that meet the condition and have a value that fits; 0 when there is none."""
+    n = F.count_if(condition & value.try_cast(kind).isNotNull())
     total = _sum_where(condition, value, kind)
     return F.when(n > 0, (total / F.nullif(n, F.lit(0))).cast("decimal(38,6)")).otherwise(
         F.lit(0).cast("decimal(38,6)")

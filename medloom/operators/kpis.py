@@ -7,6 +7,8 @@ bounds, not over all rows of a patient.
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -78,14 +80,19 @@ def kpi_los_monthly(admissions: DataFrame) -> DataFrame:
     )
 
 
-def kpi_occupancy(admissions: DataFrame, departments: DataFrame) -> DataFrame:
+def kpi_occupancy(admissions: DataFrame, departments: DataFrame, as_of: dt.date | None = None) -> DataFrame:
     """Patient days by beds and days, per department and month; the discharge day does not count.
 
+    Stays that have not ended count up to ``as_of``, which does not count either; without it they have no days.
+    A department that the department table lacks has its patient days, without beds and occupancy.
+
     A stay contributes its days in its first and last month and, for the full months between, a step up and
     a step down. Steps are summed per department and month and then run up along the months. A stay of one
     day and one that never ends (discharge in 9999) so cost the same three or four rows.
     """
     first, end = F.col("admission_date_final"), F.col("discharge_date_final")
+    if as_of is not None:
+        end = F.coalesce(end, F.lit(as_of))
     stays = admissions.filter(F.col("department_id").isNotNull() & (end > first)).select(
         "department_id",
         first.alias("first_day"),
@@ -141,14 +148,14 @@ def kpi_occupancy(admissions: DataFrame, departments: DataFrame) -> DataFrame:
     beds = departments.groupBy(F.col("department_id").cast("int").alias("department_id")).agg(
         F.sum("bed_count").alias("beds")
     )
-    return used.join(beds, "department_id").select(
+    return used.join(beds, "department_id", "left").select(
         "department_id", "month", "patient_days", "beds",
         _ratio(F.col("patient_days"), F.col("beds") * F.col("month_days")).alias("occupancy"),
     )
 
 
 def kpi_revenue_tieout(billing: DataFrame, admissions: DataFrame) -> DataFrame:
-    """Per month of bill: billed, covered, due and paid amounts, bills whose parts miss the total, and
+    """Per month of bill (none for bills without a readable date): billed, covered, due and paid amounts, bills whose parts miss the total, and
     revenue per admission. Bills are summed per admission and month before they meet the admissions."""
     zero = F.lit(0).cast("decimal(18,2)")
 
@@ -157,8 +164,7 @@ def kpi_revenue_tieout(billing: DataFrame, admissions: DataFrame) -> DataFrame:
 
     parts = sum((amount(c) for c in CHARGE_PARTS[1:]), amount(CHARGE_PARTS[0]))
     per_stay = (
-        billing.filter(F.col("bill_date").isNotNull())
-        .groupBy("admission_id", month_of("bill_date").alias("bill_month"))
+        billing.groupBy("admission_id", month_of("bill_date").alias("bill_month"))
         .agg(
             F.count(F.lit(1)).alias("bills"),
             F.sum(amount("total_amount")).alias("billed"),
@@ -185,12 +191,13 @@ def kpi_revenue_tieout(billing: DataFrame, admissions: DataFrame) -> DataFrame:
 
 
 def kpi_payer_mix(billing: DataFrame, admissions: DataFrame, patients: DataFrame) -> DataFrame:
-    """Share of each payer class in the amount billed per month. Unknown payers are 'Unknown'.
+    """Share of each payer class in the amount billed per month. Unknown payers are 'Unknown'; bills without a
+    readable date have a row without month.
 
     Amounts are summed per admission, then per patient, then per payer, so each join has one row per key
     and month on the bill side and one row per key on the other.
     """
-    per_stay = billing.filter(F.col("bill_date").isNotNull()).groupBy(
+    per_stay = billing.groupBy(
         "admission_id", month_of("bill_date").alias("bill_month")
     ).agg(F.sum("total_amount").alias("amount"))
     owner = admissions.groupBy("admission_id").agg(F.min("patient_id").alias("patient_id"))

@@ -25,20 +25,14 @@ def family(kind: T.DataType) -> str:
     return "other"
 
 
-def sample_seeded(df: DataFrame, rows: int, total: int, seed: int = 17) -> DataFrame:
-    """About ``rows`` of ``total`` rows, drawn row by row inside each task: no shuffle, no skew."""
-    return df.sample(withReplacement=False, fraction=min(1.0, rows / max(total, 1)), seed=seed)
+def sample_by_key(df: DataFrame, fraction: float, key: Sequence[str]) -> DataFrame:
+    """About ``fraction`` of the rows, by a digest of a key.
 
-
-def sample_by_key(df: DataFrame, rows: int, total: int, key: Sequence[str]) -> DataFrame:
-    """About ``rows`` of ``total`` rows, by a digest of a unique key.
-
-    The same rows are drawn whatever the file layout. Rows that share a key are kept or left together, so the
-    key should be unique; use ``sample_seeded`` where it is not.
+    The same rows are drawn whatever the file layout. Rows that share a key are kept or left together.
     """
     digest = F.md5(F.concat_ws("|", *[F.coalesce(F.col(k).cast("string"), F.lit("")) for k in key]))
     bucket = F.conv(F.substring(digest, 1, 8), 16, 10).cast("bigint")
-    return df.filter(bucket < F.lit(int(2**32 * min(1.0, rows / max(total, 1)))))
+    return df.filter(bucket < F.lit(int(2**32 * min(1.0, fraction))))
 
 
 def _ranged(field: T.StructField) -> Column:
@@ -52,24 +46,19 @@ def _text(field: T.StructField) -> Column:
 
 def profile_columns(
     df: DataFrame,
-    max_rows: int | None = 10_000_000,
-    sample_rows: int = 1_000_000,
     top_k: int = 5,
-    sample_key: Sequence[str] | None = None,
-    seed: int = 17,
+    fraction: float = 1.0,
+    sample_key: Sequence[str] = (),
 ) -> DataFrame:
     """Profile of every column of ``df``, sorted by column name.
 
-    Above ``max_rows`` rows a sample of about ``sample_rows`` is profiled; None always profiles every row.
+    Every row counts, unless the caller asks for a ``fraction`` of them, drawn by ``sample_key``; the fraction is
+    reported.
     """
-    if max_rows is not None:
-        total = df.count()
-        if total > max_rows:
-            df = (
-                sample_by_key(df, sample_rows, total, sample_key)
-                if sample_key
-                else sample_seeded(df, sample_rows, total, seed)
-            )
+    if fraction < 1.0:
+        if not sample_key:
+            raise ValueError("a sample needs a key")
+        df = sample_by_key(df, fraction, sample_key)
     fields = df.schema.fields
     spark = df.sparkSession
     columns = spark.createDataFrame(
@@ -100,21 +89,22 @@ def profile_columns(
         ).select(F.inline(F.array(*[f"c{i}" for i, _ in ranged])))
     else:
         extremes = spark.createDataFrame([], "column_no int, min_value string, max_value string")
-    order = Window.partitionBy("column_no").orderBy(F.col("freq").desc(), F.col("value"))
+    # NULL is ranked last and dropped afterwards: a filter on it would be pushed below the counts, and those be made twice
+    order = Window.partitionBy("column_no").orderBy(F.col("value").isNull(), F.col("freq").desc(), F.col("value"))
     top = (
-        counts.filter(F.col("value").isNotNull())
-        .withColumn("place", F.row_number().over(order))
+        counts.withColumn("place", F.row_number().over(order))
         .filter(F.col("place") <= top_k)
         .groupBy("column_no")
         .agg(
             F.array_join(
                 F.transform(
-                    F.sort_array(F.collect_list(F.struct("place", "value", "freq"))),
+                    F.filter(F.sort_array(F.collect_list(F.struct("place", "value", "freq"))), lambda x: x["value"].isNotNull()),
                     lambda x: F.concat(x["value"], F.lit(" ("), x["freq"].cast("string"), F.lit(")")),
                 ),
                 ", ",
-            ).alias("sample_values")
+            ).alias("joined")
         )
+        .select("column_no", F.nullif("joined", F.lit("")).alias("sample_values"))
     )
     share = F.when(
         F.col("sample_rows") > 0,
@@ -134,6 +124,7 @@ def profile_columns(
             "min_value",
             "max_value",
             "sample_values",
+            F.lit(float(fraction)).alias("sampled_fraction"),
         )
         .orderBy("column_name")
     )

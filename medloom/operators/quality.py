@@ -20,19 +20,19 @@ def exclude_rows(
 ) -> DataFrame:
     """Leave out soft-deleted rows and rows of listed test keys; rows without a key stay.
 
-    The keys are made distinct first. A key with very many rows is only a skewed left side of an anti join,
-    which adaptive execution splits.
+    The keys are joined as they are: an aggregate between would keep adaptive execution from splitting the
+    partition of a key with very many rows.
     """
     if deleted is not None:
         df = df.filter(~F.coalesce(deleted, F.lit(False)))
     if test_keys is not None:
-        df = df.join(test_keys.select(key).distinct(), key, "left_anti")
+        df = df.join(test_keys.select(key), key, "left_anti")
     return df
 
 
 def with_match(df: DataFrame, other: DataFrame, key: str) -> DataFrame:
-    """Rows whose key occurs in ``other``. The keys are made distinct first, so a hot key costs one row."""
-    return df.join(other.select(key).distinct(), key, "left_semi")
+    """Rows whose key occurs in ``other``. Adaptive execution splits a key with very many rows of ``df``."""
+    return df.join(other.select(key), key, "left_semi")
 
 
 def latest_per_key(df: DataFrame, key: str, order: Sequence[str]) -> DataFrame:

@@ -125,17 +125,18 @@ def standardize_billing(raw: DataFrame) -> DataFrame:
     )
 
 
-def standardize_departments(raw: DataFrame) -> DataFrame:
-    """Departments with bed counts; ids above 255 do not fit and drop the row."""
+def standardize_departments(raw: DataFrame, source_limits: bool = False) -> DataFrame:
+    """Departments with bed counts. With ``source_limits`` numbers above 255 do not fit and drop the row."""
+    kind = "tinyint" if source_limits else "int"
     names = ("department_id", "hospital_id", "dept_name", "hod", "bed_count", "avg_occupancy")
     tokens = _clean(raw, _same(names), S.COMMON_TOKENS, ("dept_name", "hod"))
     return _keep(
         tokens.select(
-            N.safe_int(c("department_id"), "tinyint").alias("department_id"),
-            N.safe_int(c("hospital_id"), "tinyint").alias("hospital_id"),
+            N.safe_int(c("department_id"), kind).alias("department_id"),
+            N.safe_int(c("hospital_id"), kind).alias("hospital_id"),
             S.cut(S.sentence_case(c("dept_name")), 100).alias("dept_name"),
             S.cut(S.sentence_case(c("hod")), 80).alias("hod"),
-            N.safe_int(c("bed_count"), "tinyint").alias("bed_count"),
+            N.safe_int(c("bed_count"), kind).alias("bed_count"),
             N.safe_decimal(c("avg_occupancy"), 5, 2).alias("avg_occupancy"),
         ),
         "department_id", "hospital_id", "bed_count",
@@ -149,7 +150,7 @@ def standardize_diagnoses(raw: DataFrame) -> DataFrame:
     )
     tokens = _clean(
         raw, _same(names), S.COMMON_TOKENS, ("diagnosis_description",),
-        {"diagnosis_date": lambda x: D.close_gaps(D.date_text(x))},
+        {"diagnosis_date": D.date_text},
     )
     return _keep(
         tokens.select(
@@ -164,8 +165,9 @@ def standardize_diagnoses(raw: DataFrame) -> DataFrame:
     )
 
 
-def standardize_hospitals(raw: DataFrame) -> DataFrame:
-    """Hospitals with bed numbers and accreditation."""
+def standardize_hospitals(raw: DataFrame, source_limits: bool = False) -> DataFrame:
+    """Hospitals with bed numbers and accreditation. With ``source_limits`` numbers above 255 do not fit."""
+    small, wide = ("tinyint", "smallint") if source_limits else ("int", "int")
     names = (
         "hospital_id", "hospital_name", "branch_location", "total_beds", *HOSPITAL_BEDS,
         "icu_percentage", "established_year", "accreditation",
@@ -175,11 +177,11 @@ def standardize_hospitals(raw: DataFrame) -> DataFrame:
     )
     return _keep(
         tokens.select(
-            N.safe_int(c("hospital_id"), "tinyint").alias("hospital_id"),
+            N.safe_int(c("hospital_id"), small).alias("hospital_id"),
             S.cut(S.sentence_case(c("hospital_name")), 120).alias("hospital_name"),
             S.cut(S.sentence_case(c("branch_location")), 80).alias("branch_location"),
-            N.safe_int(c("total_beds"), "smallint").alias("total_beds"),
-            *[N.safe_int(c(x), "tinyint").alias(x) for x in HOSPITAL_BEDS],
+            N.safe_int(c("total_beds"), wide).alias("total_beds"),
+            *[N.safe_int(c(x), small).alias(x) for x in HOSPITAL_BEDS],
             N.safe_decimal(c("icu_percentage"), 5, 2, (",",)).alias("icu_percentage"),
             N.safe_int(c("established_year"), "smallint").alias("established_year"),
             M.fold_accreditation(c("accreditation")).alias("accreditation"),

@@ -25,10 +25,11 @@ def _window(entity: str, column: str, days: int) -> str:
 
 
 def _sum(condition: str, value: str, kind: str) -> str:
-    return f"coalesce(sum(case when {condition} then coalesce(cast({value} as {kind}), 0) else 0 end), 0)"
+    return f"coalesce(sum(case when {condition} then coalesce(try_cast({value} as {kind}), 0) else 0 end), 0)"
 
 
-def _mean(condition: str, value: str, scale: int) -> str:
+def _mean(condition: str, value: str, kind: str) -> str:
+    value = f"try_cast({value} as {kind})"
     n = f"count(*) filter (where {condition} and {value} is not null)"
     total = f"sum({value}) filter (where {condition})"
     return f"cast(case when {n} > 0 then round(cast({total} as double) / {n}, 6) else 0 end as decimal(38,6))"
@@ -57,7 +58,7 @@ def _metrics() -> dict[str, list[tuple[str, str, str]]]:
         "admissions": [
             rows,
             ("admissions_last_30d", count(w["admissions"]), "bigint"),
-            ("avg_los_last_30d", _mean(w["admissions"], "length_of_stay", 6), "decimal"),
+            ("avg_los_last_30d", _mean(w["admissions"], "length_of_stay", "decimal(18,4)"), "decimal"),
         ],
         "billing": [
             rows,
@@ -77,12 +78,12 @@ def _metrics() -> dict[str, list[tuple[str, str, str]]]:
         "lab_results": [
             rows,
             ("lab_results_last_30d", count(w["lab_results"]), "bigint"),
-            ("avg_result_value_last_30d", _mean(w["lab_results"], "result_value", 6), "decimal"),
+            ("avg_result_value_last_30d", _mean(w["lab_results"], "result_value", "decimal(18,6)"), "decimal"),
         ],
         "providers": [
             rows,
             ("active_providers", "count(*)", "bigint"),
-            ("avg_experience_ge5", _mean("years_experience >= 5", "years_experience", 6), "decimal"),
+            ("avg_experience_ge5", _mean("years_experience >= 5", "years_experience", "decimal(18,2)"), "decimal"),
         ],
         "departments": [
             rows,
@@ -92,7 +93,7 @@ def _metrics() -> dict[str, list[tuple[str, str, str]]]:
         "hospitals": [
             rows,
             ("beds_total", "cast(coalesce(sum(cast(total_beds as bigint)), 0) as bigint)", "bigint"),
-            ("avg_icu_pct_recent", _mean("true", "icu_percentage", 6), "decimal"),
+            ("avg_icu_pct_recent", _mean("true", "icu_percentage", "decimal(5,2)"), "decimal"),
         ],
     }
 
@@ -145,23 +146,7 @@ def table_rowcounts() -> str:
     )
 
 
-def rowcounts_join() -> str:
-    return """select r_name table_schema, n_name table_name, cast(sum(c_custkey) as bigint) row_count
-        from customer join nation on c_nationkey = n_nationkey join region on n_regionkey = r_regionkey group by all"""
-
-
-def column_inventory() -> str:
-    names = ", ".join(f"'{t}'" for t in TABLES)
-    return f"""select 'main' table_schema, table_name, ordinal_position, column_name,
-        case when data_type like 'TIMESTAMP%' then 'timestamp_ntz' when data_type = 'VARCHAR' then 'string'
-          when data_type = 'INTEGER' then 'int' when data_type = 'FLOAT[]' then 'array<float>' else lower(data_type) end data_type,
-        'YES' is_nullable, cast(null as integer) character_maximum_length,
-        cast(case data_type when 'INTEGER' then 10 when 'BIGINT' then 19 when 'DOUBLE' then 53 end as integer) numeric_precision,
-        cast(case when data_type in ('INTEGER', 'BIGINT') then 0 end as integer) numeric_scale
-      from information_schema.columns where table_name in ({names})"""
-
-
-def profile(source: str, columns: list[tuple[str, str]], where: str = "") -> str:
+def profile(source: str, columns: list[tuple[str, str]], where: str = "", fraction: float = 1.0) -> str:
     """``columns`` are (name, Spark type name)."""
     parts = []
     for name, kind in columns:
@@ -175,7 +160,7 @@ def profile(source: str, columns: list[tuple[str, str]], where: str = "") -> str
               count(distinct {name}) distinct_count, {low} min_value, {high} max_value,
               (select string_agg(v || ' (' || f || ')', ', ' order by f desc, v) from (
                  select {_text(shown)} v, count(*) f from src where {name} is not null group by 1
-                 order by f desc, v limit 5)) sample_values
+                 order by f desc, v limit 5)) sample_values, cast({fraction} as double) sampled_fraction
             from src"""
         )
     return f"with src as (select * from {source} {where}) " + " union all ".join(parts)
@@ -200,8 +185,7 @@ STAY_COLUMNS = [
 
 def profile_sampled() -> str:
     bucket = "cast('0x' || left(md5(cast(o_orderkey as varchar)), 8) as bigint)"
-    limit = "cast(floor(4294967296 * least(1.0, cast(1000 as double) / (select count(*) from orders))) as bigint)"
-    return profile("orders", ORDER_COLUMNS, f"where {bucket} < {limit}")
+    return profile("orders", ORDER_COLUMNS, f"where {bucket} < cast(floor(4294967296 * 0.1) as bigint)", 0.1)
 
 
 # Run log --------------------------------------------------------------------------------------------
@@ -226,11 +210,6 @@ def latest_run_stats() -> str:
       from means"""
 
 
-def run_log_join() -> str:
-    return f"""select query_text, count(*) runs, cast(sum(cpu_us) as bigint) cpu_us, max(ended_at) last_ended_at
-        from ({raw_duckdb('run_log')}) group by 1"""
-
-
 # Single rules ---------------------------------------------------------------------------------------
 
 def rule(raw: str, column: str, expr: str, alias: str, tokens=S.COMMON_TOKENS, width: int = 255) -> str:
@@ -253,8 +232,9 @@ def kpi_los_monthly() -> str:
 
 
 def kpi_occupancy() -> str:
-    return f"""with s as (select department_id, admission_date_final a, discharge_date_final d from {std('admissions')}
-        where department_id is not null and discharge_date_final > admission_date_final),
+    return f"""with s as (select department_id, admission_date_final a,
+        coalesce(discharge_date_final, date '{AS_OF['admissions']}') d from {std('admissions')}
+        where department_id is not null and coalesce(discharge_date_final, date '{AS_OF['admissions']}') > admission_date_final),
       e as (select department_id, a, d,
         unnest(generate_series(date_trunc('month', a), date_trunc('month', d - 1), interval 1 month))::date m from s),
       p as (select department_id, m,
@@ -262,13 +242,13 @@ def kpi_occupancy() -> str:
       b as (select department_id, sum(bed_count) beds from {std('departments')} group by 1)
       select cast(p.department_id as integer) department_id, m as "month", cast(n_days as bigint) patient_days,
         cast(beds as bigint) beds, round(cast(n_days as double) / nullif(beds * day(last_day(m)), 0), 6) occupancy
-      from p join b using (department_id) where n_days > 0"""
+      from p left join b using (department_id) where n_days > 0"""
 
 
 def kpi_revenue_tieout() -> str:
     parts = " + ".join(f"coalesce({c}, 0)" for c in CHARGE_PARTS)
     return f"""with a as (select distinct admission_id, true known from {std('admissions')}),
-      b as (select *, date_trunc('month', bill_date)::date m from {std('billing')} where bill_date is not null)
+      b as (select *, date_trunc('month', bill_date)::date m from {std('billing')})
       select m bill_month, count(*) bills, count(distinct admission_id) filter (where known) admissions,
         cast(sum(coalesce(total_amount, 0)) as decimal(38,2)) billed,
         cast(sum(coalesce(insurance_coverage, 0)) as decimal(38,2)) covered,
@@ -285,7 +265,7 @@ def kpi_payer_mix() -> str:
         sum(total_amount) amount
       from {std('billing')} b left join {std('admissions')} a using (admission_id)
         left join {std('patients')} p on p.patient_id = a.patient_id
-      where bill_date is not null group by all)
+      group by all)
       select m bill_month, t insurance_type, cast(amount as decimal(38,2)) amount,
         round(cast(amount as double) / cast(sum(amount) over (partition by m) as double), 6) share from x"""
 
@@ -325,10 +305,10 @@ def kpi_labs() -> str:
 
 DEPARTMENT_MAP = f"""(select {C.sentence('n_name')} source_value, r_name standard_value
     from nation join region on n_regionkey = r_regionkey)"""
-CPT_MAP = """(select lpad(cast(p_partkey as varchar), 5, '0') source_value, p_brand standard_value from part
-    where p_partkey <= 99999)"""
+CPT_MAP = """(select case when p_partkey < 10000 then lpad(cast(p_partkey as varchar), 5, '0') else cast(p_partkey as varchar) end
+    source_value, p_brand standard_value from part)"""
 ICD_MAP = """(select chr(cast(65 + p_partkey % 26 as integer)) || lpad(cast(p_partkey % 100 as varchar), 2, '0')
-    || cast(p_partkey % 10 as varchar) source_value, p_type standard_value from part where p_size <= 25)"""
+    || cast(p_partkey % 10 as varchar) source_value, p_type standard_value from part)"""
 GENDER_MAP = "(values ('Male', 'M'), ('Female', 'F'))"
 PAYER_MAP = "(values ('Government', 'Public'), ('Private', 'Commercial'), ('Self Pay', 'Self'), ('Corporate', 'Commercial'))"
 UNIT_MAP = "(values ('mg/dL', 'mg_dl'))"
@@ -354,6 +334,10 @@ def _sha(value: str) -> str:
     return f"sha256(cast({value} as varchar) || '{EXAMPLE_SALT}')"
 
 
+def _encounter(value: str) -> str:
+    return _sha(f"('encounter|' || {value})")
+
+
 def _age(today: int) -> str:
     return f"(({today} - (year(date_of_birth) * 10000 + month(date_of_birth) * 100 + day(date_of_birth))) // 10000)"
 
@@ -374,8 +358,8 @@ def _month(day: str) -> str:
 
 
 def deid_shift() -> str:
-    number = f"(cast('0x' || left({_sha('admission_id')}, 8) as bigint) % 7 - 3)"
-    return f"""select {_sha('admission_id')} encounter_hash, admission_date_final + cast({number} as integer) admission_day,
+    number = f"(cast('0x' || left({_sha("('shift|' || admission_id)")}, 8) as bigint) % 7 - 3)"
+    return f"""select {_encounter('admission_id')} encounter_hash, admission_date_final + cast({number} as integer) admission_day,
         discharge_date_final + cast({number} as integer) discharge_day from {std('admissions')}"""
 
 
@@ -387,7 +371,7 @@ def deid_age_band() -> str:
 
 def deid_export() -> str:
     age = _age(20240101)
-    return f"""select {_sha('a.patient_id')} patient_id_hash, {_sha('admission_id')} admission_id_hash, hospital_id,
+    return f"""select {_sha('a.patient_id')} patient_id_hash, {_encounter('admission_id')} admission_id_hash, hospital_id,
         department_id, admission_type, discharge_status, gender, insurance_type, left(pincode, 3) pincode_zip3,
         {_band(age)} age_band, {_allowed(_month('admission_date_final'), age)} admission_date_final_month,
         {_allowed(_month('discharge_date_final'), age)} discharge_date_final_month, length_of_stay
@@ -396,7 +380,7 @@ def deid_export() -> str:
 
 def suppress_small() -> str:
     return f"""with g as (select payment_status, {_month('bill_date')} bill_month, count(*) n,
-        cast(sum(total_amount) as decimal(38,2)) amount from {std('billing')} where bill_date is not null group by all)
+        cast(sum(total_amount) as decimal(38,2)) amount from {std('billing')} group by all)
       select payment_status, bill_month, case when n >= 11 then n end n, case when n >= 11 then amount end amount from g"""
 
 
@@ -414,9 +398,7 @@ CHECKS: dict[str, str] = {
     "health_all": health_all(),
     "publish_views": f"""select admission_type, count(*) bills, cast(sum(total_amount) as decimal(38,2)) amount
         from {std('billing')} b join {std('admissions')} a on a.admission_id = b.admission_id group by 1""",
-    "column_inventory": column_inventory(),
     "table_rowcounts": table_rowcounts(),
-    "rowcounts_join": rowcounts_join(),
     "profile_orders": profile("orders", ORDER_COLUMNS),
     "profile_events": profile("events", EVENT_COLUMNS),
     "profile_admissions": profile(std("admissions"), STAY_COLUMNS),
@@ -425,10 +407,6 @@ CHECKS: dict[str, str] = {
     "metrics_run_read": metrics_run_read(),
     "metrics_backfill": metrics_backfill(),
     "latest_run_stats": latest_run_stats(),
-    "run_log_join": run_log_join(),
-    "empty_probe": " union all ".join(
-        f"select '{OBJECT_NAMES[e]}' object_name, count(*) \"rows\" from {std(e)} where false" for e in OBJECT_NAMES
-    ),
     "semi_exists": f"select * from {std('admissions')} where admission_id in (select admission_id from {std('lab_results')})",
     "preview": f"select * from {std('admissions')} order by admission_date nulls first, admission_id limit 25",
     "listagg_top": f"""with g as (select diagnosis_type, icd_code, count(*) f from {std('diagnoses')}
@@ -469,7 +447,7 @@ CHECKS: dict[str, str] = {
         S.PATIENT_TOKENS, 60,
     ),
     "parse_dates_procedure": rule(
-        "raw_procedures", "procedure_date", C.day(C.dashed("v"), ["ymd", "compact", "mdy", "dmy", "mon"]), "parsed",
+        "raw_procedures", "procedure_date", C.day(C.dashed("v"), ["ymd", "ymd_iso", "compact", "mdy", "dmy", "mon"]), "parsed",
         S.PROCEDURE_TOKENS, 60,
     ),
     "parse_dates_created": rule(
@@ -489,7 +467,7 @@ CHECKS: dict[str, str] = {
     "conform_cpt": conformed("procedures", "procedure_id", "cpt_code", CPT_MAP),
     "conform_icd": conformed("diagnoses", "diagnosis_id", "icd_code", ICD_MAP),
     "conform_unmapped": conform_unmapped(),
-    "deid_hash": f"""select {_sha('patient_id')} patient_hash, {_sha('admission_id')} encounter_hash, length_of_stay
+    "deid_hash": f"""select {_sha('patient_id')} patient_hash, {_encounter('admission_id')} encounter_hash, length_of_stay
         from {std('admissions')}""",
     "deid_month": f"""select {_month('admission_date_final')} admission_month, {_month('discharge_date_final')} discharge_month,
         count(*) stays from {std('admissions')} group by all""",

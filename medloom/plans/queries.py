@@ -127,56 +127,15 @@ def table_rowcounts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return catalog.table_rowcounts({n: table(spark, sf_dir, n) for n in TABLES})
 
 
-def rowcounts_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Nations as tables in regions, customers as their parts."""
-    region, nation = table(spark, sf_dir, "region"), table(spark, sf_dir, "nation")
-    return catalog.rowcounts_from_parts(
-        region.select(F.col("r_regionkey").alias("schema_id"), F.col("r_name").alias("table_schema")),
-        nation.select(
-            F.col("n_nationkey").alias("table_id"), F.col("n_regionkey").alias("schema_id"),
-            F.col("n_name").alias("table_name"),
-        ),
-        table(spark, sf_dir, "customer").select(
-            F.col("c_nationkey").alias("table_id"), F.col("c_custkey").alias("row_count")
-        ),
-    )
-
-
-def column_inventory(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return catalog.column_inventory(spark, {n: table(spark, sf_dir, n) for n in TABLES})
-
-
 def profile_sampled(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A profile of orders with the size limits set low enough for the sample to be drawn."""
-    return profile_columns(
-        table(spark, sf_dir, "orders"), max_rows=1000, sample_rows=1000, sample_key=("o_orderkey",)
-    )
-
-
-def sample_seeded(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return profile_columns(table(spark, sf_dir, "lineitem"), max_rows=1000, sample_rows=1000)
+    """A profile of a tenth of the orders, as the caller asks."""
+    return profile_columns(table(spark, sf_dir, "orders"), fraction=0.1, sample_key=("o_orderkey",))
 
 
 def latest_run_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return runlog.latest_run_stats(RUN_OBJECTS, raw_table(spark, sf_dir, "run_log"), FALLBACK_MS)
 
 
-def run_log_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The run log taken apart into texts, queries, plans and figures, and put together again."""
-    log = raw_table(spark, sf_dir, "run_log")
-    query_id = F.concat_ws("/", "object_name", F.col("reads").cast("string"))
-    plan_id = F.concat_ws("/", "object_name", F.col("reads").cast("string"), F.col("executions").cast("string"))
-    joined = runlog.run_log_from_parts(
-        log.select(F.col("object_name").alias("text_id"), "query_text").distinct(),
-        log.select(query_id.alias("query_id"), F.col("object_name").alias("text_id")).distinct(),
-        log.select(plan_id.alias("plan_id"), query_id.alias("query_id")).distinct(),
-        log.select(plan_id.alias("plan_id"), "cpu_us", "duration_us", "reads", "executions", "ended_at", "log_id"),
-    )
-    return joined.groupBy("query_text").agg(
-        F.count(F.lit(1)).alias("runs"), F.sum("cpu_us").alias("cpu_us"), F.max("ended_at").alias("last_ended_at")
-    )
-
-
 def empty_probe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return runlog.empty_probe(
         {health.OBJECT_NAMES[e]: df for e, df in all_std(spark, sf_dir).items()}
@@ -230,19 +189,19 @@ def department_map(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def cpt_map(spark: SparkSession, sf_dir: str) -> DataFrame:
-    part = table(spark, sf_dir, "part").filter(F.col("p_partkey") <= 99999)
-    return part.select(
-        F.lpad(F.col("p_partkey").cast("string"), 5, "0").alias("source_value"),
+    key = F.col("p_partkey").cast("string")
+    return table(spark, sf_dir, "part").select(
+        F.when(F.length(key) < 5, F.lpad(key, 5, "0")).otherwise(key).alias("source_value"),
         F.col("p_brand").alias("standard_value"),
     )
 
 
 def icd_map(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Codes of the catalogue's first types; several entries per code, so the map needs reducing."""
+    """Codes of the catalogue's types; several entries per code, so the map needs reducing."""
     key = F.col("p_partkey")
     letter = F.char((F.lit(65) + key % 26).cast("int"))
     code = F.concat(letter, F.lpad((key % 100).cast("string"), 2, "0"), (key % 10).cast("string"))
-    return table(spark, sf_dir, "part").filter(F.col("p_size") <= 25).select(
+    return table(spark, sf_dir, "part").select(
         code.alias("source_value"), F.col("p_type").alias("standard_value")
     )
 
@@ -274,8 +233,9 @@ def conform_unmapped(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stays_with_patients(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Each stay with its patient's columns; one row per patient id on the patient side."""
-    one = quality.latest_per_key(std(spark, sf_dir, "patients"), "patient_id", ("created_date",))
+    """Each stay with its patient's columns. The patient side, one row per id, is written first, so that adaptive
+    execution can split a patient with very many stays, and the stays without a patient."""
+    one = written(quality.latest_per_key(std(spark, sf_dir, "patients"), "patient_id", ("created_date",)), "patients")
     return std(spark, sf_dir, "admissions").join(one, "patient_id", "left")
 
 
@@ -288,7 +248,7 @@ def deid_export(spark: SparkSession, sf_dir: str) -> DataFrame:
 def deid_hash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return std(spark, sf_dir, "admissions").select(
         deid.hashed(F.col("patient_id"), EXAMPLE_SALT).alias("patient_hash"),
-        deid.hashed(F.col("admission_id"), EXAMPLE_SALT).alias("encounter_hash"),
+        deid.hashed_encounter(F.col("admission_id"), EXAMPLE_SALT).alias("encounter_hash"),
         "length_of_stay",
     )
 
@@ -307,7 +267,7 @@ def deid_month(spark: SparkSession, sf_dir: str) -> DataFrame:
 def deid_shift(spark: SparkSession, sf_dir: str) -> DataFrame:
     key = F.col("admission_id")
     return std(spark, sf_dir, "admissions").select(
-        deid.hashed(key, EXAMPLE_SALT).alias("encounter_hash"),
+        deid.hashed_encounter(key, EXAMPLE_SALT).alias("encounter_hash"),
         deid.shifted(F.col("admission_date_final"), key, EXAMPLE_SALT).alias("admission_day"),
         deid.shifted(F.col("discharge_date_final"), key, EXAMPLE_SALT).alias("discharge_day"),
     )
@@ -326,9 +286,8 @@ def deid_age_band(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def suppress_small(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Bills and amounts per hospital, status and month, small cells blank."""
-    billing = std(spark, sf_dir, "billing").filter(F.col("bill_date").isNotNull())
-    cells = billing.groupBy("payment_status", kpis.month_of("bill_date").alias("bill_month")).agg(
+    """Bills and amounts per status and month, small cells blank."""
+    cells = std(spark, sf_dir, "billing").groupBy("payment_status", kpis.month_of("bill_date").alias("bill_month")).agg(
         F.count(F.lit(1)).alias("n"), F.sum("total_amount").cast("decimal(38,2)").alias("amount")
     )
     return kpis.suppress_small(cells, "n", ("amount",))
@@ -374,20 +333,15 @@ QUERIES: dict[str, Query] = {
     **{f"health_{e}": _health_query(e) for e in STANDARDIZE},
     "health_all": health_all,
     "publish_views": published,
-    "column_inventory": column_inventory,
     "table_rowcounts": table_rowcounts,
-    "rowcounts_join": rowcounts_join,
     "profile_orders": lambda spark, sf_dir: profile_columns(table(spark, sf_dir, "orders")),
     "profile_events": lambda spark, sf_dir: profile_columns(table(spark, sf_dir, "events")),
-    "profile_admissions": lambda spark, sf_dir: profile_columns(std(spark, sf_dir, "admissions"), max_rows=None),
+    "profile_admissions": lambda spark, sf_dir: profile_columns(std(spark, sf_dir, "admissions")),
     "profile_sampled": profile_sampled,
-    "profile_sampled_seeded": sample_seeded,
     "metrics_append": metrics_append,
     "metrics_run_read": metrics_run_read,
     "metrics_backfill": metrics_backfill,
     "latest_run_stats": latest_run_stats,
-    "run_log_join": run_log_join,
-    "empty_probe": empty_probe,
     "semi_exists": semi_exists,
     "preview": preview,
     "listagg_top": listagg_top,
@@ -426,7 +380,7 @@ QUERIES: dict[str, Query] = {
     ),
     "parse_dates_stay": parse_query("raw_admissions", "admission_date", D.STAY_CLASSES),
     "parse_dates_diagnosis": parse_query(
-        "raw_diagnoses", "diagnosis_date", D.DIAGNOSIS_CLASSES, prepare=lambda c: D.close_gaps(D.date_text(c))
+        "raw_diagnoses", "diagnosis_date", D.DIAGNOSIS_CLASSES
     ),
     "parse_dates_test": parse_query("raw_lab_results", "test_date", D.TEST_CLASSES, S.LAB_TOKENS),
     "parse_dates_birth": parse_query("raw_patients", "date_of_birth", D.BIRTH_CLASSES, S.PATIENT_TOKENS, 60),
@@ -437,7 +391,7 @@ QUERIES: dict[str, Query] = {
         "raw_patients", "created_date", D.parse_created, "parsed", S.PATIENT_TOKENS, 60
     ),
     "kpi_los_monthly": _kpi(kpis.kpi_los_monthly, "admissions"),
-    "kpi_occupancy": _kpi(kpis.kpi_occupancy, "admissions", "departments"),
+    "kpi_occupancy": _kpi(lambda a, d: kpis.kpi_occupancy(a, d, AS_OF["admissions"]), "admissions", "departments"),
     "kpi_revenue_tieout": _kpi(kpis.kpi_revenue_tieout, "billing", "admissions"),
     "kpi_payer_mix": _kpi(kpis.kpi_payer_mix, "billing", "admissions", "patients"),
     "kpi_top_codes": _kpi(kpis.kpi_top_codes, "diagnoses", "procedures"),

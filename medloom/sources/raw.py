@@ -8,10 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from medloom.sources.tables import spread, table
-
-# Tables of at most a few dozen rows.
-DIMENSIONS = ("region", "nation")
+from medloom.sources.tables import table
 
 RAW_SQL = {
     "raw_admissions": (
@@ -41,12 +38,12 @@ from b
         """
 with b as (select o_orderkey k, cast(o_totalprice as decimal(18,2)) t, cast(o_orderdate as date) d from {orders})
 select case k % 103 when 0 then 'NULL' else cast(k as string) end bill_id, cast(k as string) admission_id,
-  cast(d as string) bill_date, case k % 4 when 0 then 'TBD' else cast(d + cast(k % 60 as int) as string) end payment_date,
+  case k % 19 when 0 then 'pending' else cast(d as string) end bill_date, case k % 4 when 0 then 'TBD' else cast(d + cast(k % 60 as int) as string) end payment_date,
   case k % 6 when 0 then 'paid' when 1 then 'PENDING' when 2 then 'partial' when 3 then 'waived' when 4 then 'other' else 'Outstanding' end payment_status,
   case k % 17 when 0 then '1E3' else '1,'||lpad(cast(k % 1000 as string),3,'0')||'.50' end doctor_fees,
   cast(t as string) insurance_coverage, ' '||cast(k % 500 as string)||' ' lab_charges, '-' nursing_charges,
   cast(k % 300 as string)||'.125' pharmacy_charges, '1 000' procedure_charges, cast(k % 900 as string) room_charges,
-  cast(t as string) total_amount, case k % 5 when 0 then 'N/A' else cast(k % 777 as string)||'.10' end patient_due
+  cast(t as string) total_amount, case when k % 5 = 0 then 'N/A' when k % 1013 = 7 then '9999999999999999.99' else cast(k % 777 as string)||'.10' end patient_due
 from b
 """,
     ),
@@ -54,7 +51,7 @@ from b
         "nation",
         """
 select cast(n_nationkey as string) department_id, cast(n_regionkey as string) hospital_id, lower(n_name) dept_name,
-  'dr head '||cast(n_nationkey as string) hod, case n_nationkey % 9 when 0 then 'TBD' else cast(n_nationkey*12 as string) end bed_count,
+  'dr head '||cast(n_nationkey as string) hod, case n_nationkey % 9 when 0 then 'TBD' else cast(n_nationkey*24 as string) end bed_count,
   '0.'||lpad(cast((n_nationkey*37) % 100 as string),2,'0') avg_occupancy
 from {nation}
 """,
@@ -65,7 +62,7 @@ from {nation}
 with b as (select l_orderkey o, l_linenumber n, l_orderkey*10+l_linenumber k, l_partkey p, cast(year(l_shipdate) as string) y,
   lpad(cast(month(l_shipdate) as string),2,'0') m, lpad(cast(day(l_shipdate) as string),2,'0') d from {lineitem})
 select cast(k as string) diagnosis_id, cast(o as string) admission_id,
-  case k % 6 when 0 then d||'/'||m||'/'||y when 1 then d||'-'||m||'-'||substring(y,3,2) when 2 then y||'-'||m||'-'||d
+  case k % 6 when 0 then d||'/'||m||'/'||y when 1 then d||case k % 5 when 0 then '   -   ' else '-' end||m||' - '||substring(y,3,2) when 2 then y||'-'||m||'-'||d
     when 3 then m||'-'||d||'-'||y when 4 then '-' else y||'/'||m||'/'||d end diagnosis_date,
   case p % 7 when 0 then 'A1B2' when 1 then 'a'||lpad(cast(p % 100 as string),2,'0')||'.'||cast(p % 10 as string)
     when 2 then 'B12-3' else chr(65+cast(p % 26 as int))||lpad(cast(p % 100 as string),2,'0')||cast(p % 10 as string) end icd_code,
@@ -93,7 +90,7 @@ with b as (select event_id k, user_id u, event_type t, cast(value as decimal(18,
 select cast(k as string) lab_result_id, case u % 19 when 0 then 'See Attached' else cast(u as string) end admission_id,
   case k % 5 when 0 then d||'/'||m||'/'||y when 1 then m||'-'||d||'-'||y when 2 then 'See Attached' when 3 then y||'/'||m||'/'||d
     else y||'-'||m||'-'||d end test_date,
-  t||'    panel' test_name, case k % 8 when 0 then 'see attached' else cast(v as string) end result_value,
+  t||'    panel' test_name, case when k % 8 = 0 then 'see attached' when k % 1009 = 5 then '99999999999999.5' else cast(v as string) end result_value,
   case k % 3 when 0 then 'mg/dL' when 1 then '-' else 'mmol' end unit, '3.5 - '||cast(k % 9 as string)||'.0' reference_range,
   case k % 4 when 0 then 'h' when 1 then 'NORMAL' when 2 then 'low' else '' end status, 'tech '||cast(u as string) lab_technician
 from b
@@ -122,7 +119,7 @@ with b as (select l_orderkey o, l_linenumber n, l_orderkey*10+l_linenumber k, l_
 select cast(k as string) procedure_id, cast(o as string) admission_id, cast(s as string) provider_id,
   case p % 6 when 0 then 'A0001' when 1 then cast(p as string)||'.0' when 2 then '12.5' when 3 then '99,213' when 4 then '—' else cast(p as string) end cpt_code,
   case p % 4 when 0 then 'CT scan of chest' when 1 then 'chest x-ray, pa' when 2 then 'MRI,BRAIN' else 'tbd' end procedure_description,
-  case k % 5 when 0 then d||'.'||m||'.'||y when 1 then m||'/'||d||'/'||y when 2 then mon||' '||d||', '||y when 3 then y||m||d else y||'-'||m||'-'||d end procedure_date,
+  case k % 5 when 0 then d||'.'||m||'.'||y when 1 then m||'/'||d||'/'||y when 2 then mon||' '||d||', '||y when 3 then y||m||d else y||'-'||m||'-'||d||case k % 3 when 0 then 'T10:11:12' else '' end end procedure_date,
   ' '||cast(c as string) procedure_cost
 from b
 """,
@@ -175,8 +172,7 @@ from {events}
 def raw_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One raw table over the parquet files in ``sf_dir``."""
     source, sql = RAW_SQL[name]
-    df = table(spark, sf_dir, source)
-    return spark.sql(sql, **{source: df if source in DIMENSIONS else spread(df)})
+    return spark.sql(sql, **{source: table(spark, sf_dir, source)})
 
 
 def raw_duckdb(name: str) -> str:

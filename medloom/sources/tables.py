@@ -14,16 +14,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Deal the rows out to all cores when the files have fewer splits than there are cores.
-
-    Standardizing costs far more per row than reading, so one small file would keep all but one core idle.
-    Large tables have more splits than cores and pass unchanged, without a shuffle.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
-
-
 def read_text_csv(spark: SparkSession, path: str, columns: Sequence[str], **options: str) -> DataFrame:
     """CSV with a header, every column as text. No inference, so the files are read once."""
     schema = T.StructType([T.StructField(c, T.StringType()) for c in columns])

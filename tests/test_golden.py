@@ -49,24 +49,28 @@ CASES = [
       "20211301", "03 Apr 2021"],
      [d(2021, 3, 4), d(2021, 4, 13), d(2021, 4, 3), d(2021, 4, 3), d(2021, 4, 3), None, d(2021, 4, 3),
       None, None, None, None, None, d(2021, 4, 3), None, None]),
-    ("diagnosis dates", lambda x: D.parse_date(D.close_gaps(D.date_text(x)), D.DIAGNOSIS_CLASSES),
-     ["03/04/2021", "04/13/2021", "05-04-21", "05-04-30", "04-25-29", "05 - 04 - 21", "2021-04-03 10:11:12.5", "30/02/2021"],
-     [d(2021, 4, 3), d(2021, 4, 13), d(2021, 4, 5), d(1930, 4, 5), d(2029, 4, 25), d(2021, 4, 5), d(2021, 4, 3), None]),
+    ("diagnosis dates", lambda x: D.parse_date(D.date_text(x), D.DIAGNOSIS_CLASSES),
+     ["03/04/2021", "04/13/2021", "05-04-21", "05-04-30", "04-25-29", "05 - 04 - 21", "2021-04-03 10:11:12.5", "30/02/2021",
+      "05   -   04-21", "0 5-04-21", "03 - 04 - 2021", "2021-04-03T10:11:12", "2021-04-03\u0085"],
+     [d(2021, 4, 3), d(2021, 4, 13), d(2021, 4, 5), d(1930, 4, 5), d(2029, 4, 25), d(2021, 4, 5), d(2021, 4, 3), None,
+      d(2021, 4, 5), d(2021, 4, 5), None, None, None]),
     ("test dates", day(D.TEST_CLASSES), ["03/04/2021", "12-25-2021", "20210403"],
      [d(2021, 4, 3), d(2021, 12, 25), None]),
     ("birth dates", day(D.BIRTH_CLASSES), ["03/04/2021", "19700203", "1980-01-1"],
      [d(2021, 3, 4), d(1970, 2, 3), d(1980, 1, 1)]),
     ("procedure dates", day(D.PROCEDURE_CLASSES),
-     ["03.04.2021", "Apr 03 2021 10:11AM", "5-jan-2021", "5 January 2021", "25.12.2021", "2021-04-03 10:11"],
-     [d(2021, 3, 4), d(2021, 4, 3), d(2021, 1, 5), d(2021, 1, 5), d(2021, 12, 25), d(2021, 4, 3)]),
+     ["03.04.2021", "Apr 03 2021 10:11AM", "5-jan-2021", "5 January 2021", "25.12.2021", "2021-04-03 10:11",
+      "2021-04-03T10:11:12", "2021-04-03T10:11:12.123", "2021-04-03T10:11", "2021-04-03T"],
+     [d(2021, 3, 4), d(2021, 4, 3), d(2021, 1, 5), d(2021, 1, 5), d(2021, 12, 25), d(2021, 4, 3), d(2021, 4, 3), d(2021, 4, 3),
+      None, None]),
     ("created", D.parse_created,
      ["2001-07-20 08:09:10", "2001-07-20T08:09:10", "2001-07-20", "03-04-2021", "2001-07-20 08:09:10.6",
       "2001-07-20 08:09:10.49", "2001-07-20 08:09", "2001-12-31 23:59:59.5"],
      [datetime(2001, 7, 20, 8, 9, 10), datetime(2001, 7, 20, 8, 9, 10), datetime(2001, 7, 20), None,
       datetime(2001, 7, 20, 8, 9, 11), datetime(2001, 7, 20, 8, 9, 10), datetime(2001, 7, 20, 8, 9),
       datetime(2002, 1, 1)]),
-    ("icd", N.icd_code, ["a12.3", "A123", "A1B2", "A12.", "A12.34567", "A12-3", "A12.3.4", "A12..", "A12..3", "a 123"],
-     ["A12.3", "A123", None, None, None, None, "A12.3.4", None, "A12..3", "A123"]),
+    ("icd", N.icd_code, ["a12.3", "A123", "A1B2", "A12.", "A12.34567", "A12-3", "A12.3.4", "A12..", "A12..3", "a 123", "A123\u0085"],
+     ["A12.3", "A123", None, None, None, None, "A12.3.4", None, "A12..3", "A123", None]),
     ("cpt", lambda x: N.cpt_code(N.cpt_number(x)), ["99", "99213.0", "123456", "99,213", "-5", "12.5", "A0001", "0", "99212.999999"],
      ["00099", "99213", None, "99213", None, None, None, "00000", "99213"]),
     ("pincode", N.pincode, ["560 001", "012345", "12345", "1,23,456", "+123456", "0123456"],

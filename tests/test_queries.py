@@ -24,10 +24,3 @@ def test_entry_runs(spark):
 
 def test_every_check_has_a_query():
     assert set(entry.oracle_sql()) <= set(entry.queries())
-
-
-def test_seeded_sample_profiles_every_column(spark):
-    df = entry.queries()["profile_sampled_seeded"](spark, SF_SMALL)
-    rows = df.collect()
-    assert len(rows) == 11
-    assert {r.sample_rows for r in rows} and all(700 <= r.sample_rows <= 1300 for r in rows)
