@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from medloom.llm.mapping import arrow_map
-from medloom.llm.vocab import batched, spaced_pieces
+from medloom.llm.vocab import batched, byte_letters, spaced_pieces
 
 KEPT_PIECES = 200_000
 KEPT_PAIRS = 500_000
@@ -32,13 +32,6 @@ WORDS = regex.compile(
 )
 
 
-def byte_letters() -> dict[str, int]:
-    """The letter that stands for each byte in vocabulary files: itself if printable, else the next free one from 256."""
-    printable = {*range(33, 127), *range(161, 173), *range(174, 256)}
-    spare = iter(range(256, 512))
-    return {chr(b if b in printable else next(spare)): b for b in range(256)}
-
-
 class PrefixEncoder:
     """Encoder and decoder of a byte-level vocabulary file of the tokenizers library."""
 

@@ -1,8 +1,8 @@
 """Token ids in files of canonical, length-limited Huffman codes, decoded by tables in independent blocks.
 
-Encoding takes two passes over the texts. The first counts ids: every task sends one row per id it met, so at most a
-vocabulary's worth, and the sums (bounded by the vocabulary) go to the driver, which fits code lengths by
-package-merge. The second sorts documents by id into range partitions, tokenizes, and packs bits.
+Documents are sorted by id into range partitions, tokenized once, and their ids kept in the shared folder. A first pass
+over the ids counts them: every task sends one row per id it met, so at most a vocabulary's worth, and the sums
+(bounded by the vocabulary) go to the driver, which fits code lengths by package-merge. A second pass packs bits.
 
 File format. A folder with two Parquet tables:
 
@@ -27,6 +27,7 @@ from pyspark.sql import types as T
 
 from medloom.llm.mapping import arrow_map
 from medloom.llm.vocab import encoder
+from medloom.sources.shared import new_path
 
 BLOCK = 256
 MAX_BITS = 18
@@ -133,52 +134,63 @@ def unpack_bits(
     return done
 
 
-def _texts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    return docs.select(F.col(f"`{id_col}`").alias("_id"), F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit("")).alias("_text"))
+def _tokenize(path: str, end_id: int) -> Callable:
+    """The ids of each document, its part, and how many ids come before it in the part."""
 
-
-def _count(path: str, end_id: int) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(end_id + 1, np.int64)
+        part, before = TaskContext.get().partitionId(), 0
+        end = np.array([end_id], "<u4").tobytes()
         for batch in batches:
-            texts = batch.column("_text").to_pylist()
-            total[end_id] += len(texts)
-            for own in encoder(path).encode(texts):
-                found = np.bincount(np.frombuffer(own, "<u4"))
-                if len(found) > len(total):
-                    total = np.append(total, np.zeros(len(found) - len(total), np.int64))
-                total[: len(found)] += found
-        ids = np.flatnonzero(total)
-        if len(ids):
-            yield pa.RecordBatch.from_pydict({"id": pa.array(ids.astype(np.int32)), "n": pa.array(total[ids])})
+            encoded = encoder(path).encode(batch.column("_text").to_pylist())
+            for at in range(0, batch.num_rows, 500):
+                own = [np.frombuffer(x + end, "<u4") for _, x in zip(range(min(500, batch.num_rows - at)), encoded, strict=False)]
+                ends = before + np.cumsum([len(x) for x in own])
+                wide = [x.astype("<u2").tobytes() if x.max() < 1 << 16 else x.tobytes() for x in own]
+                yield pa.RecordBatch.from_pydict(
+                    {
+                        "part": pa.array(np.full(len(own), part, np.int32)),
+                        "before": pa.array(np.append(before, ends[:-1])),
+                        "n": pa.array(np.diff(ends, prepend=before)),
+                        "_id": batch.column("_id").slice(at, len(own)),
+                        "ids": pa.array(wide, pa.binary()),
+                    }
+                )
+                before = int(ends[-1])
 
     return run
 
 
-def id_counts(docs: DataFrame, path: str, end_id: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """How often each id occurs in all documents, end ids included."""
-    rows = _texts(docs, id_col, text_col).select("_text")
-    return arrow_map(rows, _count(path, end_id), "id int, n long").groupBy("id").agg(F.sum("n").alias("n"))
+def _ids(raw: bytes, n: int) -> np.ndarray:
+    return np.frombuffer(raw, "<u2" if len(raw) == 2 * n else "<u4")
+
 
+def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    total = np.zeros(0, np.int64)
+    for batch in batches:
+        for raw, n in zip(batch.column("ids").to_pylist(), batch.column("n").to_pylist(), strict=True):
+            found = np.bincount(_ids(raw, n), minlength=len(total))
+            found[: len(total)] += total
+            total = found
+    ids = np.flatnonzero(total)
+    if len(ids):
+        yield pa.RecordBatch.from_pydict({"id": pa.array(ids.astype(np.int32)), "n": pa.array(total[ids])})
 
-def _encode(path: str, end_id: int, lengths: np.ndarray) -> Callable:
+
+def _encode(lengths: np.ndarray) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codes = canonical_codes(lengths)
-        part, first = TaskContext.get().partitionId(), 0
-        end = np.array([end_id], "<u4").tobytes()
         names: list = []
-        sizes: list[int] = []
-        waiting: list[bytes] = []
-        held, id_type = 0, pa.null()
+        waiting: list[np.ndarray] = []
+        part, first, held, id_type = -1, 0, 0, pa.null()
 
         def segment() -> pa.RecordBatch:
-            payload, marks = pack_bits(np.frombuffer(b"".join(waiting), "<u4"), lengths, codes)
+            payload, marks = pack_bits(np.concatenate(waiting), lengths, codes)
             return pa.RecordBatch.from_pydict(
                 {
                     "part": pa.array([part], pa.int32()),
                     "first": pa.array([first], pa.int64()),
                     "doc_ids": pa.array([names], pa.list_(id_type)),
-                    "n_tokens": pa.array([sizes], pa.list_(pa.int64())),
+                    "n_tokens": pa.array([[len(x) for x in waiting]], pa.list_(pa.int64())),
                     "payload": pa.array([payload], pa.binary()),
                     "checkpoints": pa.array([marks.tobytes()], pa.binary()),
                 }
@@ -186,16 +198,16 @@ def _encode(path: str, end_id: int, lengths: np.ndarray) -> Callable:
 
         for batch in batches:
             id_type = batch.column("_id").type
-            ids = batch.column("_id").to_pylist()
-            for name, own in zip(ids, encoder(path).encode(batch.column("_text").to_pylist()), strict=True):
-                names.append(name)
-                waiting.append(own + end)
-                sizes.append(len(waiting[-1]) // 4)
-                held += sizes[-1]
-                if held >= SEGMENT_IDS:
+            columns = (batch.column(c).to_pylist() for c in ("_id", "ids", "part", "before", "n"))
+            for name, raw, own_part, before, n in zip(*columns, strict=True):
+                if names and (own_part != part or before != first + held or held >= SEGMENT_IDS):
                     yield segment()
-                    first += held
-                    names, sizes, waiting, held = [], [], [], 0
+                    names, waiting, held = [], [], 0
+                if not names:
+                    part, first = own_part, before
+                names.append(name)
+                waiting.append(_ids(raw, n))
+                held += n
         if names:
             yield segment()
 
@@ -212,17 +224,24 @@ def write_ids(
     folder without segments.
     """
     spark = docs.sparkSession
-    counts = id_counts(docs, tokenizer_path, end_id, id_col, text_col).orderBy("id").collect()  # at most the vocabulary
+    text = F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit(""))
+    rows = docs.select(F.col(f"`{id_col}`").alias("_id"), text.alias("_text")).withColumn("_hash", F.xxhash64("_text"))
+    id_type = rows.schema["_id"].dataType
+    ordered = rows.repartitionByRange("_id", "_hash").sortWithinPartitions("_id", "_hash").drop("_hash")
+    longs = [T.StructField(c, T.LongType()) for c in ("before", "n")]
+    fields = [T.StructField("part", T.IntegerType()), *longs, rows.schema["_id"], T.StructField("ids", T.BinaryType())]
+    kept = new_path(spark, "ids")
+    arrow_map(ordered, _tokenize(tokenizer_path, end_id), T.StructType(fields)).write.option("compression", "zstd").parquet(kept)
+    tokens = spark.read.schema(T.StructType(fields)).parquet(kept)
+    counts = arrow_map(tokens.select("ids", "n"), _count, "id int, n long").groupBy("id").agg(F.sum("n").alias("n"))
+    counts = counts.orderBy("id").collect()  # at most the vocabulary
     lengths = np.zeros(max((r.id for r in counts), default=0) + 1, np.uint8)
     if counts:
         lengths[[r.id for r in counts]] = code_lengths(np.array([r.n for r in counts]), max_bits)
     spark.createDataFrame([(r.id, int(lengths[r.id])) for r in counts], "id int, bits int").coalesce(1).write.parquet(f"{folder}/code")
-    rows = _texts(docs, id_col, text_col).withColumn("_hash", F.xxhash64("_text"))
-    id_type = rows.schema["_id"].dataType
     fields = [T.StructField("part", T.IntegerType()), T.StructField("first", T.LongType()), T.StructField("doc_ids", T.ArrayType(id_type)), T.StructField("n_tokens", T.ArrayType(T.LongType()))]
     fields += [T.StructField(c, T.BinaryType()) for c in ("payload", "checkpoints")]
-    ordered = rows.repartitionByRange("_id", "_hash").sortWithinPartitions("_id", "_hash").drop("_hash")
-    segments = arrow_map(ordered, _encode(tokenizer_path, end_id, lengths), T.StructType(fields))
+    segments = arrow_map(tokens, _encode(lengths), T.StructType(fields))
     segments.write.option("compression", "uncompressed").parquet(f"{folder}/segments")
 
 

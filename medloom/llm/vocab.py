@@ -8,13 +8,15 @@ from __future__ import annotations
 
 import os
 import re
+from array import array
 from collections.abc import Iterable, Iterator
+from itertools import accumulate, chain
 
 import numpy as np
 
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 
-KEPT_PIECES = 400_000
+KEPT_PIECES = 1_200_000
 BATCH_CHARS = 1 << 21
 #: A space before something that is no white space starts a piece of a byte-level tokenizer.
 _SPACE = re.compile(r" (?=\S)")
@@ -47,11 +49,21 @@ def batched(texts: Iterable[str], limit: int = BATCH_CHARS) -> Iterator[list[str
         yield group
 
 
+def byte_letters() -> dict[str, int]:
+    """The letter that stands for each byte in vocabulary files: itself if printable, else the next free one from 256."""
+    printable = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    spare = iter(range(256, 512))
+    return {chr(b if b in printable else next(spare)): b for b in range(256)}
+
+
 class PieceEncoder:
     """Ids of texts, as little-endian unsigned 32-bit integers, from a file of the tokenizers library.
 
-    ``byte_level`` vocabularies keep white space: pieces start with their space. Others drop it. Texts that hold a
-    special token's string go through the tokenizer whole, as the string takes part in cutting.
+    ``byte_level`` vocabularies keep white space: pieces start with their space. Others drop it, and fold case where
+    their normaliser does; A-Z are then folded before looking a piece up. Commas and full stops after a letter or digit
+    are words of their own to the tokenizer, so a piece that ends in them is put together. A piece of Latin-1 letters is one
+    word, in normal form, and goes straight to the tokenizer's model. Texts that hold a special
+    token's string go through the tokenizer whole, as the string takes part in cutting.
     """
 
     def __init__(self, path: str, kept: int = KEPT_PIECES):
@@ -61,37 +73,79 @@ class PieceEncoder:
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
         self.byte_level = self.tokenizer.normalizer is None
-        self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.special = [t.content.encode() for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.model = self.tokenizer.model
+        self.letters = {b: c for c, b in byte_letters().items()}
         self.kept = kept
-        self.first: dict[str, bytes] = {}
-        self.rest: dict[str, bytes] = {}
+        self.first: dict[bytes, bytes] = {}
+        self.rest: dict[bytes, bytes] = {}
+        self.tails: dict[bytes, bytes] = {}
 
     def _whole(self, texts: list[str]) -> list[bytes]:
-        done = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        return [np.array(e.ids, "<u4").tobytes() for e in done]
+        ids = [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        raw = np.fromiter(chain.from_iterable(ids), "<u4").tobytes()
+        ends = list(accumulate(map(len, ids)))
+        return [raw[4 * a : 4 * b] for a, b in zip([0, *ends], ends, strict=False)]
 
-    def _learn(self, table: dict[str, bytes], pieces: set[str], prefix: str) -> None:
+    def _learn(self, table: dict[bytes, bytes], pieces: set[bytes], prefix: str) -> None:
         new = [p for p in pieces if p not in table]
         if len(table) + len(new) > self.kept:
             table.clear()
             new = list(pieces)
-        for at in range(0, len(new), 10_000):
-            part = new[at : at + 10_000]
-            table.update(zip(part, self._whole([prefix + p for p in part]), strict=True))
+        ask, joined = set(), []
+        for p in new:
+            core = p.rstrip(b",.")
+            if len(core) < len(p) and core[-1:].isalnum():
+                joined.append((p, core, p[len(core) :]))
+                if core not in table:
+                    ask.add(core)
+            else:
+                ask.add(p)
+        model, head = self.model, prefix.replace(" ", self.letters[32])
+        todo = []
+        for p in ask:
+            word = p.decode()
+            if word.isalpha() and max(word) < "\u0100":
+                if not self.byte_level:
+                    word = word.lower()
+                if not p.isascii():
+                    word = word.encode().decode("latin-1").translate(self.letters)
+                table[p] = array("I", [t.id for t in model.tokenize(head + word)]).tobytes()
+            else:
+                todo.append(p)
+        for at in range(0, len(todo), 10_000):
+            part = todo[at : at + 10_000]
+            table.update(zip(part, self._whole([prefix + p.decode() for p in part]), strict=True))
+        for p, core, tail in joined:
+            if tail not in self.tails:
+                if len(self.tails) > self.kept:
+                    self.tails.clear()
+                self.tails[tail] = self._whole([tail.decode()])[0]
+            table[p] = table[core] + self.tails[tail]
+
+    def _cut(self, text: str) -> list[bytes] | None:
+        """The pieces of a text, or nothing if it holds a special token's string."""
+        raw = text.encode()
+        if not self.byte_level:
+            raw = raw.lower()  # ASCII only
+        if any(s in raw for s in self.special):
+            return None
+        if not self.byte_level or _AWKWARD.search(text) is None:
+            return raw.split(b" ")
+        return [p.encode() for p in _SPACE.split(text)]
 
     def encode(self, texts: list[str]) -> Iterator[bytes]:
         """The ids of each text, in order."""
         for group in batched(texts):
-            plain = [not any(s in t for s in self.special) for t in group]
-            cut = [(spaced_pieces(t) if self.byte_level else t.split(" ")) if ok else [] for t, ok in zip(group, plain, strict=True)]
+            cut = [self._cut(t) for t in group]
             if self.byte_level:
                 self._learn(self.first, {c[0] for c in cut if c}, "")
-                self._learn(self.rest, set().union(*(c[1:] for c in cut)), " ")
+                self._learn(self.rest, set().union(*(c[1:] for c in cut if c)), " ")
             else:
-                self._learn(self.rest, set().union(*cut), "")
+                self._learn(self.rest, set().union(*(c for c in cut if c)), "")
             rest = self.rest.__getitem__
-            for text, pieces, ok in zip(group, cut, plain, strict=True):
-                if not ok:
+            for text, pieces in zip(group, cut, strict=True):
+                if pieces is None:
                     yield self._whole([text])[0]
                 elif self.byte_level:
                     yield self.first[pieces[0]] + b"".join(map(rest, pieces[1:]))
