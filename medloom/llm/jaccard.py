@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from medloom.llm.components import components
+from medloom.llm.components import Forest, components
 from medloom.llm.mapping import arrow_map
 from medloom.llm.rolling import SECOND, chunks, gram_hashes, mix, prefix_sums, ranges, stretch_hash, word_layout
 from medloom.llm.stretches import keyed, same_row
@@ -195,24 +195,6 @@ def _sets(words: int) -> Callable:
     return run
 
 
-class Forest:
-    """Union-find over numbers 0 to n - 1."""
-
-    def __init__(self, n: int):
-        self.up = list(range(n))
-
-    def root(self, i: int) -> int:
-        while self.up[i] != i:
-            self.up[i] = self.up[self.up[i]]
-            i = self.up[i]
-        return i
-
-    def join(self, i: int, j: int) -> bool:
-        i, j = self.root(i), self.root(j)
-        self.up[max(i, j)] = min(i, j)
-        return i != j
-
-
 def spanning_links(sets: list[np.ndarray], percent: int) -> list[tuple[int, int]]:
     """Links between sets, enough of them to give all connected components."""
     m = len(sets)

@@ -9,7 +9,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from medloom.llm import exact, jaccard
-from medloom.llm.components import components
+from medloom.llm.components import Forest, components
 
 SCHEMA = "doc_id long, text string"
 
@@ -64,14 +64,14 @@ def test_linked_sets_share_a_part_and_a_block_gives_its_components(seed, percent
         return
     digests, counts = jaccard.part_digests(np.concatenate(sets), np.array([len(s) for s in sets]), percent)
     parts = [set(p.tolist()) for p in np.split(digests, np.cumsum(counts)[:-1])]
-    forest = jaccard.Forest(len(sets))
+    forest = Forest(len(sets))
     for i in range(len(sets)):
         for j in range(i):
             both = len(np.intersect1d(sets[i], sets[j]))
             if 100 * both >= percent * (len(sets[i]) + len(sets[j]) - both):
                 assert parts[i] & parts[j]
                 forest.join(i, j)
-    spanned = jaccard.Forest(len(sets))
+    spanned = Forest(len(sets))
     for i, j in jaccard.spanning_links(sets, percent):
         spanned.join(i, j)
     assert [forest.root(i) for i in range(len(sets))] == [spanned.root(i) for i in range(len(sets))]
@@ -84,7 +84,8 @@ def test_no_documents(spark):
     assert exact.dedup(none).count() == 0
 
 
-def test_components(spark):
+@pytest.mark.parametrize("task_edges", [0, 10**6])
+def test_components(spark, task_edges):
     rng = random.Random(2)
     edges = [(rng.randint(-50, 400), rng.randint(-50, 400)) for _ in range(230)] + [(1000 + i, 1001 + i) for i in range(60)] + [(7, 7), (3, 2), (2, 3)]
     up = {}
@@ -98,7 +99,7 @@ def test_components(spark):
         if a != b:
             x, y = root(a), root(b)
             up[max(x, y)] = min(x, y)
-    got = components(spark.createDataFrame(edges, "a long, b long")).collect()
+    got = components(spark.createDataFrame(edges, "a long, b long"), task_edges).collect()
     assert brute.same(got, [(x, root(x)) for x in up])
 
 
