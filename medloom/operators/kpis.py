@@ -57,15 +57,14 @@ def with_prior_month(monthly: DataFrame, month: str, value: str, alias: str) ->
 
 def kpi_los_monthly(admissions: DataFrame) -> DataFrame:
     """Admissions, mean and median stay per month of admission, and the change on the month before."""
-    stays = admissions.filter(
-        F.col("admission_date_final").isNotNull() & F.col("discharge_date_final").isNotNull()
-    ).select(
+    stays = admissions.select(
         month_of("admission_date_final").alias("admission_month"),
         F.datediff("discharge_date_final", "admission_date_final").alias("los_days"),
     )
     monthly = (
         stays.groupBy("admission_month", "los_days")
-        .agg(F.count(F.lit(1)).alias("n"))
+        .agg(F.count("los_days").alias("n"))
+        .filter("n > 0")  # both dates known; a filter on the dates themselves would be copied into their rules
         .groupBy("admission_month")
         .agg(
             F.sum("n").alias("admissions"),

@@ -40,6 +40,27 @@ def test_standardizing_is_one_map_stage_of_compiled_code(stored, entity):
     assert sizes and max(sizes) < COMPILED_SIZE
 
 
+@pytest.mark.parametrize("entity", sorted(STANDARDIZE))
+def test_registered_standardizing_has_no_exchange(spark, entity):
+    assert "Exchange" not in explained(Q.QUERIES[f"std_{entity}"](spark, SF_SMALL))
+
+
+def test_profile_counts_once(spark):
+    """Counts and top values read one exchange of (column, value) counts."""
+    df = profile_columns(table(spark, SF_SMALL, "orders"))
+    df.collect()
+    final = df._jdf.queryExecution().executedPlan().toString().partition("== Initial Plan ==")[0]
+    keyed = [x for x in final.splitlines() if re.search(r"Exchange hashpartitioning\(column_no#\d+, value#\d+", x)]
+    assert len(keyed) == 2 and sum("ReusedExchange" in x for x in keyed) == 1
+
+
+def test_stay_lengths_parse_dates_once(spark):
+    def patterns(df):
+        return df._jdf.queryExecution().optimizedPlan().toString().count("regexp_replace")
+
+    assert patterns(Q.QUERIES["kpi_los_monthly"](spark, SF_SMALL)) <= patterns(Q.QUERIES["std_admissions"](spark, SF_SMALL))
+
+
 @pytest.mark.parametrize("entity", sorted(STANDARDIZE))
 def test_health_is_one_aggregate(spark, stored, entity):
     df = HEALTH[entity](STANDARDIZE[entity](stored[entity]), Q.AS_OF[entity])

@@ -4,10 +4,12 @@ import calendar
 import datetime as dt
 import random
 from collections import Counter, defaultdict
+from decimal import Decimal
 
+import pytest
 from pyspark.sql import functions as F
 
-from medloom.operators import kpis, profile, quality
+from medloom.operators import conform, deid, health, kpis, profile, quality, standardize
 from medloom.operators.conform import conform_column, map_frame
 
 D = dt.date
@@ -172,7 +174,7 @@ def test_profile_range_is_exact_for_large_numbers_and_decimals(spark):
 def test_key_sample_is_repeatable_and_near_its_size(spark):
     df = spark.range(20000)
     first = {r.id for r in profile.sample_by_key(df, 0.1, ("id",)).collect()}
-    again = {r.id for r in profile.sample_by_key(df.repartition(9), 2000, 20000, ("id",)).collect()}
+    again = {r.id for r in profile.sample_by_key(df.repartition(9), 0.1, ("id",)).collect()}
     assert first == again and 1700 < len(first) < 2300
 
 
@@ -188,3 +190,81 @@ def test_exclude_rows_keeps_rows_without_key(spark):
     tests = spark.createDataFrame([(3,), (3,), (None,)], "k int")
     got = quality.exclude_rows(df, F.col("gone"), tests, "k").collect()
     assert sorted(str(r.k) for r in got) == ["1", "None"]
+
+
+SPLIT = {
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "64k",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64k",
+}
+
+
+@pytest.fixture
+def small_partitions(spark):
+    before = {k: spark.conf.get(k, None) for k in SPLIT}
+    for k, v in SPLIT.items():
+        spark.conf.set(k, v)
+    yield
+    for k, v in before.items():
+        spark.conf.set(k, v) if v is not None else spark.conf.unset(k)
+
+
+def final_plan(df):
+    df.collect()
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_frequent_and_missing_keys_are_split(spark, small_partitions):
+    """Half of the rows have one key, a sixth has none."""
+    key = F.when(F.col("id") % 2 == 0, 1).when(F.col("id") % 3 == 0, None).otherwise(F.col("id")).cast("string")
+    df = spark.range(120_000).select(key.alias("k"), F.sha2(F.col("id").cast("string"), 256).alias("payload"))
+    keys = spark.range(1, 120_000, 2).select(F.col("id").cast("string").alias("k"))
+    pairs = keys.select(F.col("k").alias("source_value"), F.lit("x").alias("standard_value"))
+    assert "skew=true" in final_plan(quality.with_match(df, keys, "k"))
+    assert "skew=true" in final_plan(quality.exclude_rows(df, None, keys.filter("k <> '1'"), "k"))
+    conformed = conform.conform(df, {"k": pairs})
+    assert "skew=true" in final_plan(conformed) and conformed.count() == 120_000
+
+
+def test_health_skips_values_that_do_not_fit(spark):
+    labs = spark.createDataFrame(
+        [(D(2024, 1, 29), Decimal("99999999999999.5")), (D(2024, 1, 29), Decimal("2.5"))], "test_date date, result_value decimal(18,4)"
+    )
+    values = {r.metric: r.value_num for r in health.health_lab_results(labs, D(2024, 1, 30)).collect()}
+    assert values["avg_result_value_last_30d"] == 2.5 and values["lab_results_last_30d"] == 2
+    bills = spark.createDataFrame(
+        [(D(2024, 1, 29), Decimal("9999999999999999.99"), Decimal("1.00")), (D(2024, 1, 29), Decimal("3.00"), Decimal("9999999999999999.99"))],
+        "bill_date date, total_amount decimal(18,2), patient_due decimal(18,2)",
+    )
+    values = {r.metric: r.value_num for r in health.health_billing(bills, D(2024, 1, 30)).collect()}
+    assert values["total_amount_last_30d"] == 3 and values["patient_due_last_30d"] == 1
+
+
+def test_shift_does_not_follow_from_exported_hashes(spark):
+    ids = spark.range(3000).select(F.col("id").cast("int").alias("admission_id"))
+    rows = ids.select(
+        deid.hashed_encounter(F.col("admission_id"), "s").alias("h"), deid.hashed(F.col("admission_id"), "s").alias("p"),
+        deid.shift_of(F.col("admission_id"), "s").alias("shift"),
+    ).collect()
+    for column in ("h", "p"):
+        guessed = sum((int(r[column][:8], 16) % 7 - 3) == r["shift"] for r in rows)
+        assert guessed < 0.2 * len(rows)  # one in seven by chance
+    assert not {r["h"] for r in rows} & {r["p"] for r in rows}
+    assert {r["shift"] for r in rows} == set(range(-3, 4))
+
+
+def test_occupancy_counts_open_stays_and_unknown_departments(spark):
+    stays = spark.createDataFrame(
+        [(1, 1, 1, 'NA', D(2024, 1, 30), None), (2, 1, 9, 'NA', D(2024, 1, 1), D(2024, 1, 3)), (3, 1, 1, 'NA', D(2024, 3, 1), None)], STAY
+    )
+    departments = spark.createDataFrame([(1, 300)], "department_id int, bed_count int")
+    got = {(r.department_id, r.month): (r.patient_days, r.beds) for r in kpis.kpi_occupancy(stays, departments, D(2024, 2, 3)).collect()}
+    assert got == {(1, D(2024, 1, 1)): (2, 300), (1, D(2024, 2, 1)): (2, 300), (9, D(2024, 1, 1)): (2, None)}
+
+
+def test_large_departments_stay(spark):
+    names = ("department_id", "hospital_id", "dept_name", "hod", "bed_count", "avg_occupancy")
+    raw = spark.createDataFrame([("300", "7", "icu", "x", "264", "0.5")], ", ".join(f"{n} string" for n in names))
+    assert standardize.standardize_departments(raw).first().bed_count == 264
+    assert standardize.standardize_departments(raw, source_limits=True).count() == 0
