@@ -311,7 +311,8 @@ def similar_components(
     )
     heavy = chosen.groupBy("block").agg(F.ceil(F.sum("n") / block_grams).cast("int").alias("parts"))
     chosen = chosen.join(heavy, "block").select("_id", "_hash", "block", "parts")
-    texts = rows.join(chosen, same_row(rows, chosen)).select(rows["_id"], "_text", "block", "parts").dropDuplicates(["_id", "_text", "block"])
+    wanted = chosen.hint("merge")  # grows with the input: never broadcast
+    texts = rows.join(wanted, same_row(rows, wanted)).select(rows["_id"], "_text", "block", "parts").dropDuplicates(["_id", "_text", "block"])
     set_schema = T.StructType([rows.schema["_id"], T.StructField("block", T.LongType()), T.StructField("parts", T.IntegerType()), T.StructField("grams", T.BinaryType())])
     sets = arrow_map(texts, _sets(words), set_schema)
     own = F.pmod(F.xxhash64("_id"), F.col("parts")).cast("int")
