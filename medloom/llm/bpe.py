@@ -24,7 +24,7 @@ from pyspark.sql import types as T
 from medloom.llm.mapping import arrow_map
 from medloom.llm.vocab import batched, byte_letters, spaced_pieces
 
-KEPT_PIECES = 200_000
+KEPT_PIECES = 700_000
 KEPT_PAIRS = 500_000
 #: Fixed value: the pattern that cuts text into words before merging.
 WORDS = regex.compile(
@@ -55,6 +55,7 @@ class PrefixEncoder:
                 self.rank[token], self.halves[token] = at, pair
         self.pairs: dict[tuple[int, int], bool] = {}
         self.pieces: dict[str, tuple[str, bytes, int]] = {}
+        self.tails: dict[str, tuple[str, bytes, int]] = {}
         reachable: dict[int, bool] = {}
         for token in sorted(vocab.values(), key=lambda t: self.rank.get(t, -1)):
             if token in self.halves:
@@ -135,6 +136,21 @@ class PrefixEncoder:
         ids = self.text_ids(piece)
         return ",".join(map(str, ids)), self.decode(ids), len(ids)
 
+    def _learn(self, piece: str) -> tuple[str, bytes, int]:
+        """A piece that follows a space. Commas and full stops after a letter or digit are a word of their own."""
+        core = piece.rstrip(",.")
+        if len(core) < len(piece) and core[-1:].isalnum():
+            head = self.pieces.get(core) or self._learn(core)
+            end = piece[len(core) :]
+            if end not in self.tails:
+                self.tails[end] = self._piece(end)
+            tail = self.tails[end]
+            own = (f"{head[0]},{tail[0]}", head[1] + tail[1], head[2] + tail[2])
+        else:
+            own = self._piece(" " + piece)
+        self.pieces[piece] = own
+        return own
+
     def digest(self, text: str) -> tuple[int, str, str]:
         """Number of ids, and digests of the ids joined by commas and of the text decoded from them."""
         if any(s in text for s in self.special):
@@ -144,6 +160,7 @@ class PrefixEncoder:
             known = self.pieces
             if len(known) > KEPT_PIECES:
                 known.clear()
+                self.tails.clear()
             if len(self.pairs) > KEPT_PAIRS:
                 self.pairs.clear()
             parts = []
@@ -151,9 +168,7 @@ class PrefixEncoder:
                 parts.append(self._piece(cut[0]))
             for p in cut[1:]:
                 own = known.get(p)
-                if own is None:
-                    own = known[p] = self._piece(" " + p)
-                parts.append(own)
+                parts.append(own if own is not None else self._learn(p))
         ids = ",".join([p[0] for p in parts if p[0]])
         text = b"".join([p[1] for p in parts]).decode("utf-8", "replace")
         count = sum([p[2] for p in parts])
