@@ -3,14 +3,36 @@
 from __future__ import annotations
 
 import os
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
 _ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 
+#: Larger batches reach the functions in slices, which bounds what they hold besides the batch.
+SLICE_BYTES = 4 << 20
+
+
+def slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        step = max(1, batch.num_rows * SLICE_BYTES // max(1, batch.nbytes))
+        if step >= batch.num_rows:
+            yield batch
+        else:
+            for at in range(0, batch.num_rows, step):
+                yield batch.slice(at, step)
+
+
+def _sliced(function: Callable) -> Callable:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from function(slices(batches))
+
+    return run
+
+
 def arrow_map(df: DataFrame, function: Callable, schema: T.StructType | str) -> DataFrame:
     """``df.mapInArrow``, with this package importable in workers that run where the driver's files are.
 
@@ -20,4 +42,4 @@ def arrow_map(df: DataFrame, function: Callable, schema: T.StructType | str) ->
     paths = [p for p in environment.get("PYTHONPATH", "").split(os.pathsep) if p]
     if _ROOT not in paths:
         environment["PYTHONPATH"] = os.pathsep.join([*paths, _ROOT])
-    return df.mapInArrow(function, schema)
+    return df.mapInArrow(_sliced(function), schema)
