@@ -121,7 +121,8 @@ def part_digests(grams: np.ndarray, sizes: np.ndarray, percent: int) -> tuple[np
     least = np.append(least, size_classes(int(least[-1]) * 100 // percent + 1, percent)[len(least) : len(least) + 2])
     top = least[1:] - 1
     differ = 2 * top * (100 - percent) // (100 + percent)
-    spare = (differ + 1) // 50 + (differ >= 11)
+    # about three times as many as are empty by chance in the smallest set of the class, and up to two more
+    spare = np.ceil(3 * (differ + 1) * np.exp(-least[:-1] / (differ + 1))).astype(np.int64) * (differ > 0) + (differ >= 3) + (differ >= 11)
     parts = differ + 1 + spare
     own = np.searchsorted(least, sizes, side="right") - 1
     owner = np.repeat(np.arange(len(sizes)), sizes)
