@@ -121,8 +121,11 @@ def part_digests(grams: np.ndarray, sizes: np.ndarray, percent: int) -> tuple[np
     least = np.append(least, size_classes(int(least[-1]) * 100 // percent + 1, percent)[len(least) : len(least) + 2])
     top = least[1:] - 1
     differ = 2 * top * (100 - percent) // (100 + percent)
-    # about three times as many as are empty by chance in the smallest set of the class, and up to two more
-    spare = np.ceil(3 * (differ + 1) * np.exp(-least[:-1] / (differ + 1))).astype(np.int64) * (differ > 0) + (differ >= 3) + (differ >= 11)
+    # as many as are empty by chance in the smallest set that a set of the class can be linked to, and some deviations
+    tokens, spare = percent / 100 * least[:-1], np.zeros(len(top), np.int64)
+    for _ in range(3):
+        empty = (differ + 1 + spare) * np.exp(-tokens / (differ + 1 + spare)) * (differ > 0)
+        spare = np.ceil(empty + np.where(differ < 16, 2.0, 3.5) * np.sqrt(empty)).astype(np.int64)
     parts = differ + 1 + spare
     own = np.searchsorted(least, sizes, side="right") - 1
     owner = np.repeat(np.arange(len(sizes)), sizes)
