@@ -30,6 +30,7 @@ MAX_TOKENS = 2048
 MAX_SEGMENTS = 256
 BLOCK_DOCUMENTS = 4096
 BLOCK_TOKENS = 4_000_000
+KEPT_PIECES = 500_000
 
 
 class Packer:
@@ -106,7 +107,7 @@ class Packer:
 
 def _pack(path: str, end_id: int, limits: tuple[int, int, int], with_ids: bool, block: tuple[int, int]) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokenizer = encoder(path)
+        tokenizer = encoder(path, KEPT_PIECES)
         packer = Packer(*limits)
         base = TaskContext.get().partitionId() << 33
         end = np.array([end_id], "<u4").tobytes()

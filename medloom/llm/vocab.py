@@ -153,12 +153,12 @@ class PieceEncoder:
                     yield b"".join(map(rest, pieces))
 
 
-_ENCODERS: dict[str, PieceEncoder] = {}
+_ENCODERS: dict[tuple[str, int], PieceEncoder] = {}
 
 
-def encoder(path: str) -> PieceEncoder:
-    """The encoder of this worker process for a vocabulary file."""
-    if path not in _ENCODERS:
+def encoder(path: str, kept: int = KEPT_PIECES) -> PieceEncoder:
+    """The encoder of this worker process for a vocabulary file; it outlives the task, with the pieces it keeps."""
+    if (path, kept) not in _ENCODERS:
         _ENCODERS.clear()
-        _ENCODERS[path] = PieceEncoder(path)
-    return _ENCODERS[path]
+        _ENCODERS[path, kept] = PieceEncoder(path, kept)
+    return _ENCODERS[path, kept]
