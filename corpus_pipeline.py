@@ -28,8 +28,8 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group that is equal up to white space."""
-    return exact.dedup(docs)
+    """One row of each group that is equal up to white space, whether ids repeat, are missing or differ."""
+    return exact.dedup_rows(docs)
 
 
 def ngram_jaccard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

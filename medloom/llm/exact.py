@@ -14,7 +14,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from medloom.sources.shared import written
@@ -64,17 +64,23 @@ def possibly_repeated(digest: Column, hit: DataFrame, bits: int) -> Column:
     return out
 
 
-def _filtered(docs: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, Column, Callable[[Column], Column], DataFrame]:
-    """Digests of all rows, the digest expression, the test for possible repeats, and the groups of those."""
+def _tested(docs: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, Column, Callable[[Column], Column]]:
+    """Digests of all rows, the digest expression, and the test for possible repeats."""
     digest = F.sha2(normalised(F.col(f"`{text_col}`").cast("string")), 256)
     digests = written(docs.select(F.col(f"`{id_col}`").alias("_id"), digest.alias("digest")), "digests")
     bits = filter_bits(digests.count())
     hit = written(twice_hit(digests, bits), "bloom")
+    return digests, digest, lambda d: possibly_repeated(d, hit, bits)
+
+
+def _filtered(docs: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, Column, Callable[[Column], Column], DataFrame]:
+    """As :func:`_tested`, and the groups of the rows that are possibly repeated."""
+    digests, digest, again = _tested(docs, id_col, text_col)
     sizes = (
-        digests.filter(possibly_repeated(F.col("digest"), hit, bits))
+        digests.filter(again(F.col("digest")))
         .groupBy("digest").agg(F.min("_id").alias("keep_id"), F.count("*").alias("group_size"))
     )
-    return digests, digest, lambda d: possibly_repeated(d, hit, bits), written(sizes, "groups")
+    return digests, digest, again, written(sizes, "groups")
 
 
 def groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -100,10 +106,36 @@ def groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
 
 
 def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of ``docs``, with all their columns, without those that :func:`groups` drops."""
+    """The rows of ``docs``, with all their columns, without those that :func:`groups` drops.
+
+    Rows that repeat both text and id all stay; :func:`dedup_rows` thins them out too.
+    """
     _, digest, again, sizes = _filtered(docs, id_col, text_col)
     repeats = sizes.filter("group_size > 1").select(F.col("digest").alias("_digest"), F.col("keep_id").alias("_keep_id"))
     alone = docs.filter(~again(digest))
     maybe = docs.filter(again(digest))
     beaten = (digest == repeats["_digest"]) & ~maybe[f"`{id_col}`"].eqNullSafe(repeats["_keep_id"])
     return alone.unionByName(maybe.join(repeats, beaten, "left_anti"))
+
+
+def row_hash(df: DataFrame) -> Column:
+    """A hash of all columns that can be hashed, which orders rows that are otherwise equal."""
+    return F.xxhash64(*[F.col(f"`{f.name}`") for f in df.schema if not any(t in f.dataType.simpleString() for t in ("map<", "variant"))])
+
+
+def first_of_each(df: DataFrame, key: Column, *order: Column) -> DataFrame:
+    """One row of each key, the first by ``order``. Tasks keep one row a key before the shuffle."""
+    place = F.row_number().over(Window.partitionBy("_key").orderBy(*[F.col(f"_order{i}") for i in range(len(order))]))
+    rows = df.select(F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("_row"), key.alias("_key"), *[o.alias(f"_order{i}") for i, o in enumerate(order)])
+    return rows.withColumn("_place", place).filter("_place = 1").select("_row.*")
+
+
+def dedup_rows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of ``docs``, with all their columns, exactly one of each group of equal texts.
+
+    The smallest id stays, a missing id only where the group has no other; of rows that share the id, one of least hash.
+    """
+    _, digest, again = _tested(docs, id_col, text_col)
+    own = F.col(f"`{id_col}`")
+    maybe = docs.filter(again(digest))
+    return docs.filter(~again(digest)).unionByName(first_of_each(maybe, digest, own.isNull(), own, row_hash(docs)))

@@ -136,3 +136,14 @@ def test_exact_dedup_runs_no_python(spark):
     for out in (exact.groups(df), exact.dedup(df)):
         plan = spark._jvm.PythonSQLUtils.explainString(out._jdf.queryExecution(), "simple")
         assert "Python" not in plan and "Arrow" not in plan and "Cartesian" not in plan and "NestedLoop" not in plan
+
+
+def test_one_row_of_each_equal_text(spark):
+    rows = [*equal_texts(), (7, "again"), (7, "again"), (7, "again "), (None, "again"), (6, "x y"), (6, "x y")]
+    df = brute.hostile(spark.createDataFrame(rows, SCHEMA))
+    got = exact.dedup_rows(df)
+    assert got.columns == df.columns
+    kept = [(brute.one_space(r.text), r.doc_id) for r in got.collect()]
+    assert brute.same(kept, {(brute.one_space(t), g[1]) for (_, t), g in zip(rows, brute.equal_groups(rows), strict=True)})
+    plan = spark._jvm.PythonSQLUtils.explainString(got._jdf.queryExecution(), "simple")
+    assert "WindowGroupLimit" in plan and "Python" not in plan and "Arrow" not in plan

@@ -96,3 +96,22 @@ def test_hostile_rows_pass_through(spark):
         left = written(stage(spark, docs, SF_SMALL), name)
         assert left.count() > 0 and (name == "packing" or left.columns == docs.columns)
         docs = left
+
+
+def repeated_rows():
+    """A long text ingested twice under one id, one twice without id, and others."""
+    rng = random.Random(4)
+    words = [rng.choice(["der", "und", "the", "and", "les", "que", "los", "para"]) + rng.choice(["", "schaft", "tion", "eaux"]) + str(i) for i in range(400)]
+    twice, without = (" ".join(rng.sample(words, 60)) for _ in range(2))
+    rows = [(i, " ".join(rng.sample(words, 60)), "en", None, None) for i in range(20)]
+    return rows + [(100, twice, "en", "s", 1)] * 2 + [(None, without, "en", "s", 1)] * 2, twice, without
+
+
+def test_one_copy_of_rows_ingested_twice_stays_with_its_text(spark):
+    rows, twice, without = repeated_rows()
+    docs = brute.hostile(spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long"))
+    for name, stage in corpus_pipeline.STAGES[1:4]:
+        docs = written(stage(spark, docs, SF_SMALL), name)
+    left = pairs(docs)
+    assert len(left) == 22
+    assert [t for i, t in left if i == 100] == [twice] and [t for i, t in left if i is None] == [without]
