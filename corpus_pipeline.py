@@ -33,8 +33,8 @@ def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def ngram_jaccard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each component of documents whose shingles of five words overlap by 80 percent or more."""
-    return jaccard.dedup(docs, words=5, percent=80)
+    """One row of each component of rows whose shingles of five words overlap by 80 percent or more."""
+    return jaccard.dedup_rows(docs, words=5, percent=80)
 
 
 def suffix_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

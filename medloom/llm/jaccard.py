@@ -31,6 +31,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from medloom.llm.components import Forest, components
+from medloom.llm.exact import first_of_each, row_hash
 from medloom.llm.mapping import arrow_map
 from medloom.llm.rolling import SECOND, chunks, gram_hashes, mix, prefix_sums, ranges, stretch_hash, word_layout
 from medloom.llm.stretches import keyed, same_row
@@ -334,8 +335,33 @@ def similar_components(
 def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS, percent: int = PERCENT) -> DataFrame:
     """The rows of ``docs``, with all their columns, of which one document of each component stays: the smallest id.
 
-    Rows without id stay.
+    Rows without id stay, and rows that share an id stay or go together; :func:`dedup_rows` goes by row.
     """
     found = similar_components(docs, id_col, text_col, words, percent)
     beaten = written(found.filter(F.col("component_id") != F.col(id_col)).select(F.col(id_col).alias("_beaten")).distinct(), "beaten")
     return docs.join(beaten, docs[f"`{id_col}`"].cast("long") == beaten["_beaten"], "left_anti")
+
+
+def dedup_rows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS, percent: int = PERCENT) -> DataFrame:
+    """The rows of ``docs``, with all their columns, exactly one of each component of linked rows.
+
+    A row is linked by its own text, whatever its id and whether it has one. The smallest id stays, a missing id only
+    where a component has no other; of rows that share the id, one of least hash. Of rows that repeat both id and text
+    one stays. Other rows without words stay. A row goes by a hash of id and text of 64 bits.
+    """
+    own = F.col(f"`{id_col}`")
+    node = F.xxhash64(own, F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit("")))
+    found = similar_components(docs.select(node.alias("doc_id"), F.col(f"`{text_col}`").alias("text")), words=words, percent=percent)
+    linked = written(found.filter("component_id <> doc_id").select("doc_id", "component_id").distinct(), "linked")
+    members = linked.unionByName(linked.select(F.col("component_id").alias("doc_id"), "component_id").distinct())
+    named = written(docs.select(node.alias("node"), own.alias("id")).groupBy("node").agg(F.min("id").alias("id"), F.count("*").alias("n")), "named")
+    ranked = written(members.join(named, members["doc_id"] == named["node"]).select("component_id", "node", "id"), "ranked")
+    best = ranked.groupBy("component_id").agg(F.min(F.struct(F.col("id").isNull().alias("missing"), "id", "node")).alias("best"))
+    kept = best.select(F.col("best.node").alias("node"))
+    beaten = written(ranked.select("node").join(kept, "node", "left_anti").select(F.col("node").alias("_beaten")), "beaten")
+    left = docs.join(beaten, node == beaten["_beaten"], "left_anti")
+    again = named.filter("n > 1").select(F.col("node").alias("_again"))
+    if again.limit(1).count() == 0:
+        return left
+    once = left.join(again, node == again["_again"], "left_anti")
+    return once.unionByName(first_of_each(left.join(again, node == again["_again"], "left_semi"), node, row_hash(docs)))

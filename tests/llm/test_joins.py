@@ -147,3 +147,23 @@ def test_one_row_of_each_equal_text(spark):
     assert brute.same(kept, {(brute.one_space(t), g[1]) for (_, t), g in zip(rows, brute.equal_groups(rows), strict=True)})
     plan = spark._jvm.PythonSQLUtils.explainString(got._jdf.queryExecution(), "simple")
     assert "WindowGroupLimit" in plan and "Python" not in plan and "Arrow" not in plan
+
+
+def test_similar_dedup_goes_by_row(spark):
+    near = [f"w{i}" for i in range(60)]
+    other = " ".join(f"o{i}" for i in range(60))
+    loose = [f"n{i}" for i in range(60)]
+    rows = [(1, " ".join(near)), (2, " ".join([*near, "z"])), (2, other), (None, " ".join(loose)), (None, " ".join([*loose, "z"])), (None, " ".join([*near, "y"]))]
+    rows += [(3, "same text here now"), (3, "same text here now"), (4, ""), (5, None)]
+    df = brute.hostile(spark.createDataFrame(rows, SCHEMA))
+    got = jaccard.dedup_rows(df)
+    assert got.columns == df.columns
+    left = [tuple(r) for r in got.select("doc_id", "text").collect()]
+    assert sum(r in rows[3:5] for r in left) == 1
+    assert brute.same([r for r in left if r not in rows[3:5]], [rows[0], rows[2], rows[6], rows[8], rows[9]])
+
+
+def test_similar_dedup_by_row_keeps_the_smallest_id(spark):
+    rows = [(i, t) for i, (_, t) in enumerate(near_copies(6))]
+    got = jaccard.dedup_rows(spark.createDataFrame(rows, SCHEMA))
+    assert brute.same(got.collect(), [r for r, (i, _, c) in zip(rows, brute.similar(rows), strict=True) if i == c])
