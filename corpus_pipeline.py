@@ -6,6 +6,7 @@ stage works on all rows that the one before kept.
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -14,15 +15,20 @@ from medloom.llm.vocab import public_path
 from medloom.sources.shared import written
 from medloom.sources.tables import table
 
-#: Documents whose language is less sure than this go, as do those without any letter.
+#: Documents whose family or language is less sure than this (it loses to another one) go, as do those without any letter.
 LEAST_SCORE = 0.5
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose language is recognised. Learned from documents outside the held-out quarter."""
+    """Documents whose language is recognised. Learned from documents outside the held-out quarter.
+
+    Where these teach nothing, all documents with a letter stay.
+    """
     model = langid.train(docs.filter(langid.fold("doc_id", 4) != 2))
+    if not model:
+        return docs.filter(F.col("text").cast("string").rlike(r"\p{L}"))
     rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"), F.col("text").alias("_text"))
-    found = langid.predict(rows, model, "_text", ("_row",))
+    found = langid.predict(rows, model, "_text", ("_row",), np.minimum)
     sure = (F.col("lang_pred") != langid.UNKNOWN) & (F.col("score") >= LEAST_SCORE)
     return found.filter(sure).select("_row.*")
 

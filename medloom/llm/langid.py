@@ -183,7 +183,8 @@ class Model:
         chance = 1.0 / (1.0 + np.exp(-np.clip(2.0 * least, -60, 60)))
         return best, chance
 
-    def predict(self, texts: list[bytes]) -> tuple[list[str], np.ndarray]:
+    def predict(self, texts: list[bytes], combine: np.ufunc = np.multiply) -> tuple[list[str], np.ndarray]:
+        """The language of each text, and the chances of family and language combined."""
         scores = summed(texts, self.weights)
         families = sorted(self.languages)
         family, score = self._choose(scores, "", len(families))
@@ -191,13 +192,13 @@ class Model:
         for f, name in enumerate(families):
             here = np.flatnonzero(family == f)
             best, chance = self._choose(scores[here], name, len(self.languages[name]))
-            score[here] *= chance
+            score[here] = combine(score[here], chance)
             for i, b in zip(here.tolist(), best.tolist(), strict=True):
                 out[i] = self.languages[name][b]
         return out, score
 
 
-def _predict(rows: list[tuple[str, str, str, bytes]]) -> Callable:
+def _predict(rows: list[tuple[str, str, str, bytes]], combine: np.ufunc) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = Model(rows)
         for batch in batches:
@@ -205,7 +206,7 @@ def _predict(rows: list[tuple[str, str, str, bytes]]) -> Callable:
             lang, score = [UNKNOWN] * len(texts), np.zeros(len(texts))
             use = [i for i, t in enumerate(texts) if t is not None and has_letter(t)] if model.languages else []
             for first, group in chunks([texts[i].lower().encode() for i in use]):
-                found, chance = model.predict(group)
+                found, chance = model.predict(group, combine)
                 for i, name, p in zip(use[first : first + len(group)], found, chance.tolist(), strict=True):
                     lang[i], score[i] = name, p
             kept = {n: batch.column(n) for n in batch.schema.names if n != "_text"}
@@ -231,14 +232,14 @@ def train(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", l
     return [tuple(r) for r in arrow_map(one, _train, "family string, a string, b string, w binary").collect()]
 
 
-def predict(docs: DataFrame, model: list[tuple], text_col: str = "text", keep: tuple[str, ...] = ()) -> DataFrame:
+def predict(docs: DataFrame, model: list[tuple], text_col: str = "text", keep: tuple[str, ...] = (), combine: np.ufunc = np.multiply) -> DataFrame:
     """The columns ``keep`` with lang_pred and score (0 to 1) of every text.
 
-    A text that is missing or has no letter is ``und`` with score 0, as is every text when nothing was learned.
+    The score is the product of the chances of family and language; ``np.minimum`` gives the weaker one. A text that is missing or has no letter is ``und`` with score 0, as is every text when nothing was learned.
     """
     rows = docs.select(*[F.col(f"`{c}`") for c in keep], F.col(f"`{text_col}`").cast("string").alias("_text"))
     schema = T.StructType([*(rows.schema[c] for c in keep), T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())])
-    return arrow_map(rows, _predict([(f, a, b, bytes(w)) for f, a, b, w in model]), schema)
+    return arrow_map(rows, _predict([(f, a, b, bytes(w)) for f, a, b, w in model], combine), schema)
 
 
 def identify(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", parts: int = 4, held: int = 2) -> DataFrame:

@@ -4,9 +4,13 @@ import random
 
 import brute
 import corpus_pipeline
+import numpy as np
 import pytest
 from conftest import SF_SMALL
+from pyspark.sql import Window
+from pyspark.sql import functions as F
 
+from medloom.llm import langid
 from medloom.sources.shared import written
 from medloom.sources.tables import table
 
@@ -115,3 +119,35 @@ def test_one_copy_of_rows_ingested_twice_stays_with_its_text(spark):
     left = pairs(docs)
     assert len(left) == 22
     assert [t for i, t in left if i == 100] == [twice] and [t for i, t in left if i is None] == [without]
+
+
+def test_language_stage_keeps_the_shortest_documents(spark):
+    docs = table(spark, "/root/testdata/sf0.1", "documents")
+    order = Window.partitionBy("lang").orderBy(F.length("text"), "doc_id")
+    lettered = docs.filter(F.col("text").rlike(r"\p{L}"))
+    short = lettered.withColumn("place", F.row_number().over(order)).filter("place <= 50").select("doc_id", "lang").collect()
+    kept = {r.doc_id for r in corpus_pipeline.language_id(spark, docs, "").select("doc_id").collect()}
+    assert len(short) > 100 and [tuple(r) for r in short if r.doc_id not in kept] == []
+
+
+def test_language_stage_goes_by_the_weaker_chance(spark, monkeypatch):
+    words = {"en": "thorn and", "de": "schpf und", "fr": "eaux que", "es": "cion los"}
+    rows = [(i, " ".join(words[x].split()[(i + k) % 2] for k in range(9)), x) for i in range(80) for x in words]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = langid.train(docs)
+    # weights are scaled so that both margins are 0.4 or so: each chance is 0.69, their product 0.48
+    scores = langid.summed([t.encode() for _, t, _ in rows], langid.Model(model).weights)
+    scaled = []
+    for m, w in zip([m for m in model if m[3]], scores.T, strict=True):
+        own = [abs(s) for s, (_, _, x) in zip(w, rows, strict=True) if x in m[1:3] or m[0] == ""]
+        scaled.append((*m[:3], (np.frombuffer(m[3], np.float32) * np.float32(0.4 / np.median(own))).tobytes()))
+    scaled += [m for m in model if not m[3]]
+    products = [r.score for r in langid.predict(docs, scaled).collect()]
+    assert min(products) < 0.5
+    monkeypatch.setattr(langid, "train", lambda labelled: scaled)
+    assert corpus_pipeline.language_id(spark, docs, "").count() == len(rows)
+
+
+def test_language_stage_without_examples_keeps_what_has_letters(spark):
+    docs = spark.createDataFrame([(1, "abc def", None), (2, "12 34", None), (3, None, None), (4, "\u00e9", None), (None, "x", None)], "doc_id long, text string, lang string")
+    assert brute.same(pairs(corpus_pipeline.language_id(spark, docs, "")), [(1, "abc def"), (4, "\u00e9"), (None, "x")])
