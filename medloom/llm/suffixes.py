@@ -227,7 +227,9 @@ def _hot_ranges(stretches: DataFrame, window: int, range_schema: T.StructType) -
     return windows.join(often, "digest").select(*KEYS, "lo", (F.col("lo") + window).alias("hi"))
 
 
-def _strip() -> Callable:
+def _strip(as_text: bool = False) -> Callable:
+    """What is left of each text, with counts and a digest; or, ``as_text``, only the text without broken characters."""
+
     def strip(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out: dict[str, list] = {"n_bytes": [], "n_removed": [], "n_spans": [], "kept": [], "sha": []}
@@ -241,6 +243,10 @@ def _strip() -> Callable:
                 out["kept"].append(kept)
                 out["sha"].append(hashlib.sha256(kept).hexdigest())
             rest = {n: batch.column(n) for n in batch.schema.names if n not in ("_text", "ranges")}
+            if as_text:
+                text = [kept.decode(errors="ignore") for kept in out["kept"]]
+                yield pa.RecordBatch.from_pydict(rest | {"text": pa.array(text, pa.string())})
+                continue
             yield pa.RecordBatch.from_pydict(
                 rest
                 | {c: pa.array(out[c], pa.int64()) for c in ("n_bytes", "n_removed", "n_spans")}
@@ -300,9 +306,5 @@ def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", windo
     rows = keyed(docs, id_col, text_col, rest=True)
     runs, settled = repeated_ranges(rows.select("_id", "_hash", "_text"), window, gram, hot_runs)
     found = with_ranges(rows, runs, settled, window).select("_rest", "_text", "ranges")
-    longs = [T.StructField(c, T.LongType()) for c in ("n_bytes", "n_removed", "n_spans")]
-    schema = T.StructType([rows.schema["_rest"], *longs, T.StructField("kept", T.BinaryType()), T.StructField("kept_sha256", T.StringType())])
-    whole = arrow_map(found, _strip(), schema)
-    kept = F.try_validate_utf8(F.col("kept"))
-    text = F.coalesce(kept, F.regexp_replace(F.make_valid_utf8(F.col("kept")), "\uFFFD", ""))
-    return whole.select(*[text.alias(c) if c == text_col else F.col(f"_rest.`{c}`").alias(c) for c in docs.columns])
+    whole = arrow_map(found, _strip(as_text=True), T.StructType([rows.schema["_rest"], T.StructField("text", T.StringType())]))
+    return whole.select(*[F.col("text").alias(c) if c == text_col else F.col(f"_rest.`{c}`").alias(c) for c in docs.columns])

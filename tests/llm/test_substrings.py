@@ -95,3 +95,13 @@ def test_long_period_text_is_cut_into_runs():
     tokens = rolling.BYTE_TOKENS[np.zeros(5000, np.uint8)]
     doc, p0, p1, anchor, _, _ = anchored_runs(tokens, tokens, np.array([0]), np.array([5000]), 200, 48)
     assert (p0 == anchor).all() and (p0 == p1).all() and len(doc) == 4801
+
+
+def test_replacement_characters_of_a_text_stay(spark):
+    same = "é" * 101
+    rows = [(1, "x�y" + same + "one�"), (2, "q" + same[:100] + "è" + "� two")]
+    data = [t.encode() for _, t in rows]
+    left = [bytes(b for b, g in zip(d, gone, strict=True) if not g) for d, gone in zip(data, brute.covered(data, 200), strict=True)]
+    expected = [(i, b.decode(errors="ignore")) for (i, _), b in zip(rows, left, strict=True)]
+    assert any(b != b.decode(errors="ignore").encode() for b in left) and all("�" in t for _, t in expected)
+    assert brute.same(suffixes.dedup(spark.createDataFrame(rows, SCHEMA)).collect(), expected)
