@@ -1,7 +1,7 @@
 """Nearest neighbours by cosine from a forest of random-projection trees.
 
-* Index: trees are fitted on a bounded sample (``SAMPLE`` rows, those of least hash), so they are small whatever
-  the table's size; every row is then sent down every tree. Rows with identical vectors are one entry, with the
+* Index: vectors of each length have trees of their own, fitted on a bounded sample (``SAMPLE`` rows of that length,
+  those of least hash), so they are small whatever the table's size; every row is then sent down every tree. Rows with identical vectors are one entry, with the
   smallest ids that can appear in an answer, so a vector that a third of all rows share is one entry too.
 * Search: a query goes down all trees through one shared priority queue of branches, ordered by the largest margin
   by which the query lies on the other side. Leaves are taken until they hold ``share`` times as many entries
@@ -19,6 +19,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -107,15 +108,22 @@ def _unit(rows: np.ndarray) -> np.ndarray:
     return rows / np.linalg.norm(rows, axis=1, keepdims=True)
 
 
-def _place(trees: list[Tree]) -> Callable:
-    """The leaf of every entry in every tree."""
+def by_length(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, pa.RecordBatch]]:
+    """The rows of each batch whose vectors have the same length, with that length."""
+    for batch in batches:
+        lengths = pc.list_value_length(batch.column("vec")).to_numpy(zero_copy_only=False)
+        for n in np.unique(lengths).tolist():
+            yield n, batch.take(pa.array(np.flatnonzero(lengths == n)))
+
+
+def _place(forests: dict[int, tuple[int, list[Tree]]]) -> Callable:
+    """The leaf of every entry in every tree; trees of a vector length are numbered from its first number."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if not batch.num_rows:
-                continue
+        for length, batch in by_length(batches):
             unit = _unit(_matrix(batch.column("vec")))
-            for t, tree in enumerate(trees):
+            first, trees = forests[length]
+            for t, tree in enumerate(trees, first):
                 yield pa.RecordBatch.from_pydict(
                     {
                         "tree": pa.array(np.full(len(unit), t, np.int32)),
@@ -128,19 +136,22 @@ def _place(trees: list[Tree]) -> Callable:
     return run
 
 
-def _visit(trees: list[Tree], sizes: list[np.ndarray], wanted: float) -> Callable:
-    """The leaves of every query."""
+def _visit(forests: dict[int, tuple[int, list[Tree]]], sizes: list[np.ndarray], share: float) -> Callable:
+    """The leaves of every query among the vectors of its length."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if not batch.num_rows:
+        for length, batch in by_length(batches):
+            if length not in forests:
                 continue
+            first, trees = forests[length]
+            own = sizes[first : first + len(trees)]
+            wanted = max(LEAST, share * int(own[0].sum()))
             for i, query in enumerate(_unit(_matrix(batch.column("vec")))):
-                found = np.array(leaves_for(query, trees, sizes, wanted), np.int32).reshape(-1, 2)
+                found = np.array(leaves_for(query, trees, own, wanted), np.int32).reshape(-1, 2)
                 rows = pa.array([i] * len(found))
                 yield pa.RecordBatch.from_pydict(
                     {
-                        "tree": pa.array(found[:, 0]),
+                        "tree": pa.array(found[:, 0] + np.int32(first)),
                         "leaf": pa.array(found[:, 1]),
                         "id": batch.column("id").take(rows),
                         "vec": batch.column("vec").take(rows),
@@ -180,7 +191,8 @@ def _rerank(k: int) -> Callable:
         for batch in batches:
             if not batch.num_rows:
                 continue
-            vecs = _matrix(batch.column("vec"))
+            flat, lengths = (x.to_numpy(zero_copy_only=False) for x in (batch.column("vec").flatten(), pc.list_value_length(batch.column("vec"))))
+            vecs = np.split(flat.astype(np.float64), np.cumsum(lengths)[:-1])
             columns = (batch.column(c).to_pylist() for c in ("tree", "leaf", "part", "id", "ids"))
             for vec, tree, leaf, part, name, own in zip(vecs, *columns, strict=True):
                 if (tree, leaf, part) != key:
@@ -214,10 +226,10 @@ def search(
     """The k nearest rows found for each query by cosine: query_id, rank (from 1), vec_id, score.
 
     Nearest first, ties to the smaller id; a query's own id is no answer; with fewer candidates, all found. Vectors
-    that are missing, zero, or hold a missing or non-finite component take no part, nor do rows without id, nor
-    vectors whose length is not the most common one (of equally common ones, the longest). An id with several
-    vectors is asked, and found, by its best. Repeated rows count once. Other columns are ignored; an empty table
-    gives an empty table. The index is fitted on the ``sample`` rows of least hash and holds every row.
+    that are missing, zero, or hold a missing or non-finite component take no part, nor do rows without id. A query
+    is answered among the vectors of its own length. An id with several vectors is asked, and found, by its best.
+    Repeated rows count once. Other columns are ignored; an empty table gives an empty table. The index of each length
+    is fitted on the ``sample`` rows of least hash and holds every row.
     """
     spark = vectors.sparkSession
 
@@ -227,28 +239,30 @@ def search(
         return rows.filter(F.col("id").isNotNull() & F.col("vec").isNotNull()).filter(sound)
 
     rows = valid(vectors)
-    common = rows.groupBy(F.size("vec").alias("n")).count().orderBy(F.desc("count"), F.desc("n")).first()
     schema = "query_id long, rank int, vec_id long, score double"
-    if common is None:
-        return spark.createDataFrame([], schema)
     first = Window.partitionBy("vec").orderBy("id")
-    rows = rows.filter(F.size("vec") == common.n)
     kept = rows.distinct().withColumn("place", F.row_number().over(first)).filter(F.col("place") <= k + 1)
     entries = written(kept.groupBy("vec").agg(F.array_sort(F.collect_list("id")).alias("ids")), "entries")
-    drawn = entries.select("vec", F.xxhash64("vec").alias("h")).orderBy("h", "vec").limit(sample).collect()  # bounded by sample
-    fitted = _unit(np.array([r.vec for r in drawn]))
-    rng = np.random.default_rng(0)
-    forest = [Tree(fitted, leaves, rng) for _ in range(trees)]
-
-    placed = written(arrow_map(entries, _place(forest), "tree int, leaf int, ids array<long>, vec array<double>"), "leaves")
+    lengths = sorted(r.n for r in entries.select(F.size("vec").alias("n")).distinct().collect())
+    if not lengths:
+        return spark.createDataFrame([], schema)
+    forests: dict[int, tuple[int, list[Tree]]] = {}
+    for n in lengths:
+        own = entries.filter(F.size("vec") == n)
+        drawn = own.select("vec", F.xxhash64("vec").alias("h")).orderBy("h", "vec").limit(sample).collect()  # bounded by sample
+        fitted = _unit(np.array([r.vec for r in drawn]))
+        rng = np.random.default_rng(0)
+        forests[n] = (trees * len(forests), [Tree(fitted, leaves, rng) for _ in range(trees)])
+
+    placed = written(arrow_map(entries, _place(forests), "tree int, leaf int, ids array<long>, vec array<double>"), "leaves")
     counts = placed.groupBy("tree", "leaf").agg(F.count("*").alias("n")).collect()  # bounded by the forest's leaves
-    sizes = [np.zeros(tree.leaves, np.int64) for tree in forest]
+    sizes = [np.zeros(tree.leaves, np.int64) for _, forest in forests.values() for tree in forest]
     for r in counts:
         sizes[r.tree][r.leaf] = r.n
     parts = F.ceil(F.col("n") / leaf_rows).cast("int")
     dealing = spark.createDataFrame([(r.tree, r.leaf, r.n) for r in counts], "tree int, leaf int, n long").select("tree", "leaf", parts.alias("parts"))
-    asked = valid(queries).filter(F.size("vec") == common.n).distinct()
-    visits = arrow_map(asked, _visit(forest, sizes, max(LEAST, share * int(sizes[0].sum()))), "tree int, leaf int, id long, vec array<double>")
+    asked = valid(queries).distinct()
+    visits = arrow_map(asked, _visit(forests, sizes, share), "tree int, leaf int, id long, vec array<double>")
     parted = placed.join(F.broadcast(dealing), ["tree", "leaf"]).select(
         "tree", "leaf", F.pmod(F.xxhash64("vec"), F.col("parts")).cast("int").alias("part"), F.lit(None).cast("long").alias("id"), "ids", "vec"
     )

@@ -132,3 +132,17 @@ def test_search_of_little(spark):
     assert forest.search(df.limit(0), df.limit(0)).count() == 0
     few = df.filter("vec_id in (0, 1, 50)")
     assert {q: len(a) for q, a in answers(forest.search(few, few.filter("vec_id % 50 = 0"))).items()} == {0: 2, 50: 2}
+
+
+@pytest.mark.parametrize("leaf_rows", [20_000, 40])
+def test_search_among_vectors_of_each_length(spark, leaf_rows):
+    rng = np.random.default_rng(3)
+    rows = [(i, rng.normal(size=(64, 3, 300)[i // 50 % 3 if i % 10 == 0 else 0]).tolist()) for i in range(400)]
+    rows += [(950, [1.0, 2.0]), (1000, [3.0])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    expected = {}
+    for n in {len(v) for _, v in rows}:
+        expected |= exact_nearest([(i, v) for i, v in rows if len(v) == n])
+    got = answers(forest.search(df, df.filter("vec_id % 50 = 0"), share=9.0, leaf_rows=leaf_rows))
+    assert {len(v) for i, v in rows if i in got} == {64, 3, 300} and len(got) == 8
+    assert {q: [i for i, _ in a] for q, a in got.items()} == {q: [i for i, _ in a] for q, a in expected.items() if a}
