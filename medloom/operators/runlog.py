@@ -3,13 +3,11 @@
 from __future__ import annotations
 
 import time
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-MAX_OBJECTS = 1000
-
 
 def run_log_from_parts(texts: DataFrame, queries: DataFrame, plans: DataFrame, stats: DataFrame) -> DataFrame:
     """A run log out of four related tables: texts(text_id, query_text), queries(query_id, text_id),
@@ -27,21 +25,22 @@ def _part(label: str, value: Column) -> Column:
     return F.concat(F.lit(f"{label}="), F.coalesce(value.cast("string"), F.lit("NULL")))
 
 
-def matching_objects(query_text: Column, objects: Sequence[str]) -> Column:
-    """The objects a query text names: in a '/*bench...;obj:<name>*/' comment or after FROM.
-
-    The object list is short and known to the driver, so it is tested as a constant array in each row. That
-    is linear in the log; a join on 'contains' would have to pair every row with every object.
-    """
-    if len(objects) > MAX_OBJECTS:
-        raise ValueError(f"at most {MAX_OBJECTS} objects at a time")
+def named_objects(query_text: Column, longest: Column, lengths: Column) -> Column:
+    """The texts of the given lengths that a query text, in lower case, names: in a '/*bench...;obj:<name>*/' comment or
+    after FROM, where any text that begins there counts. One regular expression each finds the places, whatever the
+    number of objects; ``longest`` is the largest of ``lengths``."""
     text = F.lower(query_text)
-    names = F.array(*[F.lit(o) for o in objects])
-    return F.filter(
-        names,
-        lambda o: F.contains(text, F.concat(F.lit(";obj:"), F.lower(o), F.lit("*/")))
-        | F.contains(text, F.concat(F.lit("from "), F.lower(o))),
-    )
+
+    def after(mark: str, more: int) -> Column:
+        shape = F.concat(F.lit(f"(?s){mark}(?=(.{{0,"), (longest + more).cast("string"), F.lit("}))"))
+        return F.regexp_extract_all(text, shape, F.lit(1))
+
+    def cuts(tails: Column, follows: Callable[[Column, Column], Column]) -> Column:
+        return F.flatten(F.transform(tails, lambda tail: F.transform(F.filter(lengths, lambda n: follows(tail, n)), lambda n: F.substring(tail, F.lit(1), n))))
+
+    commented = cuts(after(";obj:", 2), lambda tail, n: F.substring(tail, n + 1, F.lit(2)) == "*/")
+    selected = cuts(after("from ", 0), lambda tail, n: F.length(tail) >= n)
+    return F.array_union(commented, selected)
 
 
 def latest_run_stats(
@@ -54,10 +53,15 @@ def latest_run_stats(
     aggregate, so an object with a third of the log is no heavier than others.
     """
     fallback_ms = dict(fallback_ms or {})
-    hits = run_log.select(
-        F.explode(matching_objects(F.col("query_text"), objects)).alias("object_name"),
-        "cpu_us", "duration_us", "reads", "executions", "ended_at", "log_id",
+    listed = run_log.sparkSession.createDataFrame(
+        [(o, fallback_ms.get(o, 0)) for o in objects], "object_name string, fallback_ms bigint"
     )
+    names = listed.select("object_name", F.lower("object_name").alias("_name"))
+    lengths = sorted(r.n for r in names.select(F.length("_name").alias("n")).distinct().collect())
+    named = named_objects(F.col("query_text"), F.lit(max(lengths, default=0)), F.array(*[F.lit(n) for n in lengths]).cast("array<int>"))
+    hits = run_log.select(
+        F.explode(named).alias("_name"), "cpu_us", "duration_us", "reads", "executions", "ended_at", "log_id"
+    ).join(names, "_name")
     latest = F.struct("ended_at", "log_id")
     per_object = hits.groupBy("object_name").agg(
         F.max_by(F.struct("cpu_us", "duration_us", "reads"), latest).alias("last"),
@@ -66,9 +70,6 @@ def latest_run_stats(
         F.sum("reads").alias("reads_sum"), F.count("reads").alias("reads_n"),
         F.sum("executions").alias("executions"),
     )
-    listed = hits.sparkSession.createDataFrame(
-        [(o, fallback_ms.get(o, 0)) for o in objects], "object_name string, fallback_ms bigint"
-    )  # at most MAX_OBJECTS rows
     joined = listed.join(per_object, "object_name", "left")
 
     def mean(name: str) -> Column:

@@ -125,3 +125,17 @@ def test_csv_in_is_all_text_and_csv_out_reads_back(spark, tmp_path):
     back = read_text_csv(spark, path, ["a", "b"])
     assert sorted(back.collect()) == sorted(raw.collect())
     assert all_text(spark.range(1)).dtypes == [("id", "string")]
+
+
+def test_run_log_of_many_objects(spark):
+    objects = [f"stg.T{i}" for i in range(1500)] + ["", "a b"]
+    texts = ["select 1 FROM stg.t12 x from stg.t12", "/*bench;obj:stg.t7*/ select 2", "/*bench;obj:stg.t77 */", "from\nstg.t5", "x from stg.t", "from from a b", ";obj:*/", None, "from ", "from stg.t1499\n;obj:a b*/"]
+    rows = [(i, t, 1000, 2000, 3, 1, f"2024-01-{i + 1:02d}") for i, t in enumerate(texts)]
+    log = spark.createDataFrame(rows, "log_id long, query_text string, cpu_us long, duration_us long, reads long, executions long, ended_at string")
+    got = {r.object_name: r.value_text for r in runlog.latest_run_stats(objects, log).collect() if r.metric == "timing:recent_aggregate"}
+    expected = {}
+    for o in objects:
+        n = sum(f";obj:{o.lower()}*/" in (t or "").lower() or f"from {o.lower()}" in (t or "").lower() for t in texts)
+        if n:
+            expected[o] = f"cpu_ms=1|elapsed_ms=2|logical_reads=3|exec_count={n}"
+    assert got == expected and {"stg.T1", "stg.T12", "stg.T7", "stg.T1499", "", "a b"} <= set(got)
