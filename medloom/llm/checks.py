@@ -36,5 +36,24 @@ join (select node doc_id, min(start) least from reached group by node) using (do
 with d as (select doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') t from documents)
 select doc_id, min(doc_id) over same keep_id, count(*) over same group_size, doc_id = min(doc_id) over same kept, sha256(t) text_sha256
 from d window same as (partition by t)
+""",
+    "op11_hard_negatives": """
+with sound as (
+  select vec_id, case when vec_id % 7 = 0 then (label + 1) % 10 else label end as l,
+    list_transform(embedding, lambda x: cast(floor(256 * cast(x as double)) as hugeint)) as q
+  from embeddings
+  where vec_id is not null and label is not null and embedding is not null and len(embedding) = len(list_filter(embedding, lambda x: isfinite(x)))
+),
+parts as (select vec_id, l, unnest(q) as x, unnest(range(len(q))) as i from sound),
+pairs as (
+  select a.vec_id as anchor, a.l as al, b.vec_id as other, b.l as bl, cast(sum(a.x * b.x) as bigint) as s
+  from parts a join parts b on a.i = b.i and a.vec_id <> b.vec_id where a.vec_id % 50 = 0 group by all
+),
+positives as (
+  select anchor, other as p, s as ps from pairs where al = bl qualify row_number() over (partition by anchor order by s desc, other) <= 5
+)
+select anchor as anchor_id, p as positive_id, cast(row_number() over w as integer) as rank, other as negative_id, ps as positive_score, s as negative_score
+from positives join pairs using (anchor) where al <> bl and 50 * ps <= 100 * s and 100 * s <= 95 * ps
+window w as (partition by anchor, p order by s desc, other) qualify row_number() over w <= 3
 """,
 }

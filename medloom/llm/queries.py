@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from medloom.llm import bpe, exact, forest, huffman, jaccard, langid, packing, phrases, quality, suffixes
+from medloom.llm import bpe, exact, forest, huffman, jaccard, langid, negatives, packing, phrases, quality, suffixes
 from medloom.llm.checks import CHECKS
 from medloom.llm.vocab import public_path
 from medloom.sources.shared import new_path
@@ -66,6 +67,13 @@ def op10_prefix_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode_digests(table(spark, sf_dir, "documents"), public_path("byte_bpe_50k.json"))
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hard negatives of every 50th vector, after every 7th label is moved on by one."""
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    vectors = table(spark, sf_dir, "embeddings").withColumn("label", moved)
+    return negatives.mine(vectors, vectors.filter("vec_id % 50 = 0"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_vector_packing": op1_vector_packing,
     "op2_projection_forest": op2_projection_forest,
@@ -77,6 +85,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_exact_dedup": op8_exact_dedup,
     "op9_quality_ftrl": op9_quality_ftrl,
     "op10_prefix_bpe": op10_prefix_bpe,
+    "op11_hard_negatives": op11_hard_negatives,
 }
 
 __all__ = ["CHECKS", "QUERIES"]
