@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from medloom.llm import bpe, exact, forest, huffman, jaccard, langid, negatives, packing, phrases, quality, suffixes
+from medloom.llm import bpe, exact, forest, huffman, jaccard, langid, negatives, packing, phrases, quality, suffixes, toxicity
 from medloom.llm.checks import CHECKS
 from medloom.llm.vocab import public_path
 from medloom.sources.shared import new_path
@@ -74,6 +74,11 @@ def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     return negatives.mine(vectors, vectors.filter("vec_id % 50 = 0"))
 
 
+def op12_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The toxicity of every document, learned from two thirds of the labels."""
+    return toxicity.rate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_vector_packing": op1_vector_packing,
     "op2_projection_forest": op2_projection_forest,
@@ -86,6 +91,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_quality_ftrl": op9_quality_ftrl,
     "op10_prefix_bpe": op10_prefix_bpe,
     "op11_hard_negatives": op11_hard_negatives,
+    "op12_toxicity": op12_toxicity,
 }
 
 __all__ = ["CHECKS", "QUERIES"]
