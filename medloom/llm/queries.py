@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from medloom.llm import bpe, exact, forest, huffman, jaccard, langid, negatives, packing, phrases, quality, suffixes, toxicity
+from medloom.llm import bpe, exact, forest, huffman, jaccard, langid, negatives, packing, phrases, quality, repair, suffixes, toxicity
 from medloom.llm.checks import CHECKS
 from medloom.llm.vocab import public_path
 from medloom.sources.shared import new_path
@@ -79,6 +79,12 @@ def op12_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.rate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Faults and cheapest repair of every conversation, after some of its rows are damaged."""
+    rows = table(spark, sf_dir, "conversations")
+    return repair.repair(repair.damage(rows), rows)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_vector_packing": op1_vector_packing,
     "op2_projection_forest": op2_projection_forest,
@@ -92,6 +98,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_prefix_bpe": op10_prefix_bpe,
     "op11_hard_negatives": op11_hard_negatives,
     "op12_toxicity": op12_toxicity,
+    "op13_conversation_repair": op13_conversation_repair,
 }
 
 __all__ = ["CHECKS", "QUERIES"]

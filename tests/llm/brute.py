@@ -3,6 +3,7 @@
 import collections
 import hashlib
 import re
+import zlib
 
 from pyspark.sql import functions as F
 
@@ -95,3 +96,76 @@ def hostile(df):
 
 def same(got, expected):
     return sorted(map(tuple, got), key=repr) == sorted(map(tuple, expected), key=repr)
+
+
+def damaged(rows):
+    """Rows (conv, turn, role, text) after damage, in order: by turn, then role, then text."""
+    out = []
+    for conv, turn, role, text in rows:
+        role, text = (" " if x is None else x for x in (role, text))
+        kind = zlib.crc32(f"{' ' if conv is None else conv}:{' ' if turn is None else turn}".encode()) % 20
+        if kind == 1:
+            text = ""
+        if kind == 2:
+            text = re.sub("[.!?]", "", text)
+        if kind == 4:
+            role = "user"
+        out += [(conv, turn, role, text)] * (0 if kind == 0 else 2 if kind == 3 else 1)
+    return out
+
+
+STEPS = {("", "s"): "s", ("", "u"): "u", ("s", "u"): "u", ("u", "a"): "a", ("a", "u"): "u"}
+NEXT = {"": "u", "s": "u", "u": "a", "a": "u"}
+
+
+def cheapest(rows):
+    """(cost, audit, lines) over all edits, by trying them: rows are (role, text, fault or None)."""
+    best = {"": (0, "", [])}
+
+    def inserted(ways):
+        ways = dict(ways)
+        for _ in range(3):
+            for state, (cost, audit, lines) in list(ways.items()):
+                to = NEXT[state]
+                new = (cost + 5, audit + "I", [*lines, {"u": "user:", "a": "assistant:"}[to]])
+                ways[to] = min(ways.get(to, new), new, key=lambda x: x[:2])
+        return ways
+
+    for role, text, fault in rows:
+        best = inserted(best)
+        after = {}
+
+        def put(state, way, after=after):
+            after[state] = min(after.get(state, way), way, key=lambda x: x[:2])
+
+        for state, (cost, audit, lines) in best.items():
+            put(state, (cost + 2, audit + "D", lines))
+            if fault in ("blank", "duplicate"):
+                continue
+            more = 5 if fault == "truncated" else 0
+            kept = state if role == "" else STEPS.get((state, role[:1]))
+            if kept is not None:
+                put(kept, (cost + more, audit + "K", [*lines, f"{role}:{text}"]))
+            to = NEXT[state]
+            put(to, (cost + more + 1, audit + "R", [*lines, {"u": "user", "a": "assistant"}[to] + ":" + text]))
+        best = after
+    return min((way for state, way in inserted(best).items() if state in ("", "a")), key=lambda x: x[:2])
+
+
+def mended(rows, ids=None):
+    """(conv, gaps, blank, duplicate, truncated, illegal, cost, audit, digest) of every conversation."""
+    out = []
+    for conv in dict.fromkeys(r[0] for r in (ids or rows)):
+        own = sorted(((t is not None, t or 0, r, x, t) for c, t, r, x in rows if c == conv), key=lambda v: v[:4])
+        seen, judged = set(), []
+        for *_, role, text, _turn in own:
+            core = re.sub(r"[\x20\x09-\x0D]", "", text)
+            fault = "blank" if not core else "duplicate" if (role, text) in seen else "truncated" if core[-1] not in ".!?" else None
+            seen.add((role, text))
+            judged.append((role, text, fault))
+        turns = {r[4] for r in own} - {None}
+        counts = [sum(f == name for *_, f in judged) for name in ("blank", "duplicate", "truncated")]
+        illegal = sum(a[0][:1] + b[0][:1] not in ("su", "ua", "au") for a, b in zip(judged, judged[1:], strict=False))
+        cost, audit, lines = cheapest(judged)
+        out.append((conv, max(turns) - min(turns) + 1 - len(turns) if turns else 0, *counts, illegal, cost, audit, sha("\n".join(lines))))
+    return out
