@@ -71,8 +71,8 @@ def table_of(counted: DataFrame) -> DataFrame:
     follow = written(pairs.groupBy(shorter, "c").agg(F.count("*").alias("k")), "continuations")
     around = follow.groupBy("g").agg(F.sum("k").alias("all"), F.count("*").alias("kinds"))
     single = written(follow.groupBy("c").agg(F.count("*").alias("u")), "characters")
-    total = single.agg(F.sum("u").alias("us"), F.count("*").alias("vs"))
-    base = single.join(F.broadcast(total)).select("c", ((F.col("u") + 1) / (F.col("us") + F.col("vs") + 1)).alias("p0"))
+    total = single.agg(F.coalesce(F.sum("u"), F.lit(0)).alias("us"), F.count("*").alias("vs")).first()
+    base = single.select("c", ((F.col("u") + 1) / (total.us + total.vs + 1)).alias("p0"))
     low = (F.col("k") - held + held * F.col("kinds") * F.col("p0")) / F.col("all")
     shared = written(follow.join(around, "g").join(base, "c").select("g", "c", low.alias("low")), "shared")
 
