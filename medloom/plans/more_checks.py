@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from medloom.operators.conformed import ENTITY_DOMAINS
 from medloom.plans.checks import CPT_MAP, ICD_MAP
-from medloom.plans.checks_std import std
+from medloom.plans.checks_std import std, std_patients
+from medloom.plans.more_queries import DELIVERIES, FIRST_LOAD
 
 # Conformed entities -----------------------------------------------------------------------------------
 
@@ -81,6 +82,30 @@ def conformed_unmapped() -> str:
     return " union all ".join(parts)
 
 
+# The patient dimension in versions --------------------------------------------------------------------
+
+_PATIENTS = "patient_id, mrn, gender, blood_group, insurance_type, area, pincode, date_of_birth, created_date"
+
+
+def dim_patients(last: str) -> str:
+    """Of the first load and the updates up to a day, the latest row of each patient."""
+    order = ", ".join(f"{c} desc nulls last" for c in ("created_date", "mrn", "gender", "blood_group", "insurance_type", "area", "pincode", "date_of_birth"))
+    return f"""select {_PATIENTS} from (select * from {std('patients')} union all
+        select * from ({std_patients('raw_patient_updates')}) where cast(created_date as date) <= date '{last}')
+      where patient_id is not null qualify row_number() over (partition by patient_id order by {order}) = 1"""
+
+
+def dim_patients_history() -> str:
+    first, second, third = (d.isoformat() for d in DELIVERIES)
+    updates = f"(select *, cast(created_date as date) d from ({std_patients('raw_patient_updates')}))"
+    written = "(select count(distinct patient_id) from {} where d > date '{}' and d <= date '{}')"
+    return f"""select 1 "version", date '{FIRST_LOAD}' "day", 0 changes, (select count(distinct patient_id) from {std('patients')}) rows_written
+      union all select 2, date '{first}', 1, {written.format(updates, '0001-01-01', first)}
+      union all select 3, date '{second}', 2, {written.format(updates, first, second)}
+      union all select 4, date '{second}', 0, (select count(*) from ({dim_patients(second)}))
+      union all select 5, date '{third}', 1, {written.format(updates, second, third)}"""
+
+
 CHECKS: dict[str, str] = {
     "conformed_lookup": f"select * from {LOOKUP}",
     "conformed_admissions": conformed_admissions(),
@@ -90,4 +115,7 @@ CHECKS: dict[str, str] = {
     "conformed_unmapped": conformed_unmapped(),
     "kpi_department_activity": kpi_department_activity(),
     "kpi_payer_amounts": kpi_payer_amounts(),
+    "dim_patients_versions": dim_patients(DELIVERIES[2].isoformat()),
+    "dim_patients_as_of": dim_patients(DELIVERIES[0].isoformat()),
+    "dim_patients_history": dim_patients_history(),
 }

@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
+import datetime as dt
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from medloom.operators import conformed
+from medloom.operators import conformed, dimension
+from medloom.operators.standardize import STANDARDIZE
 from medloom.plans.queries import GENDER_MAP, PAYER_MAP, UNIT_MAP, Query, cpt_map, icd_map, std
+from medloom.sources.raw import raw_table
+from medloom.sources.shared import new_path
 from medloom.sources.tables import table
 
 PAYMENT_MAP = {"Paid": "Settled", "Pending": "Open", "Partial": "Open", "Outstanding": "Open"}
@@ -100,6 +104,42 @@ def conformed_unmapped(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reduce(DataFrame.unionByName, found)
 
 
+# The patient dimension in versions --------------------------------------------------------------------
+
+#: Updates arrive in three deliveries, up to each of these days.
+DELIVERIES = (dt.date(1997, 6, 30), dt.date(1999, 12, 31), dt.date(2001, 12, 31))
+FIRST_LOAD = dt.date(1995, 1, 1)
+
+
+def _patient_versions(spark: SparkSession, sf_dir: str) -> str:
+    """A table of patients with a first load and three deliveries of updates; compacted after the second."""
+    path = new_path(spark, "patient-versions")
+    dimension.refresh(path, std(spark, sf_dir, "patients"), "patient_id", ("created_date",), FIRST_LOAD)
+    updates = STANDARDIZE["patients"](raw_table(spark, sf_dir, "raw_patient_updates"))
+    since = dt.date(1900, 1, 1)
+    for day in DELIVERIES:
+        created = F.col("created_date").cast("date")
+        dimension.refresh(path, updates.filter((created > F.lit(since)) & (created <= F.lit(day))), "patient_id", ("created_date",), day)
+        since = day
+        if day == DELIVERIES[1]:
+            dimension.compact(spark, path)
+    return path
+
+
+def dim_patients_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The newest version of the patient dimension."""
+    return dimension.read(spark, _patient_versions(spark, sf_dir))
+
+
+def dim_patients_as_of(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The patient dimension as it was known after the first delivery, from the version before the compaction."""
+    return dimension.read(spark, _patient_versions(spark, sf_dir), number=3, as_of=DELIVERIES[0])
+
+
+def dim_patients_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dimension.history(spark, _patient_versions(spark, sf_dir))
+
+
 QUERIES: dict[str, Query] = {
     "conformed_lookup": lookup,
     "conformed_admissions": conformed_admissions,
@@ -109,4 +149,7 @@ QUERIES: dict[str, Query] = {
     "conformed_unmapped": conformed_unmapped,
     "kpi_department_activity": kpi_department_activity,
     "kpi_payer_amounts": kpi_payer_amounts,
+    "dim_patients_versions": dim_patients_versions,
+    "dim_patients_as_of": dim_patients_as_of,
+    "dim_patients_history": dim_patients_history,
 }
