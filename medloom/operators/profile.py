@@ -20,7 +20,7 @@ def family(kind: T.DataType) -> str:
     """'numeric', 'datetime' or 'other'."""
     if isinstance(kind, (T.NumericType, T.BooleanType)):
         return "numeric"
-    if isinstance(kind, (T.DateType, T.TimestampType, T.TimestampNTZType)):
+    if isinstance(kind, (T.DateType, T.TimestampType, T.TimestampNTZType, T.TimeType)):
         return "datetime"
     return "other"
 
@@ -44,16 +44,51 @@ def _text(field: T.StructField) -> Column:
     return _ranged(field).cast("string")
 
 
+def column_texts(df: DataFrame) -> list[tuple[str, Column]]:
+    """Name and text of each column."""
+    return [(f.name, _text(f)) for f in df.schema.fields]
+
+
+def null_share(nulls: Column, rows: Column) -> Column:
+    """Missing values in percent, 0 without rows."""
+    share = F.when(rows > 0, nulls * F.lit(100).cast("decimal(3,0)") / F.nullif(rows, F.lit(0)))
+    return F.coalesce(share, F.lit(0)).cast("decimal(5,2)")
+
+
+def column_ranges(df: DataFrame) -> DataFrame:
+    """Smallest and greatest value of numeric and date columns in their own type: column_no, min_value, max_value."""
+    ranged = [(i, f) for i, f in enumerate(df.schema.fields) if family(f.dataType) != "other"]
+    if not ranged:
+        return df.sparkSession.createDataFrame([], "column_no int, min_value string, max_value string")
+    return df.agg(
+        *[
+            F.struct(
+                F.lit(i).alias("column_no"),
+                F.min(_ranged(f)).cast("string").alias("min_value"),
+                F.max(_ranged(f)).cast("string").alias("max_value"),
+            ).alias(f"c{i}")
+            for i, f in ranged
+        ]
+    ).select(F.inline(F.array(*[f"c{i}" for i, _ in ranged])))
+
+
+def same_text(counts: DataFrame) -> DataFrame:
+    """Counts of texts that are equal but for letter case and trailing spaces, as one; the smallest spelling stands for all."""
+    folded = F.collate("value", "UTF8_LCASE_RTRIM").alias("_key")
+    return counts.groupBy("column_no", folded).agg(F.sum("freq").alias("freq"), F.min("value").alias("value")).drop("_key")
+
+
 def profile_columns(
     df: DataFrame,
     top_k: int = 5,
     fraction: float = 1.0,
     sample_key: Sequence[str] = (),
+    case_blind: bool = False,
 ) -> DataFrame:
     """Profile of every column of ``df``, sorted by column name.
 
     Every row counts, unless the caller asks for a ``fraction`` of them, drawn by ``sample_key``; the fraction is
-    reported.
+    reported. With ``case_blind`` texts that differ only in letter case or trailing spaces are one value.
     """
     if fraction < 1.0:
         if not sample_key:
@@ -70,25 +105,14 @@ def profile_columns(
     )
     counts = pairs.groupBy("column_no", "value").agg(F.count(F.lit(1)).alias("freq"))
 
-    ranged = [(i, f) for i, f in enumerate(fields) if family(f.dataType) != "other"]
+    if case_blind:
+        counts = same_text(counts)
     stats = counts.groupBy("column_no").agg(
         F.sum("freq").alias("sample_rows"),
         F.coalesce(F.sum(F.when(F.col("value").isNull(), F.col("freq"))), F.lit(0)).alias("null_count"),
         F.count("value").alias("distinct_count"),
     )
-    if ranged:
-        extremes = df.agg(
-            *[
-                F.struct(
-                    F.lit(i).alias("column_no"),
-                    F.min(_ranged(f)).cast("string").alias("min_value"),
-                    F.max(_ranged(f)).cast("string").alias("max_value"),
-                ).alias(f"c{i}")
-                for i, f in ranged
-            ]
-        ).select(F.inline(F.array(*[f"c{i}" for i, _ in ranged])))
-    else:
-        extremes = spark.createDataFrame([], "column_no int, min_value string, max_value string")
+    extremes = column_ranges(df)
     # NULL is ranked last and dropped afterwards: a filter on it would be pushed below the counts, and those be made twice
     order = Window.partitionBy("column_no").orderBy(F.col("value").isNull(), F.col("freq").desc(), F.col("value"))
     top = (
@@ -106,10 +130,6 @@ def profile_columns(
         )
         .select("column_no", F.nullif("joined", F.lit("")).alias("sample_values"))
     )
-    share = F.when(
-        F.col("sample_rows") > 0,
-        (F.col("null_count") * F.lit(100).cast("decimal(3,0)") / F.nullif(F.col("sample_rows"), F.lit(0))),
-    )
     return (
         columns.join(stats, "column_no", "left")
         .join(top, "column_no", "left")
@@ -119,7 +139,7 @@ def profile_columns(
             "data_type",
             F.coalesce("sample_rows", F.lit(0)).alias("sample_rows"),
             F.coalesce("null_count", F.lit(0)).alias("null_count"),
-            F.coalesce(share, F.lit(0)).cast("decimal(5,2)").alias("null_pct"),
+            null_share(F.col("null_count"), F.col("sample_rows")).alias("null_pct"),
             F.coalesce("distinct_count", F.lit(0)).alias("distinct_count"),
             "min_value",
             "max_value",

@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 from medloom.operators.conformed import ENTITY_DOMAINS
-from medloom.plans.checks import CPT_MAP, ICD_MAP
+from medloom.plans.checks import CPT_MAP, EVENT_COLUMNS, ICD_MAP, ORDER_COLUMNS
 from medloom.plans.checks_std import std, std_patients
-from medloom.plans.more_queries import DELIVERIES, FIRST_LOAD
+from medloom.plans.more_queries import DELIVERIES, FIRST_LOAD, SKETCHED_DAYS
+from medloom.sources.raw import raw_duckdb
 
 # Conformed entities -----------------------------------------------------------------------------------
 
@@ -106,6 +107,41 @@ def dim_patients_history() -> str:
       union all select 5, date '{third}', 1, {written.format(updates, second, third)}"""
 
 
+# Profiles by sketch -----------------------------------------------------------------------------------
+
+def profile_top_values() -> str:
+    parts = [
+        f"""(select '{t}' table_name, '{c}' column_name, row_number() over (order by count(*) desc, v) place, v "value", count(*) freq
+          from (select cast({c} as varchar) v from {t}) where v is not null group by v qualify place <= 5)"""
+        for t, columns in (("events", EVENT_COLUMNS), ("orders", ORDER_COLUMNS))
+        for c, _ in columns
+    ]
+    return " union all ".join(parts)
+
+
+def sketched_days() -> str:
+    since, until = SKETCHED_DAYS
+    days = f"(select * from events where cast(ts as date) between date '{since}' and date '{until}')"
+    return " union all ".join(
+        f"select '{c}' column_name, count(*) \"rows\", count(*) - count({c}) nulls, count(distinct {c}) distinct_count, true within_bound from {days}" for c, _ in EVENT_COLUMNS
+    )
+
+
+def profile_case_blind() -> str:
+    names = ("gender", "blood_group", "insurance_type", "area")
+    listed = ", ".join(names)
+    rows = f"with src as (select {listed} from ({raw_duckdb('raw_patients')}) union all select {listed} from ({raw_duckdb('raw_patient_updates')})) "
+    return rows + " union all ".join(
+        f"""select '{c}' column_name, 'string' data_type, count(*) sample_rows, count(*) - count({c}) null_count,
+          cast(round((count(*) - count({c})) * 100.0 / count(*), 2) as decimal(5,2)) null_pct, count(distinct lower(rtrim({c}, ' '))) distinct_count,
+          cast(null as varchar) min_value, cast(null as varchar) max_value,
+          (select string_agg(v || ' (' || f || ')', ', ' order by f desc, v) from (
+            select min({c}) v, count(*) f from src where {c} is not null group by lower(rtrim({c}, ' ')) order by f desc, v limit 5)) sample_values,
+          cast(1 as double) sampled_fraction from src"""
+        for c in names
+    )
+
+
 CHECKS: dict[str, str] = {
     "conformed_lookup": f"select * from {LOOKUP}",
     "conformed_admissions": conformed_admissions(),
@@ -118,4 +154,7 @@ CHECKS: dict[str, str] = {
     "dim_patients_versions": dim_patients(DELIVERIES[2].isoformat()),
     "dim_patients_as_of": dim_patients(DELIVERIES[0].isoformat()),
     "dim_patients_history": dim_patients_history(),
+    "profile_top_values": profile_top_values(),
+    "sketched_days": sketched_days(),
+    "profile_case_blind": profile_case_blind(),
 }

@@ -8,7 +8,8 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from medloom.operators import conformed, dimension
+from medloom.operators import conformed, dimension, sketches
+from medloom.operators.profile import profile_columns
 from medloom.operators.standardize import STANDARDIZE
 from medloom.plans.queries import GENDER_MAP, PAYER_MAP, UNIT_MAP, Query, cpt_map, icd_map, std
 from medloom.sources.raw import raw_table
@@ -140,6 +141,44 @@ def dim_patients_history(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dimension.history(spark, _patient_versions(spark, sf_dir))
 
 
+# Profiles by sketch -----------------------------------------------------------------------------------
+
+SKETCHED_DAYS = (dt.date(2024, 1, 10), dt.date(2024, 1, 20))
+#: How many standard errors an estimate may be off to count as right.
+ERRORS = 5
+
+
+def profile_top_values(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The five most frequent values of every column of events and orders."""
+
+    def top(name: str) -> DataFrame:
+        df = table(spark, sf_dir, name)
+        column = F.element_at(F.array(*[F.lit(c) for c in df.columns]), F.col("column_no") + 1).alias("column_name")
+        return sketches.top_values(df).select(F.lit(name).alias("table_name"), column, F.col("place").cast("long").alias("place"), "value", "freq")
+
+    return top("events").unionByName(top("orders"))
+
+
+def sketched_days(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Distinct counts of ten days of events from stored sketches, against exact ones: do they keep their bound?"""
+    events = table(spark, sf_dir, "events")
+    path = new_path(spark, "sketches")
+    day = F.col("ts").cast("date")
+    for half in (day <= F.lit(SKETCHED_DAYS[0]), day > F.lit(SKETCHED_DAYS[0])):  # two deliveries
+        sketches.add_days(events.filter(half), path, "ts")
+    found = sketches.merged(sketches.stored(path, spark, *SKETCHED_DAYS))
+    exact = profile_columns(events.filter(day.between(F.lit(SKETCHED_DAYS[0]), F.lit(SKETCHED_DAYS[1])))).select("column_name", "distinct_count")
+    off = F.abs(F.col("distinct_estimate") - F.col("distinct_count")) <= ERRORS * F.col("relative_error") * F.col("distinct_count")
+    return found.join(exact, "column_name").select("column_name", "rows", "nulls", "distinct_count", off.alias("within_bound"))
+
+
+def profile_case_blind(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Spellings of patients and their updates, letter case and trailing spaces aside."""
+    names = ("gender", "blood_group", "insurance_type", "area")
+    rows = [raw_table(spark, sf_dir, n).select(*names) for n in ("raw_patients", "raw_patient_updates")]
+    return profile_columns(rows[0].unionByName(rows[1]), case_blind=True)
+
+
 QUERIES: dict[str, Query] = {
     "conformed_lookup": lookup,
     "conformed_admissions": conformed_admissions,
@@ -152,4 +191,8 @@ QUERIES: dict[str, Query] = {
     "dim_patients_versions": dim_patients_versions,
     "dim_patients_as_of": dim_patients_as_of,
     "dim_patients_history": dim_patients_history,
+    "profile_top_values": profile_top_values,
+    "profile_sketched": lambda spark, sf_dir: sketches.profile_sketched(table(spark, sf_dir, "orders")),
+    "sketched_days": sketched_days,
+    "profile_case_blind": profile_case_blind,
 }
