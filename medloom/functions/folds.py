@@ -8,7 +8,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from medloom.functions.binding import constant_map
-from medloom.functions.text import cut, drop_text, sentence_case
+from medloom.functions.text import drop_text, sentence_case
 
 # Accepted spellings (upper case) and the label each one gets.
 ADMISSION_TYPES = {
@@ -120,5 +120,5 @@ def fold_payer(col: Column) -> Column:
 
 
 def fold_accreditation(col: Column) -> Column:
-    """JCI, NABH, None, or the text itself cut to 20 characters."""
-    return fold(cut(col, 20), ACCREDITATIONS, "keep")
+    """JCI, NABH, None, or the text itself."""
+    return fold(col, ACCREDITATIONS, "keep")

@@ -19,12 +19,12 @@ PATIENT_TOKENS = (
 )
 
 
-def clean_text(col: Column, width: int = 255) -> Column:
-    """Cut to ``width`` characters, turn tabs and line breaks into spaces, trim spaces.
+def clean_text(col: Column, width: int | None = None) -> Column:
+    """Turn tabs and line breaks into spaces and trim spaces; with ``width`` cut to so many characters first.
 
     ``replace`` returns at once where nothing matches; ``translate`` rebuilds every text and costs far more.
     """
-    text = F.substring(col.cast("string"), 1, width)
+    text = cut(col.cast("string"), width)
     for control in "\t\n\r":
         text = F.replace(text, F.lit(control), F.lit(" "))
     return F.trim(text)
@@ -62,9 +62,9 @@ def sentence_case(col: Column) -> Column:
     return F.concat(F.upper(F.substring(col, 1, 1)), F.lower(F.substring(col, 2, 2**31 - 1)))
 
 
-def cut(col: Column, width: int) -> Column:
-    """The first ``width`` characters."""
-    return F.substring(col, 1, width)
+def cut(col: Column, width: int | None) -> Column:
+    """The first ``width`` characters; the whole text without a width."""
+    return col if width is None else F.substring(col, 1, width)
 
 
 def or_na(col: Column) -> Column:

@@ -212,9 +212,9 @@ def latest_run_stats() -> str:
 
 # Single rules ---------------------------------------------------------------------------------------
 
-def rule(raw: str, column: str, expr: str, alias: str, tokens=S.COMMON_TOKENS, width: int = 255) -> str:
+def rule(raw: str, column: str, expr: str, alias: str, tokens=S.COMMON_TOKENS) -> str:
     return (
-        f"with c as (select {C.clean(column, width)} v from ({raw_duckdb(raw)})), "
+        f"with c as (select {C.clean(column)} v from ({raw_duckdb(raw)})), "
         f"t as (select {C.token('v', tokens)} v from c) "
         f"select v as input, {expr} as {alias}, count(*) n from t group by all"
     )
@@ -421,19 +421,19 @@ CHECKS: dict[str, str] = {
     ),
     "fold_payment_status": rule("raw_billing", "payment_status", C.mapped("v", M.PAYMENT_STATUSES), "label"),
     "fold_diagnosis_type": rule("raw_diagnoses", "diagnosis_type", C.mapped("v", M.DIAGNOSIS_TYPES), "label"),
-    "fold_payer": rule("raw_patients", "insurance_type", C.payer("v"), "label", S.PATIENT_TOKENS, 60),
-    "fold_blood_group": rule("raw_patients", "blood_group", C.blood_group("v"), "label", S.PATIENT_TOKENS, 10),
-    "fold_gender": rule("raw_patients", "gender", C.gender("v"), "label", S.PATIENT_TOKENS, 30),
+    "fold_payer": rule("raw_patients", "insurance_type", C.payer("v"), "label", S.PATIENT_TOKENS),
+    "fold_blood_group": rule("raw_patients", "blood_group", C.blood_group("v"), "label", S.PATIENT_TOKENS),
+    "fold_gender": rule("raw_patients", "gender", C.gender("v"), "label", S.PATIENT_TOKENS),
     "fold_accreditation": rule(
-        "raw_hospitals", "accreditation", C.mapped("v", M.ACCREDITATIONS, "left(v, 20)"), "label"
+        "raw_hospitals", "accreditation", C.mapped("v", M.ACCREDITATIONS, "v"), "label"
     ),
     "valid_icd": rule("raw_diagnoses", "icd_code", C.icd("v"), "code"),
-    "valid_cpt": rule("raw_procedures", "cpt_code", C.cpt("v"), "code", S.PROCEDURE_TOKENS, 20),
-    "valid_pincode": rule("raw_patients", "pincode", C.pincode("v"), "code", S.PATIENT_TOKENS, 20),
-    "title_name": rule("raw_providers", "name", C.title("v", True), "title", S.PROVIDER_TOKENS, 200),
-    "title_specialty": rule("raw_providers", "specialty", C.title("v", False), "title", S.PROVIDER_TOKENS, 200),
+    "valid_cpt": rule("raw_procedures", "cpt_code", C.cpt("v"), "code", S.PROCEDURE_TOKENS),
+    "valid_pincode": rule("raw_patients", "pincode", C.pincode("v"), "code", S.PATIENT_TOKENS),
+    "title_name": rule("raw_providers", "name", C.title("v", True), "title", S.PROVIDER_TOKENS),
+    "title_specialty": rule("raw_providers", "specialty", C.title("v", False), "title", S.PROVIDER_TOKENS),
     "title_description": rule(
-        "raw_procedures", "procedure_description", C.description("v"), "title", S.PROCEDURE_TOKENS, 400
+        "raw_procedures", "procedure_description", C.description("v"), "title", S.PROCEDURE_TOKENS
     ),
     "parse_dates_stay": rule("raw_admissions", "admission_date", C.day(C.dashed("v"), C.STAY), "parsed"),
     "parse_dates_diagnosis": rule(
@@ -444,14 +444,14 @@ CHECKS: dict[str, str] = {
     ),
     "parse_dates_birth": rule(
         "raw_patients", "date_of_birth", C.day(C.dashed("v"), ["ymd", "compact", "mdy", "dmy"]), "parsed",
-        S.PATIENT_TOKENS, 60,
+        S.PATIENT_TOKENS,
     ),
     "parse_dates_procedure": rule(
         "raw_procedures", "procedure_date", C.day(C.dashed("v"), ["ymd", "ymd_iso", "compact", "mdy", "dmy", "mon"]), "parsed",
-        S.PROCEDURE_TOKENS, 60,
+        S.PROCEDURE_TOKENS,
     ),
     "parse_dates_created": rule(
-        "raw_patients", "created_date", C.created("v"), "parsed", S.PATIENT_TOKENS, 60
+        "raw_patients", "created_date", C.created("v"), "parsed", S.PATIENT_TOKENS
     ),
     "kpi_los_monthly": kpi_los_monthly(),
     "kpi_occupancy": kpi_occupancy(),

@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 from medloom.operators.conformed import ENTITY_DOMAINS
+from medloom.operators.standardize import INPUT_WIDTH, OUTPUT_WIDTHS, PATIENT_WIDTHS, PROCEDURE_WIDTHS, PROVIDER_WIDTHS
 from medloom.plans.checks import CPT_MAP, EVENT_COLUMNS, ICD_MAP, ORDER_COLUMNS
-from medloom.plans.checks_std import std, std_patients
+from medloom.plans.checks_std import CHECKS as STD
+from medloom.plans.checks_std import PARTS, clean, std, std_patients, token
 from medloom.plans.more_queries import DELIVERIES, FIRST_LOAD, SKETCHED_DAYS
 from medloom.sources.raw import raw_duckdb
 
@@ -142,6 +144,32 @@ def profile_case_blind() -> str:
     )
 
 
+# Losses ------------------------------------------------------------------------------------------------
+
+_WIDTHS = {"patients": PATIENT_WIDTHS, "procedures": PROCEDURE_WIDTHS, "providers": PROVIDER_WIDTHS}
+
+
+def losses_of(entity: str) -> str:
+    """Each row with its raw, cleaned and converted columns side by side, then counts over them."""
+    STD[entity]()
+    names, tokens, final, keys = PARTS[f"raw_{entity}"]
+    cleaned = ", ".join(f'{clean(n)} "{n}"' for n in names)
+    nulled = ", ".join(f'{token(n, tokens)} "{n}"' for n in names)
+    widths = _WIDTHS.get(entity, {})
+    gone = " or ".join(f"{k} is null" for k in keys) or "false"
+    counts = [("rows", None, "count(*)"), ("dropped", None, f"count(*) filter (where {gone})")]
+    for n in names:
+        long = f'length(r."{n}") > {widths.get(n, INPUT_WIDTH)}' + (f' or length("{n}") > {OUTPUT_WIDTHS[n]}' if n in OUTPUT_WIDTHS else "")
+        counts += [("failed", n, f'count(*) filter (where t."{n}" is not null and "{n}" is null)'), ("cut", n, f"count(*) filter (where {long})")]
+    rows = ", ".join(f"{{'a': '{rule}', 'b': {'null' if n is None else repr(n)}, 'c': c{i}}}" for i, (rule, n, _) in enumerate(counts))
+    sums = ", ".join(f"{count} c{i}" for i, (_, _, count) in enumerate(counts))
+    return f"""select '{entity}' table_name, u.x.a rule, u.x.b column_name, u.x.c n from (
+      with raw as ({raw_duckdb(f'raw_{entity}')}), cleaned as materialized (select raw r, {cleaned} from raw), nulled as materialized (select r, {nulled} from cleaned),
+        f as materialized (select t, r, {final} from (select nulled t, * from nulled)),
+        w as (select {sums} from f)
+      select unnest([{rows}]) x from w) u"""
+
+
 CHECKS: dict[str, str] = {
     "conformed_lookup": f"select * from {LOOKUP}",
     "conformed_admissions": conformed_admissions(),
@@ -157,4 +185,5 @@ CHECKS: dict[str, str] = {
     "profile_top_values": profile_top_values(),
     "sketched_days": sketched_days(),
     "profile_case_blind": profile_case_blind(),
+    "losses": " union all ".join(losses_of(e) for e in STD),
 }

@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from medloom.operators import conformed, dimension, sketches
+from medloom.operators import conformed, dimension, losses, sketches
 from medloom.operators.profile import profile_columns
 from medloom.operators.standardize import STANDARDIZE
 from medloom.plans.queries import GENDER_MAP, PAYER_MAP, UNIT_MAP, Query, cpt_map, icd_map, std
@@ -179,6 +179,13 @@ def profile_case_blind(spark: SparkSession, sf_dir: str) -> DataFrame:
     return profile_columns(rows[0].unionByName(rows[1]), case_blind=True)
 
 
+# Losses ------------------------------------------------------------------------------------------------
+
+def losses_of_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows dropped, conversions failed and texts too long in each of the nine tables."""
+    return losses.account_of(spark, {e: raw_table(spark, sf_dir, f"raw_{e}") for e in STANDARDIZE})
+
+
 QUERIES: dict[str, Query] = {
     "conformed_lookup": lookup,
     "conformed_admissions": conformed_admissions,
@@ -195,4 +202,5 @@ QUERIES: dict[str, Query] = {
     "profile_sketched": lambda spark, sf_dir: sketches.profile_sketched(table(spark, sf_dir, "orders")),
     "sketched_days": sketched_days,
     "profile_case_blind": profile_case_blind,
+    "losses": losses_of_all,
 }

@@ -54,7 +54,7 @@ def all_std(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
 
 def on_raw(
     raw: str, column: str, build: Callable[..., Column], alias: str,
-    tokens: tuple[str, ...] = S.COMMON_TOKENS, width: int = 255, prepare: Callable[..., Column] | None = None,
+    tokens: tuple[str, ...] = S.COMMON_TOKENS, prepare: Callable[..., Column] | None = None,
 ) -> Query:
     """One rule over one raw column: distinct (input, output) pairs with their row counts.
 
@@ -62,7 +62,7 @@ def on_raw(
     """
 
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        cleaned = raw_table(spark, sf_dir, raw).select(S.clean_text(F.col(column), width).alias("input"))
+        cleaned = raw_table(spark, sf_dir, raw).select(S.clean_text(F.col(column)).alias("input"))
         inputs = (
             cleaned.select(S.null_tokens(F.col("input"), tokens).alias("input"))
             .groupBy("input")
@@ -75,10 +75,10 @@ def on_raw(
 
 
 def parse_query(
-    raw: str, column: str, classes: tuple[str, ...], tokens: tuple[str, ...] = S.COMMON_TOKENS, width: int = 255,
+    raw: str, column: str, classes: tuple[str, ...], tokens: tuple[str, ...] = S.COMMON_TOKENS,
     prepare: Callable[..., Column] = D.date_text,
 ) -> Query:
-    return on_raw(raw, column, lambda c: D.parse_date(c, classes), "parsed", tokens, width, prepare)
+    return on_raw(raw, column, lambda c: D.parse_date(c, classes), "parsed", tokens, prepare)
 
 
 def _std_query(entity: str) -> Query:
@@ -358,32 +358,32 @@ QUERIES: dict[str, Query] = {
     "fold_diagnosis_type": on_raw(
         "raw_diagnoses", "diagnosis_type", lambda c: M.fold(c, M.DIAGNOSIS_TYPES), "label"
     ),
-    "fold_payer": on_raw("raw_patients", "insurance_type", M.fold_payer, "label", S.PATIENT_TOKENS, 60),
-    "fold_blood_group": on_raw("raw_patients", "blood_group", M.fold_blood_group, "label", S.PATIENT_TOKENS, 10),
-    "fold_gender": on_raw("raw_patients", "gender", M.fold_gender, "label", S.PATIENT_TOKENS, 30),
+    "fold_payer": on_raw("raw_patients", "insurance_type", M.fold_payer, "label", S.PATIENT_TOKENS),
+    "fold_blood_group": on_raw("raw_patients", "blood_group", M.fold_blood_group, "label", S.PATIENT_TOKENS),
+    "fold_gender": on_raw("raw_patients", "gender", M.fold_gender, "label", S.PATIENT_TOKENS),
     "fold_accreditation": on_raw("raw_hospitals", "accreditation", M.fold_accreditation, "label"),
     "valid_icd": on_raw("raw_diagnoses", "icd_code", N.icd_code, "code"),
     "valid_cpt": on_raw(
-        "raw_procedures", "cpt_code", N.cpt_code, "code", S.PROCEDURE_TOKENS, 20, N.cpt_number
+        "raw_procedures", "cpt_code", N.cpt_code, "code", S.PROCEDURE_TOKENS, N.cpt_number
     ),
-    "valid_pincode": on_raw("raw_patients", "pincode", N.pincode, "code", S.PATIENT_TOKENS, 20),
+    "valid_pincode": on_raw("raw_patients", "pincode", N.pincode, "code", S.PATIENT_TOKENS),
     "title_name": on_raw(
-        "raw_providers", "name", lambda c: S.title_words(c, True), "title", S.PROVIDER_TOKENS, 200,
+        "raw_providers", "name", lambda c: S.title_words(c, True), "title", S.PROVIDER_TOKENS,
         lambda c: S.squeeze_spaces(c, 2),
     ),
     "title_specialty": on_raw(
-        "raw_providers", "specialty", S.title_words, "title", S.PROVIDER_TOKENS, 200, lambda c: S.squeeze_spaces(c, 2)
+        "raw_providers", "specialty", S.title_words, "title", S.PROVIDER_TOKENS, lambda c: S.squeeze_spaces(c, 2)
     ),
     "title_description": on_raw(
-        "raw_procedures", "procedure_description", lambda c: S.cut(S.title_description(c), 200), "title",
-        S.PROCEDURE_TOKENS, 400, S.spaced_commas,
+        "raw_procedures", "procedure_description", S.title_description, "title",
+        S.PROCEDURE_TOKENS, S.spaced_commas,
     ),
     "parse_dates_stay": parse_query("raw_admissions", "admission_date", D.STAY_CLASSES),
     "parse_dates_diagnosis": parse_query(
         "raw_diagnoses", "diagnosis_date", D.DIAGNOSIS_CLASSES
     ),
     "parse_dates_test": parse_query("raw_lab_results", "test_date", D.TEST_CLASSES, S.LAB_TOKENS),
-    "parse_dates_birth": parse_query("raw_patients", "date_of_birth", D.BIRTH_CLASSES, S.PATIENT_TOKENS, 60),
+    "parse_dates_birth": parse_query("raw_patients", "date_of_birth", D.BIRTH_CLASSES, S.PATIENT_TOKENS),
     "parse_dates_procedure": parse_query(
         "raw_procedures", "procedure_date", D.PROCEDURE_CLASSES, S.PROCEDURE_TOKENS, 60
     ),
