@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from medloom.operators.conformed import ENTITY_DOMAINS
+from medloom.operators.deid_linked import POLICY
 from medloom.operators.standardize import INPUT_WIDTH, OUTPUT_WIDTHS, PATIENT_WIDTHS, PROCEDURE_WIDTHS, PROVIDER_WIDTHS
-from medloom.plans.checks import CPT_MAP, EVENT_COLUMNS, ICD_MAP, ORDER_COLUMNS
+from medloom.plans.checks import CPT_MAP, EVENT_COLUMNS, ICD_MAP, ORDER_COLUMNS, _age, _encounter, _sha, health_all
 from medloom.plans.checks_std import CHECKS as STD
 from medloom.plans.checks_std import PARTS, clean, std, std_patients, token
 from medloom.plans.more_queries import DELIVERIES, FIRST_LOAD, SKETCHED_DAYS
@@ -170,6 +171,32 @@ def losses_of(entity: str) -> str:
       select unnest([{rows}]) x from w) u"""
 
 
+# Guarded joins and linked exports -----------------------------------------------------------------------
+
+def guarded_joins() -> str:
+    return " union all ".join(
+        f"""select '{e}' join_name, count(*) rows_in, count(*) filter (where a.admission_id is null) keyless, cast(sum(greatest(coalesce(n, 0), 1)) as bigint) rows_out,
+          count(*) filter (where n is null) unmatched, count(*) filter (where n > 1) doubled, coalesce(max(n), 0) most_matches
+        from {std('admissions')} a left join (select admission_id, count(*) n from {std(e)} where admission_id is not null group by 1) b on b.admission_id = a.admission_id"""
+        for e in ("diagnoses", "billing")
+    )
+
+
+def deid_linked(entity: str) -> str:
+    shift = f"cast(cast('0x' || left({_sha("('shift|' || d.admission_id)")}, 8) as bigint) % 7 - 3 as integer)"
+    shown = {
+        "keep": lambda c: f"d.{c} {c}",
+        "patient": lambda c: f"{_sha(f'd.{c}')} patient_hash",
+        "encounter": lambda c: f"{_encounter(f'd.{c}')} encounter_hash",
+        "row": lambda c: f"{_sha(f"('{c}|' || d.{c})")} {c}_hash",
+        "shift": lambda c: f"case when allowed then d.{c} + {shift} end {c}_shifted",
+    }
+    columns = ", ".join(shown[rule](c) for c, rule in POLICY[entity].items())
+    return f"""with e as (select admission_id, bool_and(coalesce({_age(20240101)} between 0 and 88, false)) allowed
+        from {std('admissions')} a left join {std('patients')} p on p.patient_id = a.patient_id group by 1)
+      select {columns} from {std(entity)} d left join e on e.admission_id = d.admission_id"""
+
+
 CHECKS: dict[str, str] = {
     "conformed_lookup": f"select * from {LOOKUP}",
     "conformed_admissions": conformed_admissions(),
@@ -186,4 +213,7 @@ CHECKS: dict[str, str] = {
     "sketched_days": sketched_days(),
     "profile_case_blind": profile_case_blind(),
     "losses": " union all ".join(losses_of(e) for e in STD),
+    "health_daily": health_all(),
+    "guarded_joins": guarded_joins(),
+    **{f"deid_linked_{e}": deid_linked(e) for e in POLICY},
 }

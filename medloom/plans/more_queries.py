@@ -8,10 +8,11 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from medloom.operators import conformed, dimension, losses, sketches
+from medloom.operators import conformed, deid_linked, dimension, guarded, health_daily, losses, sketches, suppress
+from medloom.operators.kpis import month_of
 from medloom.operators.profile import profile_columns
 from medloom.operators.standardize import STANDARDIZE
-from medloom.plans.queries import GENDER_MAP, PAYER_MAP, UNIT_MAP, Query, cpt_map, icd_map, std
+from medloom.plans.queries import AS_OF, EXAMPLE_SALT, GENDER_MAP, PAYER_MAP, UNIT_MAP, Query, cpt_map, icd_map, std
 from medloom.sources.raw import raw_table
 from medloom.sources.shared import new_path
 from medloom.sources.tables import table
@@ -179,6 +180,25 @@ def profile_case_blind(spark: SparkSession, sf_dir: str) -> DataFrame:
     return profile_columns(rows[0].unionByName(rows[1]), case_blind=True)
 
 
+# Health metrics from partial results --------------------------------------------------------------------
+
+#: The first column of each table deals its rows into deliveries.
+DELIVERED = 2
+
+
+def health_daily_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All metrics, from two deliveries that arrive one after the other: the second run reads the second one only."""
+    path = new_path(spark, "health-daily")
+    deliveries: dict[str, dict] = {}
+    for entity in STANDARDIZE:
+        raw = raw_table(spark, sf_dir, f"raw_{entity}")
+        dealt = F.pmod(F.crc32(F.coalesce(F.col(raw.columns[0]), F.lit(""))), F.lit(DELIVERED))
+        deliveries[entity] = {f"part-{i}": lambda e=entity, r=raw.filter(dealt == i): STANDARDIZE[e](r) for i in range(DELIVERED)}
+    for entity, of in deliveries.items():
+        health_daily.add(path, entity, of["part-0"](), "part-0")
+    return health_daily.run_all(spark, path, deliveries, AS_OF)
+
+
 # Losses ------------------------------------------------------------------------------------------------
 
 def losses_of_all(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -186,6 +206,36 @@ def losses_of_all(spark: SparkSession, sf_dir: str) -> DataFrame:
     return losses.account_of(spark, {e: raw_table(spark, sf_dir, f"raw_{e}") for e in STANDARDIZE})
 
 
+# Guarded joins, linked exports, suppressed tables -------------------------------------------------------
+
+def guarded_joins(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What two joins of stays did: to diagnoses, of which there are many, and to bills."""
+    guards = []
+    for entity in ("diagnoses", "billing"):
+        other = std(spark, sf_dir, entity).select("admission_id", F.lit(1).alias("found"))
+        joined, guard = guarded.guarded_join(std(spark, sf_dir, "admissions").select("admission_id", "patient_id"), other, ("admission_id",), entity)
+        joined.write.format("noop").mode("overwrite").save()
+        guards.append(guard)
+    return guarded.reports(spark, guards)
+
+
+EXPORT_DAY = dt.date(2024, 1, 1)
+
+
+def _linked(entity: str) -> Query:
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        of = deid_linked.encounters(std(spark, sf_dir, "admissions"), std(spark, sf_dir, "patients"), EXPORT_DAY)
+        return deid_linked.export(entity, std(spark, sf_dir, entity), of, EXAMPLE_SALT)
+
+    return run
+
+
+def suppressed_bills(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bills by year, month and status; small counts blank, with what would give them away."""
+    bills = std(spark, sf_dir, "billing").select(F.year("bill_date").alias("bill_year"), month_of("bill_date").alias("bill_month"), "payment_status")
+    return suppress.suppressed_table(bills, "bill_year", "bill_month", "payment_status")
+
+
 QUERIES: dict[str, Query] = {
     "conformed_lookup": lookup,
     "conformed_admissions": conformed_admissions,
@@ -203,4 +253,8 @@ QUERIES: dict[str, Query] = {
     "sketched_days": sketched_days,
     "profile_case_blind": profile_case_blind,
     "losses": losses_of_all,
+    "health_daily": health_daily_all,
+    "guarded_joins": guarded_joins,
+    **{f"deid_linked_{e}": _linked(e) for e in deid_linked.POLICY},
+    "suppressed_bills": suppressed_bills,
 }
