@@ -72,11 +72,6 @@ def or_na(col: Column) -> Column:
     return F.coalesce(col, F.lit("NA"))
 
 
-def concat_blank(*cols: Column) -> Column:
-    """Concatenation in which a NULL counts as an empty text."""
-    return F.concat(*[F.coalesce(c.cast("string"), F.lit("")) for c in cols])
-
-
 def physician_core(col: Column) -> Column:
     """The name without a leading 'Dr.'/'Dr'; NULL when nothing is left.
 

@@ -1,44 +1,11 @@
-"""Column inventory and row counts."""
+"""Row counts."""
 
 from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
-
-INVENTORY_SCHEMA = (
-    "table_schema string, table_name string, ordinal_position int, column_name string, data_type string, "
-    "is_nullable string, character_maximum_length int, numeric_precision int, numeric_scale int"
-)
-# Decimal digits a whole-number type can hold, or bits of a floating type.
-_PRECISION = {
-    T.ByteType: 3, T.ShortType: 5, T.IntegerType: 10, T.LongType: 19, T.FloatType: 24, T.DoubleType: 53,
-}
-
-
-def _numeric(kind: T.DataType) -> tuple[int | None, int | None]:
-    if isinstance(kind, T.DecimalType):
-        return kind.precision, kind.scale
-    precision = _PRECISION.get(type(kind))
-    whole = precision is not None and not isinstance(kind, (T.FloatType, T.DoubleType))
-    return precision, 0 if whole else None
-
-
-def column_inventory(spark: SparkSession, tables: dict[str, DataFrame], schema: str = "main") -> DataFrame:
-    """One row per column of the given tables, from their schemas alone; no data is read."""
-    rows = []
-    for name, df in tables.items():
-        for position, field in enumerate(df.schema.fields, 1):
-            width = field.dataType.length if isinstance(field.dataType, (T.VarcharType, T.CharType)) else None
-            rows.append(
-                (
-                    schema, name, position, field.name, field.dataType.simpleString(),
-                    "YES" if field.nullable else "NO", width, *_numeric(field.dataType),
-                )
-            )
-    return spark.createDataFrame(rows, INVENTORY_SCHEMA).orderBy("table_schema", "table_name", "ordinal_position")
 
 
 def table_rowcounts(tables: dict[str, DataFrame], schema: str = "main") -> DataFrame:
@@ -50,16 +17,3 @@ def table_rowcounts(tables: dict[str, DataFrame], schema: str = "main") -> DataF
         for name, df in tables.items()
     ]
     return reduce(DataFrame.unionByName, parts).orderBy("table_schema", "table_name")
-
-
-def rowcounts_from_parts(schemas: DataFrame, tables: DataFrame, parts: DataFrame) -> DataFrame:
-    """Row counts out of catalog tables: schemas(schema_id, table_schema), tables(table_id, schema_id,
-    table_name) and parts(table_id, row_count). Parts are summed per table before the joins."""
-    per_table = parts.groupBy("table_id").agg(F.sum("row_count").alias("row_count"))
-    return (
-        per_table.join(tables, "table_id")
-        .join(schemas, "schema_id")
-        .groupBy("table_schema", "table_name")
-        .agg(F.sum("row_count").alias("row_count"))
-        .orderBy("table_schema", "table_name")
-    )

@@ -92,18 +92,20 @@ def kpi_occupancy(admissions: DataFrame, departments: DataFrame, as_of: dt.date
     first, end = F.col("admission_date_final"), F.col("discharge_date_final")
     if as_of is not None:
         end = F.coalesce(end, F.lit(as_of))
-    stays = admissions.filter(F.col("department_id").isNotNull() & (end > first)).select(
-        "department_id",
-        first.alias("first_day"),
-        end.alias("end_day"),
-        month_of("admission_date_final").alias("first_month"),
-        month_of(F.date_sub(end, 1)).alias("last_month"),
+    # equal stays are one row from here on; a filter on the dates themselves would be copied into their rules
+    counted = (
+        admissions.filter(F.col("department_id").isNotNull())
+        .select("department_id", first.alias("first_day"), end.alias("end_day"))
+        .groupBy("department_id", "first_day", "end_day")
+        .agg(F.count_if(F.col("end_day") > F.col("first_day")).alias("stays"))
+        .filter("stays > 0")
     )
+    stays = counted.select("*", month_of("first_day").alias("first_month"), month_of(F.date_sub("end_day", 1)).alias("last_month"))
     one_month = F.col("first_month") == F.col("last_month")
     after_first = F.add_months("first_month", 1)
 
-    def step(month: Column, days: Column, stays_: int) -> Column:
-        return F.struct(month.alias("month"), days.cast("bigint").alias("days"), F.lit(stays_).alias("step"))
+    def step(month: Column, days: Column, sign: int) -> Column:
+        return F.struct(month.alias("month"), (days * F.col("stays")).alias("days"), (F.lit(sign) * F.col("stays")).alias("step"))
 
     steps = stays.select(
         "department_id",
@@ -263,7 +265,7 @@ def kpi_readmit_30d(admissions: DataFrame, days: int = 30) -> DataFrame:
     def within(begin: Column, end: Column) -> Column:
         return F.coalesce(F.datediff(begin, end).between(0, days), F.lit(False))
 
-    stays = admissions.filter(F.col("patient_id").isNotNull() & F.col("admission_date_final").isNotNull()).select(
+    stays = admissions.filter(F.col("patient_id").isNotNull()).select(
         "patient_id", "admission_id",
         F.col("admission_date_final").alias("day"), F.col("discharge_date_final").alias("left_on"),
         (F.col("discharge_date_final").isNotNull() & (F.col("discharge_status") != "Expired")).alias("is_index"),
@@ -272,11 +274,13 @@ def kpi_readmit_30d(admissions: DataFrame, days: int = 30) -> DataFrame:
     # is kept in a hash aggregate. The end is a day count below 2**22, 0 when the stay is open.
     end_number = F.coalesce(F.datediff(left_on, F.lit("0001-01-01").cast("date")) + 1, F.lit(0))
     packed = F.shiftleft(F.col("admission_id").cast("bigint"), 24) + end_number * 2 + F.col("is_index").cast("int")
+    # stays without a day are left out by their count: a filter on the day would be copied into its rules
     sums = stays.groupBy("patient_id", "day", month_of("left_on").alias("discharge_month")).agg(
         F.count_if("is_index").alias("index_stays"),
         F.count_if(F.col("is_index") & within(day, left_on)).alias("same_day"),
         F.max(packed).alias("last"),
-    )
+        F.count("day").alias("known"),
+    ).filter("known > 0")
     along = Window.partitionBy("patient_id").orderBy("day", "last")
     linked = sums.withColumn("next_day", F.lead("day").over(along)).withColumn(
         "low_bits", F.pmod(F.col("last"), F.lit(2**24)).cast("int")

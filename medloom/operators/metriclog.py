@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import datetime as dt
+import zlib
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 LOG_COLUMNS = ("object_name", "metric", "value_num", "value_text", "value_type", "run_utc", "run_id")
@@ -26,8 +27,37 @@ def stamp(metrics: DataFrame, run_id: str, run_utc: dt.datetime) -> DataFrame:
 
 
 def append_metrics(metrics: DataFrame, path: str, run_id: str, run_utc: dt.datetime) -> None:
-    """Append one run to the log."""
-    stamp(metrics, run_id, run_utc).write.mode("append").partitionBy("run_date").parquet(path)
+    """Append one run to the log, and its day to the index of runs."""
+    stamped = stamp(metrics, run_id, run_utc)
+    stamped.write.mode("append").partitionBy("run_date").parquet(path)
+    index_runs(metrics.sparkSession.createDataFrame([(run_id, run_utc.date())], RUNS_SCHEMA), path)
+
+
+RUNS_SCHEMA = "run_id string, run_date date"
+RUN_BUCKETS = 64
+
+
+def _runs_path(path: str) -> str:
+    return path.rstrip("/") + "_runs"
+
+
+def _run_bucket(run_id: str | Column) -> Column:
+    return F.pmod(F.crc32(run_id if isinstance(run_id, Column) else F.lit(run_id)), F.lit(RUN_BUCKETS)).cast("int")
+
+
+def index_runs(log: DataFrame, path: str) -> None:
+    """Note on which days the runs of a log, or of rows about to be added to it, lie: beside the log, by bucket of the run id."""
+    runs = log.filter(F.col("run_id").isNotNull()).select("run_id", "run_date").distinct()
+    bucketed = runs.withColumn("bucket", _run_bucket(F.col("run_id")))
+    bucketed.repartition("bucket").write.mode("append").partitionBy("bucket").parquet(_runs_path(path))
+
+
+def days_of_run(spark: SparkSession, path: str, run_id: str) -> list[dt.date]:
+    """The days a run lies on, usually one; reads one bucket of the index."""
+    bucket = zlib.crc32(run_id.encode()) % RUN_BUCKETS
+    index = spark.read.schema(RUNS_SCHEMA + ", bucket int").parquet(_runs_path(path))
+    found = index.filter((F.col("bucket") == bucket) & (F.col("run_id") == run_id)).select("run_date").distinct()
+    return sorted(r.run_date for r in found.collect())
 
 
 def read_log(spark: SparkSession, path: str) -> DataFrame:
@@ -36,10 +66,9 @@ def read_log(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_run(spark: SparkSession, path: str, run_id: str, run_date: dt.date | None = None) -> DataFrame:
-    """One run, sorted. With ``run_date`` only that day's folder is listed and read."""
-    log = read_log(spark, path).filter(F.col("run_id") == run_id)
-    if run_date is not None:
-        log = log.filter(F.col("run_date") == F.lit(run_date))
+    """One run, sorted. Only the folders of its days are read: of ``run_date``, or as the index of runs has them."""
+    days = [run_date] if run_date is not None else days_of_run(spark, path, run_id)
+    log = read_log(spark, path).filter(F.col("run_id") == run_id).filter(F.col("run_date").isin(days))
     return log.select("run_id", "object_name", "metric", "value_num", "value_text", "value_type", "run_utc").orderBy(
         "object_name", "metric"
     )

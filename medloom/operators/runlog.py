@@ -9,14 +9,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def run_log_from_parts(texts: DataFrame, queries: DataFrame, plans: DataFrame, stats: DataFrame) -> DataFrame:
-    """A run log out of four related tables: texts(text_id, query_text), queries(query_id, text_id),
-    plans(plan_id, query_id) and stats(plan_id, figures). The three small sides are joined with each other
-    first, so the large table of figures is joined, and shuffled if need be, once."""
-    described = plans.join(queries, "query_id").join(texts, "text_id")
-    return stats.join(described, "plan_id")
-
-
 def _milliseconds(micros: Column) -> Column:
     return F.floor(micros / 1000).cast("bigint")
 
@@ -112,17 +104,6 @@ def latest_run_stats(
     return rows.filter(F.col("value_text").isNotNull()).orderBy("object_name", "metric")
 
 
-def empty_probe(frames: Mapping[str, DataFrame]) -> DataFrame:
-    """Per object the row count under an always-false filter. The optimizer drops the scan, so nothing is read."""
-    out = None
-    for name, df in frames.items():
-        row = df.filter(F.lit(False)).agg(F.count(F.lit(1)).alias("rows")).select(
-            F.lit(name).alias("object_name"), "rows"
-        )
-        out = row if out is None else out.unionByName(row)
-    return out
-
-
 def measure(frames: Mapping[str, DataFrame]) -> DataFrame:
     """Run each DataFrame into a sink that discards it; wall milliseconds as metric rows."""
     rows = []

@@ -116,6 +116,7 @@ def metrics_run_read(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = new_path(spark, "metrics")
     log = raw_table(spark, sf_dir, "old_metric_log")
     log.write.mode("append").partitionBy("run_date").parquet(path)
+    metriclog.index_runs(log, path)
     return metriclog.read_run(spark, path, "run-7")
 
 
@@ -136,12 +137,6 @@ def latest_run_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return runlog.latest_run_stats(RUN_OBJECTS, raw_table(spark, sf_dir, "run_log"), FALLBACK_MS)
 
 
-def empty_probe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return runlog.empty_probe(
-        {health.OBJECT_NAMES[e]: df for e, df in all_std(spark, sf_dir).items()}
-    )
-
-
 def semi_exists(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Admissions that have a laboratory result."""
     return quality.with_match(std(spark, sf_dir, "admissions"), std(spark, sf_dir, "lab_results"), "admission_id")
@@ -385,10 +380,10 @@ QUERIES: dict[str, Query] = {
     "parse_dates_test": parse_query("raw_lab_results", "test_date", D.TEST_CLASSES, S.LAB_TOKENS),
     "parse_dates_birth": parse_query("raw_patients", "date_of_birth", D.BIRTH_CLASSES, S.PATIENT_TOKENS),
     "parse_dates_procedure": parse_query(
-        "raw_procedures", "procedure_date", D.PROCEDURE_CLASSES, S.PROCEDURE_TOKENS, 60
+        "raw_procedures", "procedure_date", D.PROCEDURE_CLASSES, S.PROCEDURE_TOKENS
     ),
     "parse_dates_created": on_raw(
-        "raw_patients", "created_date", D.parse_created, "parsed", S.PATIENT_TOKENS, 60
+        "raw_patients", "created_date", D.parse_created, "parsed", S.PATIENT_TOKENS
     ),
     "kpi_los_monthly": _kpi(kpis.kpi_los_monthly, "admissions"),
     "kpi_occupancy": _kpi(lambda a, d: kpis.kpi_occupancy(a, d, AS_OF["admissions"]), "admissions", "departments"),

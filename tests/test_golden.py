@@ -96,7 +96,6 @@ CASES = [
     ("blood", M.fold_blood_group, ["a +", "ab-", "C+"], ["A+", "AB-", None]),
     ("accreditation", M.fold_accreditation, ["jci", "none", "Iso 9", "x" * 30], ["JCI", "None", "Iso 9", "x" * 30]),
     ("spaces", lambda v: S.squeeze_spaces(v, 2), ["a     b", "a    b"], ["a  b", "a b"]),
-    ("blank concat", lambda v: S.concat_blank(v, F.lit("-")), [None, "a"], ["-", "a-"]),
 ]
 
 

@@ -7,7 +7,7 @@ import pytest
 from conftest import SF_SMALL
 from pyspark.sql import functions as F
 
-from medloom.operators import health, health_daily
+from medloom.operators import health, health_daily, metriclog
 from medloom.plans import queries as Q
 
 
@@ -70,3 +70,16 @@ def test_nothing_delivered(spark, tmp_path):
         empty = Q.std(spark, SF_SMALL, entity).limit(0)
         found = health_daily.metrics(entity, health_daily.stored(spark, str(tmp_path), entity), Q.AS_OF[entity])
         assert rows_of(found) == rows_of(health.HEALTH[entity](empty, Q.AS_OF[entity]))
+
+
+def test_a_run_is_found_without_reading_other_days(spark, tmp_path):
+    path = str(tmp_path / "log")
+    metrics = health.health_departments(Q.std(spark, SF_SMALL, "departments"))
+    for i in range(3):
+        metriclog.append_metrics(metrics, path, f"run-{i}", dt.datetime(2024, 2, 1 + i, 2))
+    found = metriclog.read_run(spark, path, "run-1")
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(run_date" in plan or "run_date" in plan.split("PartitionFilters: [")[1].split("]")[0]
+    assert found.count() == metrics.count() and metriclog.days_of_run(spark, path, "run-1") == [dt.date(2024, 2, 2)]
+    assert metriclog.read_run(spark, path, "run-1", dt.date(2024, 2, 1)).count() == 0
+    assert metriclog.read_run(spark, path, "no such run").count() == 0
