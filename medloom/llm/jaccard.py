@@ -4,18 +4,22 @@ The join is a product of the sparse matrix of documents by n-grams with its tran
 hold an entry at the threshold are computed.
 
 1. One pass over the texts gives every document's set size and set digests. Documents with equal sets form one class.
-2. Blocks. Sizes bound how much two linked sets can differ: of n-grams in one set only there are at most
+2. Meetings. Sizes bound how much two linked sets can differ: of n-grams in one set only there are at most
    d = (1 - t) / (1 + t) times the sum of the sizes. So if the n-grams are dealt into more than d parts by hash, linked
    sets agree on a whole part. The number of parts follows from the size class of the larger set; a set can be the
    larger or the smaller one, so it has two dealings. Each task sends the digests of the parts of each class of equal
-   sets once; equal digests are joined in a chain. Connected components of these joins are the blocks of the product:
-   links never leave a block, and sets that share a passage, but no whole part, don't meet.
-3. Each block is multiplied in one task, document by document: an index of set prefixes, ordered by the block's own
+   sets once. Classes with an equal part meet; meetings of the same classes count once.
+3. Blocks. Sets also share parts by chance, above all those of passages. Each class therefore has a row of counts: how many
+   of its n-grams fall into each of about an eighth as many cells. Counts of linked sets differ by d in sum at most, those of
+   unrelated sets by far more. Classes that meet and pass this test are joined, and the connected components of the
+   joins are the blocks of the product: links never leave a block, and a block is hardly larger than a component.
+   A meeting of more than ``MEETING`` classes is dealt into pieces that are tested pairwise, in tasks of their own.
+4. Each block is multiplied in one task, document by document: an index of set prefixes, ordered by the block's own
    counts, gives the columns that can be non-zero, sizes discard more of them, and overlaps of the rest are
    accumulated over whole sets. A document linked to an earlier one needs no row of its own unless its component is
    not the block's largest, so a block of near copies costs a row, not a square. A block above ``BLOCK_GRAMS`` is dealt
    into parts, and every two parts are multiplied in a task of their own.
-4. Tasks return spanning edges only. Their connected components are the result.
+5. Tasks return spanning edges only. Their connected components are the result.
 
 Hashes of n-grams have 64 bits, digests of sets 128.
 """
@@ -40,6 +44,9 @@ from medloom.sources.shared import written
 PERCENT = 85
 WORDS = 4
 BLOCK_GRAMS = 4_000_000
+MEETING = 16_384
+#: The least number of cells of a row of counts, and how many n-grams share one in larger sets.
+CELLS, GRAMS_A_CELL = 64, 8
 U = np.uint64
 
 
@@ -82,8 +89,28 @@ def _texts(batch: pa.RecordBatch) -> list[bytes]:
     return [t.encode() for t in batch.column("_text").to_pylist()]
 
 
+def count_rows(grams: np.ndarray, sizes: np.ndarray) -> list[bytes]:
+    """For each set how many of its elements fall into each cell (at most 255), the cells going by the highest bits."""
+    bits = np.maximum(CELLS, sizes // GRAMS_A_CELL)
+    bits = np.ceil(np.log2(np.maximum(bits, 1))).astype(np.int64)
+    cells = np.int64(1) << bits
+    base = np.cumsum(cells) - cells
+    at = (mix(grams + SECOND) >> np.repeat(U(64) - bits.astype(U), sizes)).astype(np.int64) + np.repeat(base, sizes)
+    counts = np.minimum(np.bincount(at, minlength=int(cells.sum())), 255).astype(np.uint8).tobytes()
+    return [counts[b : b + n] for b, n in zip(base.tolist(), cells.tolist(), strict=True)]
+
+
+def folded(rows: list[bytes]) -> np.ndarray:
+    """Rows of counts as a matrix with as many cells as the shortest has: neighbouring cells are added."""
+    least = min(map(len, rows))
+    out = np.empty((len(rows), least), np.int32)
+    for i, row in enumerate(rows):
+        out[i] = np.frombuffer(row, np.uint8).reshape(least, -1).sum(axis=1, dtype=np.int32)
+    return out
+
+
 def _survey(words: int) -> Callable:
-    """Set size and digests of every row."""
+    """Set size, digests and counts of every row."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -92,7 +119,8 @@ def _survey(words: int) -> Callable:
                 one, two = _set_digests(grams, sizes)
                 kept = {c: batch.column(c).slice(first, len(group)) for c in ("_id", "_hash")}
                 own = {"n": sizes.astype(np.int64), "one": one.view(np.int64), "two": two.view(np.int64)}
-                yield pa.RecordBatch.from_pydict(kept | {k: pa.array(v) for k, v in own.items()})
+                counts = {"counts": pa.array(count_rows(grams, sizes), pa.binary())}
+                yield pa.RecordBatch.from_pydict(kept | {k: pa.array(v) for k, v in own.items()} | counts)
 
     return run
 
@@ -174,16 +202,90 @@ def _parts(words: int, percent: int) -> Callable:
     return run
 
 
-def _chains(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Joins between neighbours that have the same part; rows arrive sorted."""
-    carry = tuple(np.empty(0, np.int64) for _ in range(2))
+def _meetings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The classes of parts that several classes have; rows arrive sorted by part and class."""
+    carry, met = tuple(np.empty(0, np.int64) for _ in range(2)), False  # the last row, and whether it met the one before
+
+    def shown(part: np.ndarray, kind: np.ndarray) -> pa.RecordBatch:
+        return pa.RecordBatch.from_pydict({"part": pa.array(part), "class": pa.array(kind)})
+
     for batch in batches:
         part, kind = (np.append(c, batch.column(k).to_numpy()) for c, k in zip(carry, ("part", "class"), strict=True))
+        if not len(part):
+            continue
+        fresh = np.append(True, (part[1:] != part[:-1]) | (kind[1:] != kind[:-1]))
+        part, kind = part[fresh], kind[fresh]
+        same = part[1:] == part[:-1]
+        several = np.append(met, same) | np.append(same, False)
+        met = bool(several[-1])
         carry = (part[-1:], kind[-1:])
-        joined = (part[1:] == part[:-1]) & (kind[1:] != kind[:-1])
-        pairs = np.unique(np.sort(np.stack([kind[1:][joined], kind[:-1][joined]]), axis=0), axis=1)
-        if pairs.shape[1]:
-            yield pa.RecordBatch.from_pydict({"a": pa.array(pairs[0]), "b": pa.array(pairs[1])})
+        if several[:-1].any():
+            yield shown(part[:-1][several[:-1]], kind[:-1][several[:-1]])
+    if met:
+        yield shown(*carry)
+
+
+def _tested(percent: int) -> Callable:
+    """Joins between classes that meet and whose counts allow a link; rows arrive sorted by meeting and piece numbers."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        key, kinds, sizes, rows = None, [], [], []
+
+        def done() -> Iterator[pa.RecordBatch]:
+            edges = allowed_links(np.array(sizes, np.int64), folded(rows), percent) if len(rows) > 1 else []
+            if edges:
+                a, b = np.array(kinds, np.int64)[np.array(edges)].T
+                yield pa.RecordBatch.from_pydict({"a": pa.array(a), "b": pa.array(b)})
+
+        for batch in batches:
+            columns = (batch.column(c).to_pylist() for c in ("part", "i", "j", "class", "n", "counts"))
+            for part, i, j, kind, n, counts in zip(*columns, strict=True):
+                if (part, i, j) != key:
+                    yield from done()
+                    key, kinds, sizes, rows = (part, i, j), [], [], []
+                kinds.append(kind)
+                sizes.append(n)
+                rows.append(counts)
+        yield from done()
+
+    return run
+
+
+def allowed_links(sizes: np.ndarray, counts: np.ndarray, percent: int) -> list[tuple[int, int]]:
+    """Pairs whose sizes and counts allow a link, enough of them to give all connected components."""
+
+    def row(x: int, among: np.ndarray | None = None) -> np.ndarray:
+        near = (100 * sizes >= percent * sizes[x]) & (100 * sizes[x] >= percent * sizes)
+        near[x] = False
+        if among is not None:
+            near &= among
+        at = np.flatnonzero(near)
+        apart = np.abs(counts[at] - counts[x]).sum(axis=1)
+        return at[(100 + percent) * apart <= (100 - percent) * (sizes[at] + sizes[x])]
+
+    return spanning(len(sizes), row)
+
+
+def spanning(m: int, row: Callable) -> list[tuple[int, int]]:
+    """Edges that give all connected components, from ``row(x, among)``: the neighbours of x, of those in ``among``.
+
+    A neighbour of an earlier element needs no row of its own unless it lies outside the largest component.
+    """
+    forest, edges, absorbed = Forest(m), [], np.zeros(m, bool)
+    for x in range(m):
+        if absorbed[x]:
+            continue
+        linked = row(x)
+        absorbed[linked] = True
+        edges += [(x, y) for y in linked.tolist() if forest.join(x, y)]
+        if len(edges) == m - 1:
+            return edges
+    # pairs of absorbed elements in different components: at least one is outside the largest component
+    roots = np.array([forest.root(i) for i in range(m)])
+    largest = np.bincount(roots).argmax()
+    for x in np.flatnonzero(absorbed & (roots != largest)).tolist():
+        edges += [(x, y) for y in row(x, absorbed & (roots != roots[x])).tolist() if forest.join(x, y)]
+    return edges
 
 
 def _sets(words: int) -> Callable:
@@ -241,21 +343,7 @@ def spanning_links(sets: list[np.ndarray], percent: int) -> list[tuple[int, int]
         overlap = sums[ends] - sums[ends - sizes[docs]]
         return docs[100 * overlap >= percent * (sizes[x] + sizes[docs] - overlap)]
 
-    forest, edges, absorbed = Forest(m), [], np.zeros(m, bool)
-    for x in range(m):
-        if absorbed[x]:
-            continue
-        linked = row(x)
-        absorbed[linked] = True
-        edges += [(x, y) for y in linked.tolist() if forest.join(x, y)]
-        if len(edges) == m - 1:
-            return edges
-    # pairs of absorbed sets in different components: at least one is outside the largest component
-    roots = np.array([forest.root(i) for i in range(m)])
-    largest = np.bincount(roots).argmax()
-    for x in np.flatnonzero(absorbed & (roots != largest)).tolist():
-        edges += [(x, y) for y in row(x, absorbed & (roots != roots[x])).tolist() if forest.join(x, y)]
-    return edges
+    return spanning(m, row)
 
 
 def _multiply(percent: int) -> Callable:
@@ -285,8 +373,24 @@ def _multiply(percent: int) -> Callable:
     return run
 
 
+def _blocks(met: DataFrame, linking: DataFrame, percent: int, meeting: int) -> DataFrame:
+    """The joins of classes: a, b. Of meetings of the same classes the one of the smallest part is tested."""
+    who = (F.xxhash64("class"), F.xxhash64(F.lit(1), "class"))
+    lists = met.groupBy("part").agg(F.count("*").alias("m"), *[F.bit_xor(h).alias(f"h{i}") for i, h in enumerate(who)])
+    once = written(lists.groupBy("m", "h0", "h1").agg(F.min("part").alias("part")).select("part", F.ceil(F.col("m") / meeting).cast("int").alias("pieces")), "once")
+    wanted = once.hint("merge")  # grows with the input: never broadcast
+    asked = written(met.join(wanted, "part"), "asked")
+    counts = linking.groupBy(F.col("one").alias("class")).agg(F.min(F.struct("n", "counts")).alias("own")).select("class", "own.n", "own.counts")
+    own = F.pmod(F.xxhash64("class"), F.col("pieces")).cast("int").alias("own")
+    dealt = asked.join(written(counts, "counts").hint("merge"), "class").select("part", "class", "n", "counts", own, F.explode(F.sequence(F.lit(0), F.col("pieces") - 1)).alias("other"))
+    dealt = dealt.select("part", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "class", "n", "counts")
+    pieces = dealt.repartition("part", "i", "j").sortWithinPartitions("part", "i", "j", "class")
+    return arrow_map(pieces, _tested(percent), "a long, b long")
+
+
 def similar_components(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS, percent: int = PERCENT, block_grams: int = BLOCK_GRAMS
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS, percent: int = PERCENT, block_grams: int = BLOCK_GRAMS,
+    meeting: int = MEETING,
 ) -> DataFrame:
     """Per row: the id, n_shingles (size of its set of word n-grams), component_id (smallest id reachable by links).
 
@@ -299,15 +403,16 @@ def similar_components(
     if not 0 < percent <= 100:
         raise ValueError("percent lies in 1 to 100")
     rows = keyed(docs.withColumn(id_col, F.col(f"`{id_col}`").cast("long")), id_col, text_col)
-    head = [rows.schema["_id"], *(T.StructField(c, T.LongType()) for c in ("_hash", "n", "one", "two"))]
+    head = [rows.schema["_id"], *(T.StructField(c, T.LongType()) for c in ("_hash", "n", "one", "two")), T.StructField("counts", T.BinaryType())]
     survey = written(arrow_map(rows, _survey(words), T.StructType(head)), "survey")
     linking = survey.filter("n > 0 and _id is not null")
 
     parts = arrow_map(rows.filter("_id is not null").select("_text"), _parts(words, percent), "part long, class long")
     lists = parts.repartition("part").sortWithinPartitions("part", "class")
-    blocks = components(arrow_map(lists, _chains, "a long, b long"))
-
+    met = written(arrow_map(lists, _meetings, "part long, class long"), "meetings")
     classes = written(linking.groupBy("one", "two", "n").agg(F.min(F.struct("_id", "_hash")).alias("first")), "classes")
+    blocks = components(_blocks(met, linking, percent, meeting))
+
     chosen = written(
         classes.join(blocks, classes["one"] == blocks["node"]).select(
             F.col("first._id").alias("_id"), F.col("first._hash").alias("_hash"), F.col("component").alias("block"), "n"

@@ -7,6 +7,7 @@ import numpy as np
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from medloom.llm import exact, jaccard
 from medloom.llm.components import Forest, components
@@ -167,3 +168,53 @@ def test_similar_dedup_by_row_keeps_the_smallest_id(spark):
     rows = [(i, t) for i, (_, t) in enumerate(near_copies(6))]
     got = jaccard.dedup_rows(spark.createDataFrame(rows, SCHEMA))
     assert brute.same(got.collect(), [r for r, (i, _, c) in zip(rows, brute.similar(rows), strict=True) if i == c])
+
+
+def test_blocks_are_hardly_larger_than_components(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet")
+    docs = exact.dedup_rows(docs)
+    rows = jaccard.keyed(docs, "doc_id", "text")
+    schema = "_id long, _hash long, n long, one long, two long, counts binary"
+    survey = jaccard.written(jaccard.arrow_map(rows, jaccard._survey(5), schema), "survey")
+    parts = jaccard.arrow_map(rows.select("_text"), jaccard._parts(5, 80), "part long, class long")
+    met = jaccard.written(jaccard.arrow_map(parts.repartition("part").sortWithinPartitions("part", "class"), jaccard._meetings, "part long, class long"), "meetings")
+    blocks = jaccard.components(jaccard._blocks(met, survey.filter("n > 0"), 80, jaccard.MEETING))
+    largest = blocks.groupBy("component").count().agg(F.max("count")).first()[0]
+    found = jaccard.similar_components(docs, words=5, percent=80)
+    component = found.groupBy("component_id").count().agg(F.max("count")).first()[0]
+    assert component <= largest <= 50  # 1,541 where every shared part joined
+
+
+def test_meetings_in_pieces(spark):
+    rng = random.Random(5)
+    base = [" ".join(f"w{rng.randrange(500)}" for _ in range(60)) for _ in range(6)]
+    texts = []
+    for _ in range(120):
+        words = rng.choice(base).split()
+        for _ in range(rng.choice([0, 0, 1, 2, 9])):
+            words[rng.randrange(len(words))] = f"x{rng.randrange(9)}"
+        texts.append(" ".join(words))
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    expected = brute.similar(list(enumerate(texts)), 3, 70)
+    for meeting, block_grams in ((3, 50), (jaccard.MEETING, jaccard.BLOCK_GRAMS)):
+        got = jaccard.similar_components(df, words=3, percent=70, meeting=meeting, block_grams=block_grams).collect()
+        assert brute.same(got, expected)
+
+
+@pytest.mark.parametrize("percent", [70, 80, 95])
+def test_counts_never_part_linked_sets(percent):
+    rng = np.random.default_rng(percent)
+    for _ in range(60):
+        base = rng.integers(1, 1 << 62, int(rng.choice([3, 20, 80, 900, 6000])), dtype=np.uint64)
+        sets = []
+        for _ in range(8):
+            kept = base[rng.random(len(base)) > rng.choice([0, 0.05, 0.12])]
+            more = rng.integers(1, 1 << 62, int(len(base) * rng.choice([0, 0.05])), dtype=np.uint64)
+            sets.append(np.unique(np.concatenate([kept if len(kept) else base[:1], more])))
+        sizes = np.array([len(s) for s in sets])
+        counts = jaccard.folded(jaccard.count_rows(np.concatenate(sets), sizes))
+        links = [(i, j) for i in range(8) for j in range(i) if 100 * len(np.intersect1d(sets[i], sets[j])) >= percent * len(np.union1d(sets[i], sets[j]))]
+        forest = Forest(8)
+        for pair in jaccard.allowed_links(sizes, counts, percent):
+            forest.join(*pair)
+        assert all(forest.root(i) == forest.root(j) for i, j in links)
