@@ -104,7 +104,13 @@ def _matrix(column: pa.Array) -> np.ndarray:
     return flat.reshape(len(column), -1) if len(column) else flat.reshape(0, 0)
 
 
+def _scaled(rows: np.ndarray) -> np.ndarray:
+    """Rows times powers of two, so that the largest component lies in 0.5 to 1: exact, and squares neither overflow nor vanish."""
+    return np.ldexp(rows, -np.frexp(np.abs(rows).max(axis=1, keepdims=True, initial=0))[1])
+
+
 def _unit(rows: np.ndarray) -> np.ndarray:
+    rows = _scaled(rows)
     return rows / np.linalg.norm(rows, axis=1, keepdims=True)
 
 
@@ -163,6 +169,7 @@ def _visit(forests: dict[int, tuple[int, list[Tree]]], sizes: list[np.ndarray],
 
 def nearest(queries: np.ndarray, names: list[int], rows: np.ndarray, ids: list[list[int]], k: int) -> Iterator[tuple[int, int, float]]:
     """(query, id, cosine) of the k nearest entries of each query, without the query's own id; ties may add some."""
+    queries, rows = _scaled(queries), _scaled(rows)
     lengths = np.linalg.norm(rows, axis=1)
     rough = (queries @ rows.T) / (np.linalg.norm(queries, axis=1)[:, None] * lengths)
     last = min(len(rows), k + 1) - 1  # one more than asked: the query itself may be among them

@@ -146,3 +146,20 @@ def test_search_among_vectors_of_each_length(spark, leaf_rows):
     got = answers(forest.search(df, df.filter("vec_id % 50 = 0"), share=9.0, leaf_rows=leaf_rows))
     assert {len(v) for i, v in rows if i in got} == {64, 3, 300} and len(got) == 8
     assert {q: [i for i, _ in a] for q, a in got.items()} == {q: [i for i, _ in a] for q, a in expected.items() if a}
+
+
+def test_vectors_of_any_size(spark):
+    rng = np.random.default_rng(4)
+    rows = [(i, (rng.normal(size=3) * 10.0 ** rng.choice([-300, -200, 0, 200, 300])).tolist()) for i in range(300)]
+    rows += [(1000, [1e200, 0.0]), (1001, [1.0, 0.0]), (1002, [1e-200, 0.0]), (1050, [5e-324, 0.0]), (1051, [1.7e308, 1.7e308])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = answers(forest.search(df, df.filter("vec_id % 50 = 0"), leaves=8))
+
+    def unit(v):
+        v = np.ldexp(np.array(v), -np.frexp(max(map(abs, v)))[1])
+        return v / np.sqrt((v * v).sum())
+
+    for q, v in rows:
+        if q % 50 == 0:
+            best = sorted((-float(unit(v) @ unit(w)), i) for i, w in rows if i != q and len(w) == len(v))[:5]
+            assert np.allclose([s for _, s in got[q]], [-s for s, _ in best], atol=1e-12)
