@@ -137,5 +137,11 @@ def dedup_rows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     """
     _, digest, again = _tested(docs, id_col, text_col)
     own = F.col(f"`{id_col}`")
-    maybe = docs.filter(again(digest))
-    return docs.filter(~again(digest)).unionByName(first_of_each(maybe, digest, own.isNull(), own, row_hash(docs)))
+    name = "_digest"
+    while name in docs.columns:
+        name += "_"
+    # a column that is not deterministic, though its value is, is computed once instead of in every place that uses it
+    marked = docs.withColumn(name, F.when(F.monotonically_increasing_id() >= 0, digest))
+    alone = marked.filter(~again(F.col(name))).drop(name)
+    maybe = marked.filter(again(F.col(name)))
+    return alone.unionByName(first_of_each(maybe, F.col(name), own.isNull(), own, row_hash(docs)).drop(name))
