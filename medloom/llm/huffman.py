@@ -141,7 +141,7 @@ def _tokenize(path: str, end_id: int) -> Callable:
         part, before = TaskContext.get().partitionId(), 0
         end = np.array([end_id], "<u4").tobytes()
         for batch in batches:
-            encoded = encoder(path).encode(batch.column("_text").to_pylist())
+            encoded = encoder(path).encode(batch.column("_text"))
             for at in range(0, batch.num_rows, 500):
                 own = [np.frombuffer(x + end, "<u4") for _, x in zip(range(min(500, batch.num_rows - at)), encoded, strict=False)]
                 ends = before + np.cumsum([len(x) for x in own])

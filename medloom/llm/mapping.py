@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import os
 from collections.abc import Callable, Iterator
 
@@ -26,9 +27,18 @@ def slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 yield batch.slice(at, step)
 
 
+def _give_back() -> None:
+    """Return memory that a finished task no longer uses: worker processes outlive tasks, and keep it otherwise."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
+
+
 def _sliced(function: Callable) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield from function(slices(batches))
+        _give_back()
 
     return run
 

@@ -105,9 +105,9 @@ class Packer:
             yield own
 
 
-def _pack(path: str, end_id: int, limits: tuple[int, int, int], with_ids: bool, block: tuple[int, int]) -> Callable:
+def _pack(path: str, end_id: int, limits: tuple[int, int, int], with_ids: bool, block: tuple[int, int], kept: int = KEPT_PIECES) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokenizer = encoder(path, KEPT_PIECES)
+        tokenizer = encoder(path, kept)
         packer = Packer(*limits)
         base = TaskContext.get().partitionId() << 33
         end = np.array([end_id], "<u4").tobytes()
@@ -159,9 +159,8 @@ def _pack(path: str, end_id: int, limits: tuple[int, int, int], with_ids: bool,
 
         for batch in batches:
             id_type = batch.column("_id").type
-            prompts = tokenizer.encode(batch.column("_prompt").to_pylist()) if "_prompt" in batch.schema.names else None
-            texts = batch.column("_text").to_pylist()
-            for name, own in zip(batch.column("_id").to_pylist(), tokenizer.encode(texts), strict=True):
+            prompts = tokenizer.encode(batch.column("_prompt")) if "_prompt" in batch.schema.names else None
+            for name, own in zip(batch.column("_id").to_pylist(), tokenizer.encode(batch.column("_text")), strict=True):
                 prompt = next(prompts) if prompts is not None else b""
                 own = prompt + own + end
                 ids[number], names[number], left[number] = own, name, len(own) // 4
@@ -187,6 +186,7 @@ def pack(
     max_segments: int = MAX_SEGMENTS,
     max_loss: int | None = None,
     with_ids: bool = True,
+    kept_pieces: int = KEPT_PIECES,
 ) -> DataFrame:
     """Pack documents, or prompts with their answers, into sequences under three limits at once.
 
@@ -194,7 +194,7 @@ def pack(
     exactly one piece. Returns per piece: the id, start (ids of the document before it), length, ids_crc32 (unsigned,
     over little-endian unsigned 32-bit ids), doc_tokens, sequence_id, offset (in the sequence, without gaps), and with
     ``with_ids`` the ids. A missing text is empty, so its document is one end id. Rows that repeat an id are documents
-    of their own. Other columns are ignored; an empty table gives an empty table.
+    of their own. Other columns are ignored; an empty table gives an empty table. Workers remember the ids of about ``kept_pieces`` words.
     """
     def text(c: str):
         return F.coalesce(F.col(f"`{c}`").cast("string"), F.lit(""))
@@ -208,5 +208,5 @@ def pack(
     if with_ids:
         fields.append(T.StructField("ids", T.ArrayType(T.IntegerType())))
     limits = (max_tokens, max_segments, max_loss or max_tokens)
-    run = _pack(tokenizer_path, end_id, limits, with_ids, (BLOCK_DOCUMENTS, BLOCK_TOKENS))
+    run = _pack(tokenizer_path, end_id, limits, with_ids, (BLOCK_DOCUMENTS, BLOCK_TOKENS), kept_pieces)
     return arrow_map(rows, run, T.StructType(fields)).withColumnRenamed("_id", id_col)

@@ -8,16 +8,19 @@ from __future__ import annotations
 
 import os
 import re
-from array import array
 from collections.abc import Iterable, Iterator
-from itertools import accumulate, chain
+from itertools import chain
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+
+from medloom.llm.rolling import ranges
 
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 
 KEPT_PIECES = 1_200_000
-BATCH_CHARS = 1 << 21
+BATCH_CHARS = 1 << 22
 #: A space before something that is no white space starts a piece of a byte-level tokenizer.
 _SPACE = re.compile(r" (?=\S)")
 _AWKWARD = re.compile(r" (?:\s|\Z)")
@@ -56,14 +59,30 @@ def byte_letters() -> dict[str, int]:
     return {chr(b if b in printable else next(spare)): b for b in range(256)}
 
 
+#: White space as the tokenizers' patterns have it.
+_WHITE = r"\s\x0b\x1c-\x1f\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}"
+_AWKWARD_ARROW = rf" ([{_WHITE}]|\z)"
+_LINES = rf"\A[^{_WHITE}]+(\n[^{_WHITE}]+)+\z"
+_TAILED = r"[A-Za-z0-9][,.]+\z"
+_LATIN = r"\A[A-Za-z\x{aa}\x{b5}\x{ba}\x{c0}-\x{d6}\x{d8}-\x{f6}\x{f8}-\x{ff}]+\z"
+
+
+def _flags(column: pa.Array, pattern: str) -> np.ndarray:
+    return pc.match_substring_regex(column, pattern).to_numpy(zero_copy_only=False)
+
+
 class PieceEncoder:
     """Ids of texts, as little-endian unsigned 32-bit integers, from a file of the tokenizers library.
 
-    ``byte_level`` vocabularies keep white space: pieces start with their space. Others drop it, and fold case where
-    their normaliser does; A-Z are then folded before looking a piece up. Commas and full stops after a letter or digit
-    are words of their own to the tokenizer, so a piece that ends in them is put together. A piece of Latin-1 letters is one
-    word, in normal form, and goes straight to the tokenizer's model. Texts that hold a special
-    token's string go through the tokenizer whole, as the string takes part in cutting.
+    Texts are cut and their pieces numbered as whole columns; Python sees each distinct piece of a column once.
+
+    ``byte_level`` vocabularies keep white space: pieces but the first of a text start with their space. Others drop it, and
+    fold case where their normaliser does; A-Z are then folded before looking a piece up. Commas and full stops after a
+    letter or digit are words of their own to the tokenizer, and so is a single line feed between other characters, so pieces that
+    hold them are put together from smaller ones. A piece of Latin-1 letters is one word, in normal form, and goes
+    straight to the tokenizer's model. Texts that hold a special token's string go through the tokenizer whole, as the string takes part in cutting.
+
+    Ids of pieces lie end to end in one array. When more than ``kept`` pieces are known, all are forgotten before the next column.
     """
 
     def __init__(self, path: str, kept: int = KEPT_PIECES):
@@ -73,84 +92,159 @@ class PieceEncoder:
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
         self.byte_level = self.tokenizer.normalizer is None
-        self.special = [t.content.encode() for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.model = self.tokenizer.model
         self.letters = {b: c for c, b in byte_letters().items()}
         self.kept = kept
-        self.first: dict[bytes, bytes] = {}
-        self.rest: dict[bytes, bytes] = {}
-        self.tails: dict[bytes, bytes] = {}
+        self._forget()
+
+    def _forget(self) -> None:
+        #: The number of each piece, without a space before it and with one.
+        self.numbers: tuple[dict[str, int], dict[str, int]] = ({}, {})
+        self.ids = np.empty(1 << 12, np.uint32)
+        self.ends = np.zeros(1 << 10, np.int64)  # of the ids of each piece; the first entry is no piece
+        self.known = 0
+
+    def _store(self, spaced: int, pieces: list[str], ids: np.ndarray, counts: np.ndarray) -> None:
+        first, used = self.known + 1, int(self.ends[self.known])
+        while len(self.ids) < used + len(ids):
+            self.ids = np.concatenate([self.ids, np.empty_like(self.ids)])
+        while len(self.ends) < first + len(pieces):
+            self.ends = np.concatenate([self.ends, np.zeros_like(self.ends)])
+        self.ids[used : used + len(ids)] = ids
+        self.ends[first : first + len(pieces)] = used + np.cumsum(counts)
+        self.numbers[spaced].update(zip(pieces, range(first, first + len(pieces)), strict=True))
+        self.known += len(pieces)
 
-    def _whole(self, texts: list[str]) -> list[bytes]:
+    def _ids_of(self, numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of pieces, end to end, and how many each has."""
+        starts = self.ends[numbers - 1]
+        counts = self.ends[numbers] - starts
+        return self.ids[ranges(starts, counts)], counts
+
+    def _whole(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         ids = [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
-        raw = np.fromiter(chain.from_iterable(ids), "<u4").tobytes()
-        ends = list(accumulate(map(len, ids)))
-        return [raw[4 * a : 4 * b] for a, b in zip([0, *ends], ends, strict=False)]
-
-    def _learn(self, table: dict[bytes, bytes], pieces: set[bytes], prefix: str) -> None:
-        new = [p for p in pieces if p not in table]
-        if len(table) + len(new) > self.kept:
-            table.clear()
-            new = list(pieces)
-        ask, joined = set(), []
-        for p in new:
-            core = p.rstrip(b",.")
-            if len(core) < len(p) and core[-1:].isalnum():
-                joined.append((p, core, p[len(core) :]))
-                if core not in table:
-                    ask.add(core)
-            else:
-                ask.add(p)
-        model, head = self.model, prefix.replace(" ", self.letters[32])
-        todo = []
-        for p in ask:
-            word = p.decode()
-            if word.isalpha() and max(word) < "\u0100":
-                if not self.byte_level:
-                    word = word.lower()
-                if not p.isascii():
-                    word = word.encode().decode("latin-1").translate(self.letters)
-                table[p] = array("I", [t.id for t in model.tokenize(head + word)]).tobytes()
-            else:
-                todo.append(p)
-        for at in range(0, len(todo), 10_000):
-            part = todo[at : at + 10_000]
-            table.update(zip(part, self._whole([prefix + p.decode() for p in part]), strict=True))
-        for p, core, tail in joined:
-            if tail not in self.tails:
-                if len(self.tails) > self.kept:
-                    self.tails.clear()
-                self.tails[tail] = self._whole([tail.decode()])[0]
-            table[p] = table[core] + self.tails[tail]
-
-    def _cut(self, text: str) -> list[bytes] | None:
-        """The pieces of a text, or nothing if it holds a special token's string."""
-        raw = text.encode()
+        counts = np.fromiter(map(len, ids), np.int64, len(ids))
+        return np.fromiter(chain.from_iterable(ids), np.uint32, int(counts.sum())), counts
+
+    def _numbered(self, spaced: int, column: pa.Array) -> np.ndarray:
+        """The number of each piece of a column; those not known yet are learned."""
+        coded = column.dictionary_encode()
+        names = coded.dictionary
+        pieces = names.to_pylist()
+        get = self.numbers[spaced].get
+        numbers = np.fromiter([get(p, 0) for p in pieces], np.int64, len(pieces))
+        new = np.flatnonzero(numbers == 0)
+        if len(new):
+            self._learn(spaced, names.take(pa.array(new)))
+            table = self.numbers[spaced]
+            numbers[new] = [table[pieces[i]] for i in new.tolist()]
+        return numbers[coded.indices.to_numpy()]
+
+    def _learn(self, spaced: int, new: pa.Array) -> None:
+        """Learn distinct pieces."""
+        lines = _flags(new, _LINES) if self.byte_level else np.zeros(len(new), bool)
+        latin = _flags(new, _LATIN)
+        tailed = _flags(new, _TAILED) & ~lines
+        part = lambda flags: new.take(pa.array(np.flatnonzero(flags)))
+        self._learn_words(spaced, part(latin))
+        rest = part(~(lines | tailed | latin)).to_pylist()
+        for at in range(0, len(rest), 10_000):
+            some = rest[at : at + 10_000]
+            self._store(spaced, some, *self._whole([" " * spaced + p for p in some]))
+        self._learn_tailed(spaced, part(tailed))
+        self._learn_lines(spaced, part(lines))
+
+    def _learn_words(self, spaced: int, words: pa.Array) -> None:
+        if not len(words):
+            return
+        spelled = words if self.byte_level else pc.utf8_lower(words)
+        head, tokenize = self.letters[32] * spaced, self.model.tokenize
+        ids: list[int] = []
+        counts = np.empty(len(words), np.int64)
+        for i, w in enumerate(spelled.to_pylist()):
+            if not w.isascii():
+                w = w.encode().decode("latin-1").translate(self.letters)
+            own = [t.id for t in tokenize(head + w)]
+            ids += own
+            counts[i] = len(own)
+        self._store(spaced, words.to_pylist(), np.array(ids, np.uint32), counts)
+
+    def _learn_tailed(self, spaced: int, pieces: pa.Array) -> None:
+        """Pieces that end in commas and full stops: a word and its tail."""
+        if not len(pieces):
+            return
+        cores = pc.utf8_rtrim(pieces, ",.")
+        tails = pc.struct_field(pc.extract_regex(pieces, r"(?P<tail>[,.]+)\z"), "tail")
+        numbers = np.stack([self._numbered(spaced, cores), self._numbered(0, tails)], axis=1)
+        ids, counts = self._ids_of(numbers.ravel())
+        self._store(spaced, pieces.to_pylist(), ids, counts.reshape(-1, 2).sum(axis=1))
+
+    def _learn_lines(self, spaced: int, pieces: pa.Array) -> None:
+        """Pieces of several lines: the lines, of which the first may have a space before it, and line feeds."""
+        if not len(pieces):
+            return
+        lists = pc.split_pattern(pieces, "\n")
+        flat, bounds = lists.flatten(), lists.offsets.to_numpy()
+        first = np.zeros(len(flat), bool)
+        first[bounds[:-1]] = True
+        own = np.empty(len(flat), np.int64)
+        for kind, flags in ((spaced, first), (0, ~first)):
+            own[flags] = self._numbered(kind, flat.take(pa.array(np.flatnonzero(flags))))
+        feed = self._numbered(0, pa.array(["\n"]))[0]
+        at = 2 * np.arange(len(flat)) - np.repeat(np.arange(len(pieces)), np.diff(bounds))
+        numbers = np.full(int(at[-1]) + 1, feed)
+        numbers[at] = own
+        ids, counts = self._ids_of(numbers)
+        sums = np.append(0, np.cumsum(counts))
+        ends = at[bounds[1:] - 1] + 1
+        self._store(spaced, pieces.to_pylist(), ids, np.diff(sums[np.append(0, ends)]))
+
+    def _pieces(self, lists: pa.ListArray) -> list[bytes]:
+        """The ids of texts from their pieces."""
+        if not len(lists):
+            return []
+        flat, bounds = lists.flatten(), lists.offsets.to_numpy() - lists.offsets[0].as_py()
+        numbers = self._numbered(int(self.byte_level), flat)
+        if self.byte_level:  # the first piece of a text has no space before it
+            numbers[bounds[:-1]] = self._numbered(0, flat.take(pa.array(bounds[:-1])))
+        ids, counts = self._ids_of(numbers)
+        raw = memoryview(ids.astype("<u4", copy=False).tobytes())
+        ends = (4 * np.append(0, np.cumsum(counts))[bounds]).tolist()
+        return [bytes(raw[a:b]) for a, b in zip(ends[:-1], ends[1:], strict=True)]
+
+    def _column(self, column: pa.Array) -> list[bytes]:
+        if self.known > self.kept:
+            self._forget()
+        folded = column if self.byte_level else pc.ascii_lower(column)
+        special = np.zeros(len(column), bool)
+        for s in self.special:
+            special |= pc.match_substring(folded, s).to_numpy(zero_copy_only=False)
+        awkward = _flags(column, _AWKWARD_ARROW) & ~special if self.byte_level else np.zeros(len(column), bool)
         if not self.byte_level:
-            raw = raw.lower()  # ASCII only
-        if any(s in raw for s in self.special):
-            return None
-        if not self.byte_level or _AWKWARD.search(text) is None:
-            return raw.split(b" ")
-        return [p.encode() for p in _SPACE.split(text)]
-
-    def encode(self, texts: list[str]) -> Iterator[bytes]:
+            folded = pc.replace_substring(folded, "\n", " ")
+        out: list[bytes] = [b""] * len(column)
+        plain = np.flatnonzero(~(special | awkward))
+        cut = pc.split_pattern(folded.take(pa.array(plain)), " ")
+        odd = np.flatnonzero(awkward)
+        split = pa.array([_SPACE.split(t) for t in column.take(pa.array(odd)).to_pylist()], pa.list_(pa.string()))
+        for at, lists in ((plain, cut), (odd, split)):
+            for i, own in zip(at.tolist(), self._pieces(lists), strict=True):
+                out[i] = own
+        for i in np.flatnonzero(special).tolist():
+            out[i] = self._whole([column[i].as_py()])[0].astype("<u4").tobytes()
+        return out
+
+    def encode(self, texts: list[str] | pa.Array) -> Iterator[bytes]:
         """The ids of each text, in order."""
-        for group in batched(texts):
-            cut = [self._cut(t) for t in group]
-            if self.byte_level:
-                self._learn(self.first, {c[0] for c in cut if c}, "")
-                self._learn(self.rest, set().union(*(c[1:] for c in cut if c)), " ")
-            else:
-                self._learn(self.rest, set().union(*(c for c in cut if c)), "")
-            rest = self.rest.__getitem__
-            for text, pieces in zip(group, cut, strict=True):
-                if pieces is None:
-                    yield self._whole([text])[0]
-                elif self.byte_level:
-                    yield self.first[pieces[0]] + b"".join(map(rest, pieces[1:]))
-                else:
-                    yield b"".join(map(rest, pieces))
+        column = texts if isinstance(texts, pa.Array) else pa.array(texts, pa.string())
+        sizes = np.cumsum(pc.binary_length(column).to_numpy(zero_copy_only=False)) if len(column) else np.zeros(0)
+        first = 0
+        while first < len(column):
+            before = sizes[first - 1] if first else 0
+            end = max(first + 1, int(np.searchsorted(sizes, before + BATCH_CHARS, side="right")))
+            yield from self._column(column.slice(first, end - first))
+            first = end
 
 
 _ENCODERS: dict[tuple[str, int], PieceEncoder] = {}
