@@ -51,8 +51,9 @@ def latest_per_key(df: DataFrame, key: str, order: Sequence[str]) -> DataFrame:
 def refresh_latest(path: str, updates: DataFrame, key: str, order: Sequence[str], buckets: int = 64) -> None:
     """Bring a table of latest rows up to date, rewriting only the buckets the updates touch.
 
-    The table is partitioned by a bucket of the key. The merged rows are first written beside the table and
-    then put in place, so a lost executor or a failed job never leaves a bucket half rewritten.
+    The table is partitioned by a bucket of the key. The merged rows are written beside the table first, so the rows that
+    are put in place don't depend on those they replace; the replacement itself is one overwrite of the buckets, which
+    readers may see half done. ``dimension`` keeps versions instead, and writes changed rows only.
     """
     spark = updates.sparkSession
     bucket = F.pmod(F.hash(F.col(key)), F.lit(buckets)).alias("bucket")
