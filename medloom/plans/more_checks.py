@@ -8,7 +8,7 @@ from medloom.operators.standardize import INPUT_WIDTH, OUTPUT_WIDTHS, PATIENT_WI
 from medloom.plans.checks import CPT_MAP, EVENT_COLUMNS, ICD_MAP, ORDER_COLUMNS, _age, _encounter, _sha, health_all
 from medloom.plans.checks_std import CHECKS as STD
 from medloom.plans.checks_std import PARTS, clean, std, std_patients, token
-from medloom.plans.more_queries import DELIVERIES, FIRST_LOAD, SKETCHED_DAYS
+from medloom.plans.more_queries import DELIVERIES, FIRST_LOAD, SKETCHED_DAYS, SPELLINGS
 from medloom.sources.raw import raw_duckdb
 
 # Conformed entities -----------------------------------------------------------------------------------
@@ -197,6 +197,48 @@ def deid_linked(entity: str) -> str:
       select {columns} from {std(entity)} d left join e on e.admission_id = d.admission_id"""
 
 
+# Every spelling of every folded category ------------------------------------------------------------------
+
+# The label of each known spelling, written out here so that a wrong label in the job shows.
+LABELS = """
+  ('admission_type', 'Emergency', ['EMERGENCY', 'ER', 'E.R', 'TRAUMA']), ('admission_type', 'Urgent', ['URGENT']),
+  ('admission_type', 'Elective', ['ELECTIVE', 'PLANNED', 'SCHEDULED', 'ROUTINE']),
+  ('admission_type', 'Observation', ['OBSERVATION', 'OBS', 'DAY CARE', 'DAYCARE']),
+  ('admission_type', 'Maternity', ['MATERNITY', 'MATERNAL', 'DELIVERY']), ('admission_type', 'Newborn', ['NEWBORN', 'NB']),
+  ('admission_type', 'Outpatient', ['OUTPATIENT', 'OP']),
+  ('discharge_status', 'Discharged', ['DISCHARGED', 'HOME', 'STANDARD DISCHARGE']),
+  ('discharge_status', 'Transferred', ['TRANSFERRED', 'TRANSFER', 'REFERRED', 'MOVED']),
+  ('discharge_status', 'Left Against Medical Advice', ['AMA', 'LAMA', 'LEFT AGAINST MEDICAL ADVICE', 'LEFT_AGAINST_MEDICAL_ADVICE']),
+  ('discharge_status', 'Expired', ['EXPIRED', 'DECEASED', 'DEAD']), ('discharge_status', 'Pending', ['PENDING', 'IN PROGRESS', 'ONGOING']),
+  ('discharge_status', 'Hospice', ['HOSPICE']), ('discharge_status', 'Skilled Nursing Facility', ['SNF', 'SKILLED NURSING']),
+  ('discharge_status', 'Rehabilitation', ['REHAB', 'REHABILITATION']),
+  ('payment_status', 'Paid', ['PAID']), ('payment_status', 'Pending', ['PENDING']), ('payment_status', 'Partial', ['PARTIAL']),
+  ('payment_status', 'Outstanding', ['OUTSTANDING']), ('payment_status', 'Waived', ['WAIVED']),
+  ('diagnosis_type', 'Primary', ['PRIMARY']), ('diagnosis_type', 'Secondary', ['SECONDARY']),
+  ('blood_group', 'A+', ['A+']), ('blood_group', 'A-', ['A -']), ('blood_group', 'B+', ['B+']), ('blood_group', 'B-', ['B-']),
+  ('blood_group', 'AB+', ['AB +']), ('blood_group', 'AB-', ['AB-']), ('blood_group', 'O+', ['O+']), ('blood_group', 'O-', ['O -']),
+  ('payer', 'Government', ['GOVERNMENT', 'GOV']), ('payer', 'Private', ['PRIVATE', 'PVT']),
+  ('payer', 'Self Pay', ['SELF PAY', 'SELF-PAY', 'SELF  PAY', 'SELF']), ('payer', 'Corporate', ['CORPORATE', 'CORP']),
+  ('gender', 'Male', ['M', 'MALE']), ('gender', 'Female', ['F', 'FEMALE']), ('gender', 'Other', ['OTHER', 'O']),
+  ('accreditation', 'JCI', ['JCI']), ('accreditation', 'NABH', ['NABH']), ('accreditation', 'None', ['NONE'])
+"""
+
+
+def fold_spellings() -> str:
+    dealt = " union all ".join(
+        f"""select '{rule}' "rule", o_orderkey k, [{", ".join(f"'{w}'" for w in words)}][o_orderkey % {len(words)} + 1] w from orders""" for rule, words in SPELLINGS.items()
+    )
+    title = "array_to_string(list_transform(string_split(w, ' '), lambda x: upper(left(x, 1)) || lower(substring(x, 2))), ' ')"
+    return f"""with known("rule", label, spellings) as (values {LABELS}),
+      spelled as (select "rule", label, unnest(spellings) spelling from known),
+      rows_ as (select "rule", case k % 3 when 0 then upper(w) when 1 then w else {title} end "input" from ({dealt})),
+      counted as (select "rule", "input", count(*) n from rows_ group by 1, 2)
+      select c."rule", c."input", n, case when upper(c."input") in ('NULL', 'N/A', 'TBD', '-') then null when label is not null then label
+          when c."rule" in ('admission_type', 'discharge_status') then upper(left(c."input", 1)) || lower(substring(c."input", 2))
+          when c."rule" = 'accreditation' then c."input" end label
+      from counted c left join spelled s on s."rule" = c."rule" and s.spelling = upper(c."input")"""
+
+
 CHECKS: dict[str, str] = {
     "conformed_lookup": f"select * from {LOOKUP}",
     "conformed_admissions": conformed_admissions(),
@@ -216,4 +258,5 @@ CHECKS: dict[str, str] = {
     "health_daily": health_all(),
     "guarded_joins": guarded_joins(),
     **{f"deid_linked_{e}": deid_linked(e) for e in POLICY},
+    "fold_spellings": fold_spellings(),
 }

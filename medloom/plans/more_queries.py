@@ -5,9 +5,11 @@ from __future__ import annotations
 import datetime as dt
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from medloom.functions import folds as M
+from medloom.functions import text as S
 from medloom.operators import conformed, deid_linked, dimension, guarded, health_daily, losses, sketches, suppress
 from medloom.operators.kpis import month_of
 from medloom.operators.profile import profile_columns
@@ -236,6 +238,53 @@ def suppressed_bills(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suppress.suppressed_table(bills, "bill_year", "bill_month", "payment_status")
 
 
+# Every spelling of every folded category ------------------------------------------------------------------
+
+# Spellings as they arrive, known ones and others.
+SPELLINGS: dict[str, tuple[str, ...]] = {
+    "admission_type": (
+        "emergency", "er", "e.r", "trauma", "urgent", "elective", "planned", "scheduled", "routine", "observation", "obs", "day care",
+        "daycare", "maternity", "maternal", "delivery", "newborn", "nb", "outpatient", "op", "walk-in", "e.r.", "n/a", "emergency room",
+    ),
+    "discharge_status": (
+        "discharged", "home", "standard discharge", "transferred", "transfer", "referred", "moved", "ama", "lama", "left against medical advice",
+        "left_against_medical_advice", "expired", "deceased", "dead", "pending", "in progress", "ongoing", "hospice", "snf", "skilled nursing",
+        "rehab", "rehabilitation", "went home", "tbd", "-",
+    ),
+    "payment_status": ("paid", "pending", "partial", "outstanding", "waived", "written off", "null"),
+    "diagnosis_type": ("primary", "secondary", "tertiary", "n/a"),
+    "blood_group": ("a+", "a -", "b+", "b-", "ab +", "ab-", "o+", "o -", "c+", "a"),
+    "payer": ("government", "gov", "private", "pvt", "self pay", "self-pay", "self  pay", "self", "corporate", "corp", "medicare", "gov-"),
+    "gender": ("m", "male", "f", "female", "other", "o", "x", "man"),
+    "accreditation": ("jci", "nabh", "none", "iso 9001", "j c i"),
+}
+
+
+def fold_spellings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each spelling in three letter cases, dealt over the orders, and the label it gets."""
+    key = F.col("o_orderkey")
+
+    def dealt(words: tuple[str, ...]) -> Column:
+        word = F.element_at(F.array(*[F.lit(w) for w in words]), (key % len(words) + 1).cast("int"))
+        return F.when(key % 3 == 0, F.upper(word)).when(key % 3 == 1, word).otherwise(F.initcap(word))
+
+    rows = table(spark, sf_dir, "orders").select(F.inline(F.array(*[F.struct(F.lit(rule).alias("rule"), dealt(words).alias("input")) for rule, words in SPELLINGS.items()])))
+    counted = rows.groupBy("rule", "input").agg(F.count(F.lit(1)).alias("n"))
+    text = S.null_tokens(F.col("input"))
+    folds = {
+        "admission_type": M.fold(text, M.ADMISSION_TYPES, "sentence"),
+        "discharge_status": M.fold(text, M.DISCHARGE_STATUSES, "sentence"),
+        "payment_status": M.fold(text, M.PAYMENT_STATUSES),
+        "diagnosis_type": M.fold(text, M.DIAGNOSIS_TYPES),
+        "blood_group": M.fold_blood_group(text),
+        "payer": M.fold_payer(text),
+        "gender": M.fold_gender(text),
+        "accreditation": M.fold_accreditation(text),
+    }
+    label = F.coalesce(*[F.when(F.col("rule") == rule, fold) for rule, fold in folds.items()])
+    return counted.select("rule", "input", label.alias("label"), "n")
+
+
 QUERIES: dict[str, Query] = {
     "conformed_lookup": lookup,
     "conformed_admissions": conformed_admissions,
@@ -257,4 +306,5 @@ QUERIES: dict[str, Query] = {
     "guarded_joins": guarded_joins,
     **{f"deid_linked_{e}": _linked(e) for e in deid_linked.POLICY},
     "suppressed_bills": suppressed_bills,
+    "fold_spellings": fold_spellings,
 }
