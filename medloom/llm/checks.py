@@ -17,6 +17,23 @@ kept as (select doc_id, string_agg(w, ' ' order by pos) s from words anti join g
 lost as (select doc_id, count(*) n from gone group by doc_id)
 select d.doc_id, cast(len(ws) as bigint) n_words, coalesce(lost.n, 0) n_removed, sha256(coalesce(s, '')) kept_sha256
 from d left join kept using (doc_id) left join lost using (doc_id)
+""",
+    "op4_suffix_dedup": """
+with d as (select row_number() over () r, doc_id, encode(coalesce(text, '')) b from documents),
+sized as (select *, octet_length(b) n from d),
+windows as (select r, i, md5(b[i + 1 : i + 200]) k from sized, unnest(range(0, n - 199)) t(i)),
+twice as (select k from windows group by k having count(*) > 1),
+hit as (select r, i, i > lag(i, 1, -1000) over (partition by r order by i) + 200 fresh from windows join twice using (k)),
+run as (select r, i, sum(cast(fresh as integer)) over (partition by r order by i) g from hit),
+span as (select r, min(i) a, max(i) + 200 z from run group by r, g),
+part as (
+  select r, coalesce(lag(z) over (partition by r order by a), 0) s, a e from span
+  union all select r, coalesce(max(z), 0), any_value(n) from sized left join span using (r) group by r
+),
+kept as (select r, unhex(string_agg(hex(b[s + 1 : e]), '' order by s)) k from part join sized using (r) group by r),
+gone as (select r, sum(z - a) n_removed, count(*) n_spans from span group by r)
+select doc_id, n n_bytes, cast(coalesce(n_removed, 0) as bigint) n_removed, coalesce(n_spans, 0) n_spans, sha256(k) kept_sha256
+from sized join kept using (r) left join gone using (r)
 """,
     "op7_jaccard_join": rf"""
 with recursive d as (select doc_id, {_WORDS.format(text=f"translate(coalesce(text, ''), '{ascii_uppercase}', '{ascii_lowercase}')")} ws from documents),
