@@ -21,6 +21,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from medloom.sources.shared import importable
+
 SMALL, COMPLEMENT = "small", "complement"
 
 
@@ -64,6 +66,7 @@ def suppressed_table(df: DataFrame, table: str, rows: str, columns: str, least:
     ``suppressed`` is 'small', 'complement' or NULL; ``totals`` says whether the table's totals may be published. A
     missing category is a category. Combinations that do not occur are not listed.
     """
+    importable(df.sparkSession)
     counts = df.groupBy(table, rows, columns).agg(F.count(F.lit(1)).alias("n"))
     schema = T.StructType([*counts.schema.fields[:3], T.StructField("n", T.LongType()), T.StructField("suppressed", T.StringType()), T.StructField("totals", T.BooleanType())])
     return counts.groupBy(table).applyInPandas(_table(rows, columns, least), schema)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
 from functools import cache
@@ -36,3 +37,15 @@ def written(df: DataFrame, name: str) -> DataFrame:
     path = new_path(spark, name)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def importable(spark: SparkSession) -> None:
+    """Let Python workers that run where the driver's files are import this package.
+
+    On other machines the package is installed, or sent with ``--py-files``, as for any PySpark job.
+    """
+    root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    environment = spark.sparkContext.environment
+    paths = [p for p in environment.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if root not in paths:
+        environment["PYTHONPATH"] = os.pathsep.join([*paths, root])
