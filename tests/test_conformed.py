@@ -14,6 +14,11 @@ CODES = "domain string, code string, canonical_id long, label string"
 ALIASES = "domain string, source_value string, target_value string"
 
 
+@pytest.fixture(scope="module")
+def maps(spark):
+    return Q.lookup(spark, SF_SMALL)
+
+
 def resolved(codes, aliases):
     best = {}
     for d, c, i, label in codes:
@@ -64,15 +69,14 @@ def test_rows_stay_and_unmapped_values_are_counted(spark):
 
 
 @pytest.mark.parametrize("entity", sorted(conformed.ENTITY_DOMAINS))
-def test_an_entity_is_conformed_in_one_stage(spark, entity):
-    df = conformed.conformed(entity, std(spark, SF_SMALL, entity), Q.lookup(spark, SF_SMALL))
+def test_an_entity_is_conformed_in_one_stage(spark, maps, entity):
+    df = conformed.conformed(entity, std(spark, SF_SMALL, entity), maps)
     df.collect()
     final = df._jdf.queryExecution().executedPlan().toString().partition("== Initial Plan ==")[0]
     assert "hashpartitioning" not in final and "CartesianProduct" not in final
 
 
-def test_facts_are_shuffled_once_at_most(spark):
-    maps = Q.lookup(spark, SF_SMALL)
+def test_facts_are_shuffled_once_at_most(spark, maps):
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
         stays = conformed.one_stay(Q._stays(spark, SF_SMALL, maps))
