@@ -30,7 +30,7 @@ MAX_TOKENS = 2048
 MAX_SEGMENTS = 256
 BLOCK_DOCUMENTS = 4096
 BLOCK_TOKENS = 4_000_000
-KEPT_PIECES = 500_000
+KEPT_PIECES = 1_500_000
 
 
 class Packer:

@@ -19,7 +19,7 @@ from medloom.llm.rolling import ranges
 
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 
-KEPT_PIECES = 1_200_000
+KEPT_PIECES = 2_000_000
 BATCH_CHARS = 1 << 22
 #: A space before something that is no white space starts a piece of a byte-level tokenizer.
 _SPACE = re.compile(r" (?=\S)")
