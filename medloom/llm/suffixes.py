@@ -5,10 +5,12 @@ window contains such an anchor at the same offset, or lies in a run that is the
 sparse, about one suffix per 80 bytes of possibly repeated text, and still finds every repeated window.
 
 * Spark samples splitters from the suffixes' leading bytes and range-partitions the suffixes by them.
-* Every bucket sorts its suffixes, and separately the bytes left of the anchors read backwards, by multikey
-  quicksort, all segments in step, and takes the lengths of the prefixes that neighbours share.
+* Every bucket arrives in the order of the grams (Spark sorts it, on disk if need be) and is taken in pieces of whole
+  grams, so a task holds one piece and not its bucket. A piece sorts its suffixes, and separately the bytes left of the
+  anchors read backwards, by multikey quicksort, all segments in step, and takes the lengths of the prefixes that
+  neighbours share.
 * Suffixes that share the leading ``gram`` bytes never straddle a splitter, as those bytes are the partitioning
-  key, so windows of two buckets differ within their leading bytes; that is the comparison across a boundary.
+  key, so windows of two buckets, or pieces, differ within their leading bytes; that is the comparison across a boundary.
 * For every offset of the anchor in a window, suffixes equal to the right and equal to the left of the anchor have
   the same window. Equality to a depth is a class number, taken from the two arrays, so no pairs are formed.
 
@@ -23,6 +25,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -34,6 +37,8 @@ WINDOW = 200
 GRAM = 48
 #: Rows of one gram above which its windows are counted by content instead of being sorted in one bucket.
 HOT_RUNS = 200_000
+#: Rows after which a piece of a bucket ends, with the gram it has reached.
+PIECE_RUNS = 20_000
 
 
 def multikey_order(words: np.ndarray, lengths: np.ndarray) -> np.ndarray:
@@ -167,16 +172,38 @@ def _emit_stretches(window: int, gram: int) -> Callable:
     return emit
 
 
+def whole_grams(batches: Iterator[pa.RecordBatch], least: int) -> Iterator[pa.Table]:
+    """Rows in the order of ``lead`` as tables of at least ``least`` rows (the last may have fewer), no gram in two of them."""
+    held: list[pa.RecordBatch] = []
+    rows, last = 0, None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        lead = batch.column("lead")
+        if rows + batch.num_rows >= least:
+            starts = np.flatnonzero(pc.not_equal(lead[1:], lead[:-1]).to_numpy(zero_copy_only=False)) + 1
+            cut = int(starts[-1]) if len(starts) else 0
+            if held and (cut or lead[0] != last):
+                yield pa.Table.from_batches([*held, batch.slice(0, cut)])
+                held, rows, batch = [], 0, batch.slice(cut)
+            elif cut:
+                yield pa.Table.from_batches([batch.slice(0, cut)])
+                batch = batch.slice(cut)
+        held.append(batch)
+        rows += batch.num_rows
+        last = lead[-1]
+    if held:
+        yield pa.Table.from_batches(held)
+
+
 def _settle(window: int, gram: int) -> Callable:
     def settle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = pa.Table.from_batches(list(batches)) if (batches := list(batches)) else None
-        if table is None or not table.num_rows:
-            return
-        p0 = table["p0"].to_numpy().astype(np.int64)
-        counts = table["p1"].to_numpy() - p0 + 1
-        offsets = table["anchor"].to_numpy() - p0
-        again = repeated_windows(table["stretch"].to_pylist(), offsets, counts, window, gram)
-        yield from range_batches(table, again, p0, offsets, window)
+        for table in whole_grams(batches, PIECE_RUNS):
+            p0 = table["p0"].to_numpy().astype(np.int64)
+            counts = table["p1"].to_numpy() - p0 + 1
+            offsets = table["anchor"].to_numpy() - p0
+            again = repeated_windows(table["stretch"].to_pylist(), offsets, counts, window, gram)
+            yield from range_batches(table, again, p0, offsets, window)
 
     return settle
 
@@ -273,7 +300,7 @@ def repeated_ranges(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, hot
         frequent = arrow_map(with_runs(docs, flagged.filter("hot").drop("hot")), _emit_stretches(window, gram), schema)
         parts.append(_hot_ranges(frequent, window, range_schema))
     stretches = arrow_map(with_runs(docs, plain), _emit_stretches(window, gram), schema)
-    parts.append(arrow_map(stretches.repartitionByRange("lead").drop("lead"), _settle(window, gram), range_schema))
+    parts.append(arrow_map(stretches.repartitionByRange("lead").sortWithinPartitions("lead"), _settle(window, gram), range_schema))
     settled = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
     return runs, settled
 

@@ -4,6 +4,7 @@ import random
 
 import brute
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -105,3 +106,25 @@ def test_replacement_characters_of_a_text_stay(spark):
     expected = [(i, b.decode(errors="ignore")) for (i, _), b in zip(rows, left, strict=True)]
     assert any(b != b.decode(errors="ignore").encode() for b in left) and all("�" in t for _, t in expected)
     assert brute.same(suffixes.dedup(spark.createDataFrame(rows, SCHEMA)).collect(), expected)
+
+
+def test_buckets_are_settled_in_pieces_of_whole_grams(monkeypatch):
+    """A task holds a piece of its bucket, however large that is, and finds what it found in one go."""
+    rng = random.Random(9)
+    rows = sorted((bytes([rng.randrange(4) for _ in range(4)]), bytes(rng.randrange(2) for _ in range(5))) for _ in range(3000))
+    rows += [(b"zzzz", bytes([i % 2] * 5)) for i in range(700)]
+    table = pa.table({
+        "_id": pa.array(range(len(rows)), pa.int64()), "_hash": pa.array([0] * len(rows), pa.int64()),
+        **{c: pa.array([0] * len(rows), pa.int32()) for c in ("p0", "anchor")}, "p1": pa.array([1] * len(rows), pa.int32()),
+        "lead": pa.array([g for g, _ in rows], pa.binary()), "stretch": pa.array([g + rest for g, rest in rows], pa.binary()),
+    })
+    sizes, plain = [], suffixes.repeated_windows
+    monkeypatch.setattr(suffixes, "repeated_windows", lambda s, *rest: sizes.append(len(s)) or plain(s, *rest))
+    found = []
+    for piece in (10**9, 100):
+        monkeypatch.setattr(suffixes, "PIECE_RUNS", piece, raising=False)
+        out = suffixes._settle(8, 4)(iter(table.to_batches(max_chunksize=64)))
+        found.append(sorted(tuple(r.values()) for batch in out for r in batch.to_pylist()))
+    assert found[0] == found[1] and found[0]
+    assert sizes[0] == len(rows) and sum(sizes[1:]) == len(rows)
+    assert max(sizes[1:]) < 1000 and sizes[1:].count(max(sizes[1:])) == 1
