@@ -11,7 +11,7 @@ part too large for that costs one shuffle of the entity, whose very frequent val
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -131,15 +131,33 @@ def conformed_bills(billing: DataFrame, stays: DataFrame, lookup: DataFrame) ->
     return conformed("billing", billing, lookup).join(of, "admission_id", "left")
 
 
-def one_stay(stays: DataFrame) -> DataFrame:
-    """One row per admission, written: the one with the latest dates."""
-    return written(latest_per_key(stays, "admission_id", ("admission_date_final", "discharge_date_final")), "stays")
+#: Of a stay's columns, those by which the latest one is told from others of the same dates, in their order. All that
+#: follows them in a stay is theirs to decide (labels), or never looked at.
+STAY_ORDER = ("admission_date_final", "discharge_date_final")
+STAY_IDS = ("patient_id", "admission_date", "hospital_id", "department_id")
+
+
+def one_stay(stays: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
+    """One row per admission, written: the one with the latest dates.
+
+    ``columns`` names what the caller needs of a stay: dates, ids, and what follows from these (labels, canonical ids,
+    length of stay). Only they are computed, shuffled and written, and the same row is chosen.
+    """
+    if columns is not None:
+        names = ("admission_id", *STAY_ORDER, *STAY_IDS)
+        stays = stays.select(*names, *[c for c in columns if c not in names])
+    latest = latest_per_key(stays, "admission_id", STAY_ORDER)
+    return written(latest if columns is None else latest.select("admission_id", *columns), "stays")
 
 
 # Measures on conformed tables -------------------------------------------------------------------------
 
 UNKNOWN = "Unmapped"
 
+#: What bills, and the measure of departments, take from a stay.
+OF_BILLED = ("department_id_canonical", "department_id_label", "insurance_type_canonical", "insurance_type_label")
+OF_ACTIVE = (*OF_BILLED, "admission_date_final", "los_days")
+
 
 def department_activity(stays: DataFrame, procedures: DataFrame, bills: DataFrame) -> DataFrame:
     """Per canonical department and month: stays begun, mean length, procedures of its providers, and amount billed.

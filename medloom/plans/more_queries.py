@@ -88,12 +88,12 @@ def conformed_procedures(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def conformed_billing(spark: SparkSession, sf_dir: str) -> DataFrame:
     maps = lookup(spark, sf_dir)
-    return _bills(spark, sf_dir, maps, conformed.one_stay(_stays(spark, sf_dir, maps)))
+    return _bills(spark, sf_dir, maps, conformed.one_stay(_stays(spark, sf_dir, maps), conformed.OF_BILLED))
 
 
 def kpi_department_activity(spark: SparkSession, sf_dir: str) -> DataFrame:
     maps = lookup(spark, sf_dir)
-    stays = conformed.one_stay(_stays(spark, sf_dir, maps))
+    stays = conformed.one_stay(_stays(spark, sf_dir, maps), conformed.OF_ACTIVE)
     return conformed.department_activity(stays, _procedures(spark, sf_dir, maps), _bills(spark, sf_dir, maps, stays))
 
 

@@ -1,9 +1,11 @@
 """Conformed entities: chains of aliases against plain Python, plan shapes, and odd values."""
 
+import datetime as dt
 import random
 
 import pytest
 from conftest import SF_SMALL
+from pyspark.sql import functions as F
 
 from medloom.operators import conformed
 from medloom.plans import more_queries as Q
@@ -91,3 +93,27 @@ def test_measures_add_up(spark):
     rows = Q.kpi_payer_amounts(spark, SF_SMALL).collect()
     assert sum(r.bills for r in rows) == std(spark, SF_SMALL, "billing").count()
     assert abs(sum(r.amount_share or 0 for r in rows) - 1) < 1e-5
+
+
+def test_measures_take_narrow_stays(spark, maps, monkeypatch):
+    """Only what the measures need of a stay is computed, shuffled and written, and the same stay is chosen."""
+    day = dt.date(2020, 1, 5)
+    rows = [
+        (1, None, 7, 1, 1, day, "b"), (1, None, 7, 1, 2, day, "a"), (1, None, 6, 2, 3, day, "c"), (1, None, 9, 2, 3, None, "d"),
+        (2, day, None, 1, 1, None, "e"), (2, None, 8, 3, 9, day, "f"), (3, day, 2, None, None, day, "g"), (None, day, 2, 1, 1, day, "h"),
+    ]
+    stays = spark.createDataFrame(rows, "admission_id int, admission_date date, patient_id int, hospital_id int, department_id int, admission_date_final date, room_number string")
+    stays = stays.select("patient_id", "admission_id", "admission_date", "hospital_id", "department_id", "room_number", "admission_date_final", F.lit(day).alias("discharge_date_final"), *[
+        F.concat(F.lit(f"{c} "), F.coalesce(F.col(of).cast("string"), F.lit("-"))).alias(c) for c, of in zip(conformed.OF_BILLED, ("department_id",) * 2 + ("patient_id",) * 2, strict=True)
+    ], F.datediff("discharge_date_final", "admission_date_final").alias("los_days"))
+    whole = conformed.one_stay(stays)
+    frames, keep = {}, conformed.written
+    monkeypatch.setattr(conformed, "written", lambda df, name: keep(frames.setdefault(name, df), name))
+    narrow = conformed.one_stay(stays, conformed.OF_ACTIVE)
+    assert sorted(map(tuple, narrow.collect())) == sorted(map(tuple, whole.select(narrow.columns).collect())) and narrow.count() == 3
+    monkeypatch.setattr(Q, "lookup", lambda *_: maps)
+    for query in (Q.kpi_payer_amounts, Q.kpi_department_activity):
+        frames.clear()
+        query(spark, SF_SMALL)
+        plan = frames["stays"]._jdf.queryExecution().optimizedPlan().toString()
+        assert "discharge_date_final" in plan and "room_number" not in plan and "attending_physician" not in plan
