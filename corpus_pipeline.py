@@ -18,8 +18,9 @@ from medloom.sources.tables import table
 #: Documents whose family or language is less sure than this (it loses to another one) go, as do those without any letter.
 LEAST_SCORE = 0.5
 
-#: Workers hold what earlier stages have left as well, so they remember fewer words than by default.
+#: Workers hold what earlier stages have left as well, so they remember fewer words than by default, and cut less text at once.
 KEPT_PIECES = 100_000
+COLUMN_CHARS = 1 << 19
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -54,7 +55,7 @@ def suffix_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of all documents in sequences of at most 2048 tokens, with their ids."""
-    return packing.pack(docs, public_path("word_bpe_49k.json"), kept_pieces=KEPT_PIECES)
+    return packing.pack(docs, public_path("word_bpe_49k.json"), kept_pieces=KEPT_PIECES, column_chars=COLUMN_CHARS)
 
 
 STAGES = [

@@ -24,13 +24,16 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from medloom.llm.mapping import arrow_map
-from medloom.llm.vocab import encoder
+from medloom.llm.vocab import BATCH_CHARS, encoder
 
 MAX_TOKENS = 2048
 MAX_SEGMENTS = 256
 BLOCK_DOCUMENTS = 4096
 BLOCK_TOKENS = 4_000_000
 KEPT_PIECES = 1_500_000
+#: Tokens and pieces after which finished sequences leave the worker.
+EMIT_TOKENS = 500_000
+EMIT_PIECES = 5_000
 
 
 class Packer:
@@ -105,7 +108,7 @@ class Packer:
             yield own
 
 
-def _pack(path: str, end_id: int, limits: tuple[int, int, int], with_ids: bool, block: tuple[int, int], kept: int = KEPT_PIECES) -> Callable:
+def _pack(path: str, end_id: int, limits: tuple[int, int, int], with_ids: bool, block: tuple[int, int], kept: int = KEPT_PIECES, chars: int = BATCH_CHARS) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokenizer = encoder(path, kept)
         packer = Packer(*limits)
@@ -119,6 +122,7 @@ def _pack(path: str, end_id: int, limits: tuple[int, int, int], with_ids: bool,
         def emit(last: bool, id_type: pa.DataType) -> Iterator[pa.RecordBatch]:
             nonlocal sequence
             out: dict[str, list] = {c: [] for c in ("id", "start", "length", "crc", "tokens", "sequence", "offset", "ids")}
+            held = 0
             for pieces in packer.fill(last):
                 offset = 0
                 for doc, start, length in pieces:
@@ -134,6 +138,14 @@ def _pack(path: str, end_id: int, limits: tuple[int, int, int], with_ids: bool,
                     if not left[doc]:
                         del ids[doc], names[doc], left[doc]
                 sequence += 1
+                held += offset
+                if held >= EMIT_TOKENS or len(out["id"]) >= EMIT_PIECES:
+                    yield from rows_of(out, id_type)
+                    held = 0
+            yield from rows_of(out, id_type)
+
+        def rows_of(out: dict[str, list], id_type: pa.DataType) -> Iterator[pa.RecordBatch]:
+            """The pieces in ``out``, which is left empty."""
             columns = {
                 "_id": pa.array(out["id"], id_type),
                 "start": pa.array(out["start"], pa.int64()),
@@ -146,7 +158,9 @@ def _pack(path: str, end_id: int, limits: tuple[int, int, int], with_ids: bool,
             if with_ids:
                 bounds = np.cumsum([0, *out["length"]], dtype=np.int32)
                 columns["ids"] = pa.ListArray.from_arrays(bounds, np.frombuffer(b"".join(out["ids"]), "<i4"))
-            yield from pa.table(columns).to_batches(max_chunksize=5_000)
+            for values in out.values():
+                values.clear()
+            yield from pa.table(columns).to_batches()
 
         fresh: list[tuple[int, int, int]] = []
         tokens, id_type = 0, pa.null()
@@ -159,8 +173,8 @@ def _pack(path: str, end_id: int, limits: tuple[int, int, int], with_ids: bool,
 
         for batch in batches:
             id_type = batch.column("_id").type
-            prompts = tokenizer.encode(batch.column("_prompt")) if "_prompt" in batch.schema.names else None
-            for name, own in zip(batch.column("_id").to_pylist(), tokenizer.encode(batch.column("_text")), strict=True):
+            prompts = tokenizer.encode(batch.column("_prompt"), chars) if "_prompt" in batch.schema.names else None
+            for name, own in zip(batch.column("_id").to_pylist(), tokenizer.encode(batch.column("_text"), chars), strict=True):
                 prompt = next(prompts) if prompts is not None else b""
                 own = prompt + own + end
                 ids[number], names[number], left[number] = own, name, len(own) // 4
@@ -187,6 +201,7 @@ def pack(
     max_loss: int | None = None,
     with_ids: bool = True,
     kept_pieces: int = KEPT_PIECES,
+    column_chars: int = BATCH_CHARS,
 ) -> DataFrame:
     """Pack documents, or prompts with their answers, into sequences under three limits at once.
 
@@ -194,7 +209,8 @@ def pack(
     exactly one piece. Returns per piece: the id, start (ids of the document before it), length, ids_crc32 (unsigned,
     over little-endian unsigned 32-bit ids), doc_tokens, sequence_id, offset (in the sequence, without gaps), and with
     ``with_ids`` the ids. A missing text is empty, so its document is one end id. Rows that repeat an id are documents
-    of their own. Other columns are ignored; an empty table gives an empty table. Workers remember the ids of about ``kept_pieces`` words.
+    of their own. Other columns are ignored; an empty table gives an empty table. Workers remember the ids of about ``kept_pieces`` words
+    and look up those of ``column_chars`` bytes of text at once; neither changes a row.
     """
     def text(c: str):
         return F.coalesce(F.col(f"`{c}`").cast("string"), F.lit(""))
@@ -208,5 +224,5 @@ def pack(
     if with_ids:
         fields.append(T.StructField("ids", T.ArrayType(T.IntegerType())))
     limits = (max_tokens, max_segments, max_loss or max_tokens)
-    run = _pack(tokenizer_path, end_id, limits, with_ids, (BLOCK_DOCUMENTS, BLOCK_TOKENS), kept_pieces)
+    run = _pack(tokenizer_path, end_id, limits, with_ids, (BLOCK_DOCUMENTS, BLOCK_TOKENS), kept_pieces, column_chars)
     return arrow_map(rows, run, T.StructType(fields)).withColumnRenamed("_id", id_col)
