@@ -3,7 +3,6 @@
 import random
 
 import brute
-import numpy as np
 import pyarrow as pa
 import pytest
 
@@ -37,7 +36,7 @@ def test_sequences_leave_in_small_batches(monkeypatch, max_tokens):
     block = (packing.BLOCK_DOCUMENTS, packing.BLOCK_TOKENS)
     found = list(packing._pack(PATH, 1, (max_tokens, 256, max_tokens), True, block)(iter([batch])))
     assert max(b.num_rows for b in found) <= 5_000 + max_tokens
-    assert max(int(np.sum(b.column("length"))) for b in found) <= 500_000 + max_tokens
+    assert max(sum(b.column("length").to_pylist()) for b in found) <= 500_000 + max_tokens
     whole = pa.Table.from_batches(found)
     lengths = dict.fromkeys(range(len(rows)), 0)
     for doc, length, ids in zip(*(whole[c].to_pylist() for c in ("_id", "length", "ids")), strict=True):
@@ -52,4 +51,4 @@ def test_columns_of_any_size_give_the_same_rows(spark):
     docs = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
     expected = packing.pack(docs, PATH).collect()
     assert brute.same(packing.pack(docs, PATH, kept_pieces=50, column_chars=100).collect(), expected)
-    assert len({r.doc_id for r in expected}) == 42
+    assert len({r.doc_id for r in expected}) == 41
