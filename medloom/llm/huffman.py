@@ -167,8 +167,10 @@ def _ids(raw: bytes, n: int) -> np.ndarray:
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     total = np.zeros(0, np.int64)
     for batch in batches:
-        for raw, n in zip(batch.column("ids").to_pylist(), batch.column("n").to_pylist(), strict=True):
-            found = np.bincount(_ids(raw, n), minlength=len(total))
+        columns = (batch.column(c).to_pylist() for c in ("ids", "n"))
+        ids = [_ids(raw, n) for raw, n in zip(*columns, strict=True)]
+        if ids:  # once a batch: each count is as long as the vocabulary
+            found = np.bincount(np.concatenate(ids), minlength=len(total))
             found[: len(total)] += total
             total = found
     ids = np.flatnonzero(total)

@@ -9,7 +9,7 @@ from __future__ import annotations
 import os
 import re
 from collections.abc import Iterable, Iterator
-from itertools import chain
+from itertools import chain, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -71,6 +71,11 @@ def _flags(column: pa.Array, pattern: str) -> np.ndarray:
     return pc.match_substring_regex(column, pattern).to_numpy(zero_copy_only=False)
 
 
+def _strings(column: pa.Array) -> list[str]:
+    """A column as Python strings; ``to_pylist`` makes a scalar object of each first, at some ten times the cost."""
+    return column.to_numpy(zero_copy_only=False).tolist()
+
+
 class PieceEncoder:
     """Ids of texts, as little-endian unsigned 32-bit integers, from a file of the tokenizers library.
 
@@ -131,14 +136,13 @@ class PieceEncoder:
         """The number of each piece of a column; those not known yet are learned."""
         coded = column.dictionary_encode()
         names = coded.dictionary
-        pieces = names.to_pylist()
-        get = self.numbers[spaced].get
-        numbers = np.fromiter([get(p, 0) for p in pieces], np.int64, len(pieces))
+        pieces = _strings(names)
+        numbers = np.fromiter(map(self.numbers[spaced].get, pieces, repeat(0)), np.int64, len(pieces))
         new = np.flatnonzero(numbers == 0)
         if len(new):
             self._learn(spaced, names.take(pa.array(new)))
-            table = self.numbers[spaced]
-            numbers[new] = [table[pieces[i]] for i in new.tolist()]
+            learned = map(self.numbers[spaced].__getitem__, map(pieces.__getitem__, new.tolist()))
+            numbers[new] = np.fromiter(learned, np.int64, len(new))
         return numbers[coded.indices.to_numpy()]
 
     def _learn(self, spaced: int, new: pa.Array) -> None:
@@ -148,7 +152,7 @@ class PieceEncoder:
         tailed = _flags(new, _TAILED) & ~lines
         part = lambda flags: new.take(pa.array(np.flatnonzero(flags)))
         self._learn_words(spaced, part(latin))
-        rest = part(~(lines | tailed | latin)).to_pylist()
+        rest = _strings(part(~(lines | tailed | latin)))
         for at in range(0, len(rest), 10_000):
             some = rest[at : at + 10_000]
             self._store(spaced, some, *self._whole([" " * spaced + p for p in some]))
@@ -162,13 +166,13 @@ class PieceEncoder:
         head, tokenize = self.letters[32] * spaced, self.model.tokenize
         ids: list[int] = []
         counts = np.empty(len(words), np.int64)
-        for i, w in enumerate(spelled.to_pylist()):
+        for i, w in enumerate(_strings(spelled)):
             if not w.isascii():
                 w = w.encode().decode("latin-1").translate(self.letters)
             own = [t.id for t in tokenize(head + w)]
             ids += own
             counts[i] = len(own)
-        self._store(spaced, words.to_pylist(), np.array(ids, np.uint32), counts)
+        self._store(spaced, _strings(words), np.array(ids, np.uint32), counts)
 
     def _learn_tailed(self, spaced: int, pieces: pa.Array) -> None:
         """Pieces that end in commas and full stops: a word and its tail."""
@@ -178,7 +182,7 @@ class PieceEncoder:
         tails = pc.struct_field(pc.extract_regex(pieces, r"(?P<tail>[,.]+)\z"), "tail")
         numbers = np.stack([self._numbered(spaced, cores), self._numbered(0, tails)], axis=1)
         ids, counts = self._ids_of(numbers.ravel())
-        self._store(spaced, pieces.to_pylist(), ids, counts.reshape(-1, 2).sum(axis=1))
+        self._store(spaced, _strings(pieces), ids, counts.reshape(-1, 2).sum(axis=1))
 
     def _learn_lines(self, spaced: int, pieces: pa.Array) -> None:
         """Pieces of several lines: the lines, of which the first may have a space before it, and line feeds."""
@@ -198,7 +202,7 @@ class PieceEncoder:
         ids, counts = self._ids_of(numbers)
         sums = np.append(0, np.cumsum(counts))
         ends = at[bounds[1:] - 1] + 1
-        self._store(spaced, pieces.to_pylist(), ids, np.diff(sums[np.append(0, ends)]))
+        self._store(spaced, _strings(pieces), ids, np.diff(sums[np.append(0, ends)]))
 
     def _pieces(self, lists: pa.ListArray) -> list[bytes]:
         """The ids of texts from their pieces."""
@@ -227,7 +231,7 @@ class PieceEncoder:
         plain = np.flatnonzero(~(special | awkward))
         cut = pc.split_pattern(folded.take(pa.array(plain)), " ")
         odd = np.flatnonzero(awkward)
-        split = pa.array([_SPACE.split(t) for t in column.take(pa.array(odd)).to_pylist()], pa.list_(pa.string()))
+        split = pa.array([_SPACE.split(t) for t in _strings(column.take(pa.array(odd)))], pa.list_(pa.string()))
         for at, lists in ((plain, cut), (odd, split)):
             for i, own in zip(at.tolist(), self._pieces(lists), strict=True):
                 out[i] = own

@@ -4,6 +4,7 @@ import zlib
 
 import brute
 import numpy as np
+import pyarrow as pa
 import pytest
 from conftest import SF_SMALL
 from hypothesis import given, settings
@@ -12,7 +13,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from medloom.llm import bpe, huffman, packing
-from medloom.llm.vocab import PieceEncoder, public_path
+from medloom.llm.vocab import PieceEncoder, _strings, public_path
 from medloom.sources.shared import new_path
 
 BYTE, WORDS = public_path("byte_bpe_50k.json"), public_path("word_bpe_49k.json")
@@ -84,6 +85,26 @@ def test_huffman_of_nothing(spark):
     assert huffman.read_ids(spark, folder).count() == 0
 
 
+def test_ids_are_counted_once_a_batch(monkeypatch):
+    """A count is as long as the vocabulary, so one for each document costs more than the ids of short documents."""
+    calls, count = [], np.bincount
+    monkeypatch.setattr(huffman.np, "bincount", lambda *a, **k: calls.append(1) or count(*a, **k))
+    own = [[i % 7, 40_000] for i in range(300)] + [[70_000, 3, 3]]
+    raw = [np.array(x, "<u2" if max(x) < 1 << 16 else "<u4").tobytes() for x in own]
+    columns = {"ids": pa.array(raw, pa.binary()), "n": pa.array([len(x) for x in own])}
+    batch = pa.RecordBatch.from_pydict(columns)
+    found = {r["id"]: r["n"] for b in huffman._count(iter([batch, batch.slice(0, 0), batch])) for r in b.to_pylist()}
+    expected = np.bincount(sum(own, []))
+    assert found == {i: 2 * int(n) for i, n in enumerate(expected) if n}
+    assert len(calls) == 3  # two batches and the line above
+
+
+def test_strings_of_a_column():
+    texts = ["a", "", "\x00b", "é日🙂", "a"] * 3
+    assert _strings(pa.array(texts).slice(2, 9)) == texts[2:11]
+    assert _strings(pa.array([], pa.string())) == []
+
+
 @settings(max_examples=100, deadline=None)
 @given(st.lists(st.integers(1, 10**6), min_size=1, max_size=60), st.integers(6, 12), st.data())
 def test_codes_are_prefix_free_bounded_and_decode(counts, limit, data):
