@@ -3,17 +3,18 @@
 A column accepts a list of order classes, tried in the listed order. Each class has a shape that is
 checked first, months and days in range included, and the text is then rearranged to year-month-day and
 cast with ``try_cast``. A cast or a formatter given a bad date raises and catches an exception in the JVM,
-so only days like 31 February get that far. Rewriting keeps the generated code short enough to be compiled.
+so only days like 31 February get that far. One pattern holds all shapes of a column, which keeps the generated code short.
 """
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from medloom.functions.binding import constant_map, let
+from medloom.functions.binding import let
 
 YMD = "YMD"
 YMD_TIME = "YMD_TIME"
@@ -47,31 +48,40 @@ _MONTH = (
 _YEAR = "(?!0000)[0-9]{4}"
 _MM = "(?:0?[1-9]|1[0-2])"
 _DD = "(?:0?[1-9]|[12][0-9]|3[01])"
-_YY = "[0-9]{2}"
 _CLOCK = "(?:[01]?[0-9]|2[0-3]):[0-5][0-9]"
 _CLOCK12 = "(?:0?[1-9]|1[0-2]):[0-5][0-9](?::[0-5][0-9])? ?[AaPp][Mm]"
 
-# Shapes of each class, on text whose '/' and '.' are already '-', and how to write a match in
-# year-month-day order. Month names become numbers and two-digit years (marked 'y') full years afterwards.
+# Shapes of each class, on text whose '/' and '.' are already '-'. '(<y>', '(<m>' and '(<d>' begin the parts of a date.
+_ISO = f"(<y>{_YEAR})-(<m>{_MM})-(<d>{_DD})"
 _SHAPES = {
-    YMD: (f"^({_YEAR}-{_MM}-{_DD})\\z", "$1"),
-    YMD_TIME: (f"^({_YEAR}-{_MM}-{_DD})(?: +{_CLOCK}(?::[0-5][0-9])?)?\\z", "$1"),
-    YMD_TIME_FRACTION: (f"^({_YEAR}-{_MM}-{_DD})(?: +{_CLOCK}(?::[0-5][0-9](?:-[0-9]{{1,7}})?)?)?\\z", "$1"),
-    YMD_TIME_ISO: (
-        f"^({_YEAR}-{_MM}-{_DD})(?: +{_CLOCK}(?::[0-5][0-9](?:-[0-9]{{1,7}})?)?|T{_CLOCK}:[0-5][0-9](?:-[0-9]{{1,7}})?)?\\z", "$1"
-    ),
-    COMPACT: (f"^({_YEAR})(0[1-9]|1[0-2])(0[1-9]|[12][0-9]|3[01])\\z", "$1-$2-$3"),
-    MDY: (f"^({_MM})-({_DD})-({_YEAR})\\z", "$3-$1-$2"),
-    DMY: (f"^({_DD})-({_MM})-({_YEAR})\\z", "$3-$2-$1"),
-    MDY2: (f"^({_MM})-({_DD})-({_YY})\\z", "y$3-$1-$2"),
-    DMY2: (f"^({_DD})-({_MM})-({_YY})\\z", "y$3-$2-$1"),
-    MON: (f"^(?i)({_MONTH}) +({_DD})(?:, *| +)({_YEAR})\\z", "$3-$1-$2"),
-    MON_TIME: (f"^(?i)({_MONTH}) +({_DD}),? +({_YEAR}) +{_CLOCK12}\\z", "$3-$1-$2"),
-    DAY_MON: (f"^(?i)({_DD})[- ]({_MONTH})[- ]({_YEAR})\\z", "$3-$2-$1"),
+    YMD: _ISO,
+    YMD_TIME: f"{_ISO}(?: +{_CLOCK}(?::[0-5][0-9])?)?",
+    YMD_TIME_FRACTION: f"{_ISO}(?: +{_CLOCK}(?::[0-5][0-9](?:-[0-9]{{1,7}})?)?)?",
+    YMD_TIME_ISO: f"{_ISO}(?: +{_CLOCK}(?::[0-5][0-9](?:-[0-9]{{1,7}})?)?|T{_CLOCK}:[0-5][0-9](?:-[0-9]{{1,7}})?)?",
+    COMPACT: f"(<y>{_YEAR})(<m>0[1-9]|1[0-2])(<d>0[1-9]|[12][0-9]|3[01])",
+    MDY: f"(<m>{_MM})-(<d>{_DD})-(<y>{_YEAR})",
+    DMY: f"(<d>{_DD})-(<m>{_MM})-(<y>{_YEAR})",
 }
-_NAMED = (MON, MON_TIME, DAY_MON)
-_SHORT = (MDY2, DMY2)
-_ISO = f"^{_YEAR}-{_MM}-{_DD}\\z"
+_TIMED = (YMD_TIME, YMD_TIME_FRACTION, YMD_TIME_ISO)
+
+# Months by name and years of two digits need a text that the date does not hold: the number of the month, the century.
+# It is put behind the date, after a bar, and a match takes it from there.
+_NAME = f"(<n>(?={_MONTH}[- ])[a-z]{{3}})[a-z]*"
+_NAMED = {
+    MON: f"(?i:{_NAME} +(<d>{_DD})(?:, *| +)(<y>{_YEAR}))",
+    MON_TIME: f"(?i:{_NAME} +(<d>{_DD}),? +(<y>{_YEAR}) +{_CLOCK12})",
+    DAY_MON: f"(?i:(<d>{_DD})[- ]{_NAME}[- ](<y>{_YEAR}))",
+}
+_MONTH_TABLE = "".join(name + number for name, number in MONTHS.items())
+_IN_TABLE = "(?:[a-z]{3}[0-9]{2})*(?i:<same name>)(<m>[0-9]{2})(?:[a-z]{3}[0-9]{2})*"
+
+# Two-digit years may have spaces anywhere, and only they: 00-29 are 2000-2029, 30-99 are 1930-1999.
+_SHORT_DAY = " *+(?=(?:0? *+[1-9]|[12] *+[0-9]|3 *+[01]) *+-)(<d>[0-3]?) *+(<d>[0-9]) *+"
+_SHORT_MONTH = " *+(?=(?:0? *+[1-9]|1 *+[0-2]) *+-)(<m>[01]?) *+(<m>[0-9]) *+"
+_SHORT_YEAR = r" *+(?:(?=[0-2].*\|19(<c>20)\z)|(?=[3-9].*\|(<c>19)20\z))(<y>[0-9]) *+(<y>[0-9]) *+"
+_SHORT = {DMY2: f"{_SHORT_DAY}-{_SHORT_MONTH}-{_SHORT_YEAR}", MDY2: f"{_SHORT_MONTH}-{_SHORT_DAY}-{_SHORT_YEAR}"}
+_CENTURIES = "1920"
+_MARK = re.compile(r"\(<(.)>|<same name>")
 
 CREATED_SHAPE = (
     f"^{_YEAR}-[0-9]{{1,2}}-[0-9]{{1,2}}"
@@ -85,51 +95,40 @@ def date_text(col: Column) -> Column:
     return F.replace(F.replace(col, F.lit("/"), F.lit("-")), F.lit("."), F.lit("-"))
 
 
-def _rearranged(text: Column, kinds: Sequence[str]) -> Column:
-    """The text in year-month-day order if it has one of the shapes, else unchanged.
+def _rewriting(classes: Sequence[str]) -> tuple[str, str, str]:
+    """What to put behind a text, the pattern for the whole, and how to write a match in year-month-day order.
 
-    A rearranged text has none of the other shapes, so the first class that fits wins; a text with the
-    shapes of two classes is a real date under both.
+    The classes are alternatives, tried in order; a part of the date is the groups of that part in all of them, of which one
+    alternative's are filled. A text that fits none matches as well, with all groups empty, and gives no date.
     """
-    for kind in kinds:
-        shape, order = _SHAPES[kind]
-        text = F.regexp_replace(text, shape, order)
-    return text
-
-
-def _numbered_month(text: Column) -> Column:
-    """'2021-Apr-3' as '2021-04-3'; NULL where the middle part is no month name."""
-    number = F.try_element_at(constant_map(MONTHS), F.lower(F.substring(text, 6, 3)))
-    return F.concat(F.substring(text, 1, 5), number, F.lit("-"), F.substring_index(text, "-", -1))
-
-
-def _full_year(text: Column) -> Column:
-    """'y21-4-3' as '2021-4-3': 00-29 are 2000-2029, 30-99 are 1930-1999."""
-    text = F.regexp_replace(text, "^y([0-2])", "20$1")
-    return F.regexp_replace(text, "^y([3-9])", "19$1")
-
-
-def date_order(text: Column, classes: Sequence[str]) -> Column:
-    """The text rewritten to year-month-day where it fits one of the classes, tried in order."""
-    numeric = [k for k in classes if k in (MDY, DMY)]
-    short = [k for k in classes if k in _SHORT]
-    timed = [k for k in classes if k in (YMD_TIME, YMD_TIME_FRACTION, YMD_TIME_ISO)]
-    compact = [k for k in classes if k == COMPACT]
-    named = [k for k in classes if k in _NAMED]
-    dash = F.instr(text, "-")
-    bare = F.replace(text, F.lit(" "))
-    out = F
-    if short:  # two-digit years may have spaces anywhere, and only they
-        out = out.when(bare.rlike("^[0-9]{1,2}-[0-9]{1,2}-[0-9]{2}\\z"), _full_year(_rearranged(bare, short)))
-    out = out.when(dash == 5, _rearranged(text, timed))
-    if named:
-        out = out.when(text.rlike("[A-Za-z]"), _numbered_month(_rearranged(text, named)))
-    return out.otherwise(_rearranged(text, numeric + compact))
+    if any(k in _TIMED for k in classes):  # their time may be missing
+        classes = [k for k in classes if k != YMD]
+    months = rf"\|{_MONTH_TABLE}" if any(k in _NAMED for k in classes) else ""
+    centuries = rf"\|{_CENTURIES}" if any(k in _SHORT for k in classes) else ""
+    ends = {k: rf"\|{_IN_TABLE}{centuries}" if k in _NAMED else months + centuries for k in classes}
+    marked = "|".join({**_SHAPES, **_NAMED, **_SHORT}[k] + ends[k] for k in classes)
+    groups: list[str] = []
+
+    def numbered(mark: re.Match) -> str:
+        if mark[1] is None:
+            return rf"\{len(groups) - groups[::-1].index('n')}"
+        groups.append(mark[1])
+        return "("
+
+    pattern = _MARK.sub(numbered, marked)
+    century, year, month, day = ("".join(f"${i}" for i, g in enumerate(groups, 1) if g == part) for part in "cymd")
+    return (months + centuries).replace("\\", ""), rf"^(?:{pattern})\z|(?s:.+)", f"{century}{year}-{month}-{day}"
 
 
 def parse_date(text: Column, classes: Sequence[str]) -> Column:
-    """First class, in order, whose shape and calendar fit. ``text`` must come from ``date_text``."""
-    return let(text, lambda t: F.regexp_extract(date_order(t, classes), _ISO, 0).try_cast("date"))
+    """First class, in order, whose shape and calendar fit. ``text`` must come from ``date_text``.
+
+    The text is used once and matched once, without a lambda function: Spark compiles the whole expression, and a filter on the
+    result is pushed below the projections without copies.
+    """
+    behind, pattern, order = _rewriting(classes)
+    whole = F.concat(text, F.lit(behind)) if behind else text
+    return F.regexp_replace(whole, pattern, order).try_cast("date")
 
 
 def parse_created(text: Column) -> Column:

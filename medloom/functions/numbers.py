@@ -18,6 +18,7 @@ from medloom.functions.text import drop_text, matched
 # Shapes of codes and numbers. 'tinyint' is unsigned, 0 to 255.
 ICD_SHAPE = r"^[A-Z][0-9]{2}(?:[A-Z0-9]{1,4}|\.(?=\.*[A-Z0-9])[A-Z0-9.]{1,4})\z"
 PINCODE_SHAPE = r"^(?:\+?0*(?=[1-9][0-9]{5}\z))?([0-9]{6})\z"
+CPT_SHAPE = r"^([0-9]{5})\.0{5}\z"
 DECIMAL_SHAPE = r"^[+-]?(?:[0-9]+\.?[0-9]*|\.[0-9]+)\z"
 WHOLE_SHAPES = {
     "int": ("int", r"^[+-]?0*[0-9]{1,10}\z"),
@@ -27,9 +28,12 @@ WHOLE_SHAPES = {
 
 
 def safe_int(col: Column, kind: str = "int") -> Column:
-    """Whole number of kind 'int', 'smallint' or 'tinyint'; commas are ignored."""
+    """Whole number of kind 'int', 'smallint' or 'tinyint'; commas are ignored.
+
+    Rows are filtered by keys read so. ``matched`` ends in a ``nullif``, of which a filter computes the input twice.
+    """
     spark_type, shape = WHOLE_SHAPES[kind]
-    return matched(drop_text(col, ","), shape).try_cast(spark_type)
+    return F.get(F.regexp_extract_all(drop_text(col, ","), F.lit(shape), 0), F.lit(0)).try_cast(spark_type)
 
 
 def safe_decimal(col: Column, precision: int, scale: int, drop: tuple[str, ...] = (",", " ")) -> Column:
@@ -44,11 +48,7 @@ def cpt_number(col: Column) -> Column:
 
 def cpt_code(number: Column) -> Column:
     """Five-digit procedure code from a whole number 0..99999 out of ``cpt_number`` ('99213.0' counts)."""
-    def padded(n: Column) -> Column:
-        fits = (n == F.floor(n)) & n.between(0, 99999)
-        return F.when(fits, F.lpad(n.cast("int").cast("string"), 5, "0"))
-
-    return let(number, padded)
+    return matched(F.lpad(number.cast("string"), 11, "0"), CPT_SHAPE, 1)
 
 
 def icd_code(col: Column) -> Column:

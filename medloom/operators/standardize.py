@@ -22,6 +22,7 @@ from medloom.functions import dates as D
 from medloom.functions import folds as M
 from medloom.functions import numbers as N
 from medloom.functions import text as S
+from medloom.functions.binding import let
 
 c = F.col
 
@@ -160,7 +161,8 @@ def standardize_billing(raw: DataFrame, source_limits: bool = False, account: Ob
         {
             "bill_id": N.safe_int(c("bill_id")),
             "admission_id": N.safe_int(c("admission_id")),
-            **{x: D.parse_date(c(x), D.STAY_CLASSES) for x in days},
+            # Spark does not compile lambdas; with the dates, the method of so many columns would be longer than the JVM compiles.
+            **{x: let(c(x), lambda t: D.parse_date(t, D.STAY_CLASSES)) for x in days},
             "payment_status": M.fold(c("payment_status"), M.PAYMENT_STATUSES),
             **{x: N.safe_decimal(c(x), 18, 2) for x in CHARGES},
         },
@@ -254,7 +256,7 @@ def standardize_lab_results(raw: DataFrame, source_limits: bool = False, account
         {
             "lab_result_id": N.safe_int(c("lab_result_id")),
             "admission_id": N.safe_int(c("admission_id")),
-            "test_date": D.parse_date(c("test_date"), D.TEST_CLASSES),
+            "test_date": let(c("test_date"), lambda t: D.parse_date(t, D.TEST_CLASSES)),  # as in bills
             "test_name": S.squeeze_spaces(c("test_name"), 3),
             "result_value": N.safe_decimal(c("result_value"), 18, 4),
             "unit": c("unit"),
