@@ -11,18 +11,23 @@ The numbers and their texts equal those of ``health``, which reads whole tables.
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Iterable, Mapping
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.util import inheritable_thread_target
 
 from medloom.operators.dimension import _Folder
 from medloom.operators.health import EXPERIENCED_YEARS, HIGH_OCCUPANCY, OBJECT_NAMES
 
 c = F.col
 
+#: Tables treated at once: while the last tasks of one table's job run, those of the next fill the cores.
+AT_ONCE = 4
+
 
 @dataclass(frozen=True)
 class Measure:
@@ -145,6 +150,18 @@ def add(path: str, entity: str, std: DataFrame, delivery: str) -> None:
     partial(entity, std).write.mode("overwrite").parquet(f"{path.rstrip('/')}/{_place(path, entity, delivery)}")
 
 
+def _each(work: Callable, items: Iterable[tuple]) -> list:
+    """The results of ``work`` for each item, in order."""
+    with ThreadPoolExecutor(AT_ONCE) as pool:
+        started = [pool.submit(inheritable_thread_target(work), *item) for item in items]
+        return [s.result() for s in started]
+
+
+def add_all(path: str, rows: Mapping[str, Callable[[], DataFrame]], delivery: str) -> None:
+    """Store the partial results of a delivery of several tables."""
+    _each(lambda entity, std: add(path, entity, std(), delivery), rows.items())
+
+
 def stored(spark: SparkSession, path: str, entity: str) -> DataFrame:
     """The partial results of all complete deliveries."""
     places = [f"{path.rstrip('/')}/{_place(path, entity, d)}" for d in known(spark, path, entity)]
@@ -167,5 +184,5 @@ def run(spark: SparkSession, path: str, entity: str, deliveries: Mapping[str, Ca
 
 def run_all(spark: SparkSession, path: str, deliveries: Mapping[str, Mapping[str, Callable[[], DataFrame]]], as_of: Mapping[str, dt.date]) -> DataFrame:
     """The metrics of all given tables as one set, sorted by object and metric."""
-    parts = [run(spark, path, entity, of, as_of[entity]) for entity, of in deliveries.items()]
+    parts = _each(lambda entity, of: run(spark, path, entity, of, as_of[entity]), deliveries.items())
     return reduce(DataFrame.unionByName, parts).orderBy("object_name", "metric")

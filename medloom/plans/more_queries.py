@@ -196,8 +196,7 @@ def health_daily_all(spark: SparkSession, sf_dir: str) -> DataFrame:
         raw = raw_table(spark, sf_dir, f"raw_{entity}")
         dealt = F.pmod(F.crc32(F.coalesce(F.col(raw.columns[0]), F.lit(""))), F.lit(DELIVERED))
         deliveries[entity] = {f"part-{i}": lambda e=entity, r=raw.filter(dealt == i): STANDARDIZE[e](r) for i in range(DELIVERED)}
-    for entity, of in deliveries.items():
-        health_daily.add(path, entity, of["part-0"](), "part-0")
+    health_daily.add_all(path, {entity: of["part-0"] for entity, of in deliveries.items()}, "part-0")
     return health_daily.run_all(spark, path, deliveries, AS_OF)
 
 

@@ -1,6 +1,7 @@
-"""Dates and keys are read by one expression each, which Spark compiles and a filter does not double."""
+"""Dates and keys are read by one expression each, which Spark compiles and a filter does not double; tables are treated at once."""
 
 import datetime as dt
+import threading
 
 import pytest
 from pyspark.sql import functions as F
@@ -9,6 +10,7 @@ from medloom.functions import dates as D
 from medloom.functions import numbers as N
 from medloom.operators import health_daily
 from medloom.operators.standardize import STANDARDIZE
+from medloom.plans.queries import AS_OF
 
 NAMES = {
     "admissions": ("admission_id", "admission_date", "patient_id", "hospital_id", "department_id", "discharge_date", "admission_type", "discharge_status", "length_of_stay", "room_number", "attending_physician"),
@@ -48,3 +50,26 @@ def test_procedure_codes_from_numbers(spark):
     df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, x string").repartition(2)
     found = [r[1] for r in sorted(df.select("i", N.cpt_code(N.cpt_number(F.col("x")))).collect())]
     assert found == ["00007", "00000", "00000", None, "99999", None, None, None, None, "00012", None, None]
+
+
+def test_tables_are_treated_at_once(spark, tmp_path):
+    """Each table's rows wait for the other's; one table after the other would never go on."""
+    both = threading.Barrier(2, timeout=30)
+
+    def rows(entity):
+        raw = spark.createDataFrame([tuple("1" for _ in NAMES[entity])], ", ".join(f"{n} string" for n in NAMES[entity]))
+        return lambda: both.wait() is not None and STANDARDIZE[entity](raw)
+
+    path, names = str(tmp_path / "stored"), ("diagnoses", "procedures")
+    health_daily.add_all(path, {e: rows(e) for e in names}, "d0")
+    found = health_daily.run_all(spark, path, {e: {"d0": None, "d1": rows(e)} for e in names}, AS_OF).collect()
+    assert [r.value_num for r in found if r.metric == "rowcount_metadata"] == [2, 2]
+    assert [r.object_name for r in found] == sorted(r.object_name for r in found)
+
+
+def test_a_table_that_fails_is_reported(spark, tmp_path):
+    def broken():
+        raise ValueError("no rows")
+
+    with pytest.raises(ValueError, match="no rows"):
+        health_daily.add_all(str(tmp_path), {"diagnoses": broken}, "d0")
