@@ -11,17 +11,22 @@ A document is compared by its log-likelihood ratio per character, and by that of
 turn these into a chance; they are fitted on at most ``FIT_ROWS`` documents of the fifth of the labelled ones that is
 kept out of the counts. Counts cover all other labelled documents and every text is scored whole.
 
-The table is held by every task if it has at most ``HELD_ROWS`` rows (12 bytes each); a larger one is joined to the
-distinct words of the texts, and their values to the words of each text.
+The table is held by every task if it has at most ``HELD_ROWS`` rows (12 bytes each). A larger one is sorted and
+laid out in two files that Spark copies to every machine once and its tasks map, so no task holds it. Either way texts are
+scored where they are read: neither they nor their words are shuffled or written, however large the table.
 """
 
 from __future__ import annotations
 
+import os
+import tempfile
+import uuid
 from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark import SparkFiles
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -29,7 +34,7 @@ from pyspark.sql import types as T
 from medloom.llm.langid import fold
 from medloom.llm.mapping import arrow_map
 from medloom.llm.rolling import mix, prefix_sums, ranges, stretch_hash
-from medloom.sources.shared import written
+from medloom.sources.shared import written, written_alone
 
 #: Characters of context, and of the pieces in which longer words are read.
 CONTEXT, PIECE = 7, 32
@@ -61,20 +66,20 @@ def table_of(counted: DataFrame) -> DataFrame:
 
     A text's log-likelihood ratio is the sum of the values of all its contexts and of all its pairs; missing ones are 0.
     """
-    pairs = written(_grams(counted).groupBy("h", "c").agg(F.sum("toxic").alias("t"), F.sum("ordinary").alias("o")), "grams")
+    pairs = written_alone(_grams(counted).groupBy("h", "c").agg(F.sum("toxic").alias("t"), F.sum("ordinary").alias("o")), "grams")
     held = F.lit(DISCOUNT)
     contexts = pairs.groupBy("h").agg(
         F.sum("t").alias("ht"), F.sum("o").alias("ho"), (held * F.count_if(F.col("t") > 0)).alias("kt"), (held * F.count_if(F.col("o") > 0)).alias("ko")
     )
     contexts = written(contexts, "contexts")
     shorter = F.expr("substring(h, 2)").alias("g")
-    follow = written(pairs.groupBy(shorter, "c").agg(F.count("*").alias("k")), "continuations")
+    follow = written_alone(pairs.groupBy(shorter, "c").agg(F.count("*").alias("k")), "continuations")
     around = follow.groupBy("g").agg(F.sum("k").alias("all"), F.count("*").alias("kinds"))
     single = written(follow.groupBy("c").agg(F.count("*").alias("u")), "characters")
     total = single.agg(F.coalesce(F.sum("u"), F.lit(0)).alias("us"), F.count("*").alias("vs")).first()
     base = single.select("c", ((F.col("u") + 1) / (total.us + total.vs + 1)).alias("p0"))
     low = (F.col("k") - held + held * F.col("kinds") * F.col("p0")) / F.col("all")
-    shared = written(follow.join(around, "g").join(base, "c").select("g", "c", low.alias("low")), "shared")
+    shared = written_alone(follow.join(around, "g").join(base, "c").select("g", "c", low.alias("low")), "shared")
 
     def chance(n: str, seen: str, left: str) -> Column:
         own = (F.greatest(F.col(n) - held, F.lit(0.0)) + F.col(left) * F.col("low")) / F.nullif(F.col(seen), F.lit(0))
@@ -84,7 +89,7 @@ def table_of(counted: DataFrame) -> DataFrame:
     seen = F.log(chance("t", "ht", "kt")) - F.log(chance("o", "ho", "ko"))
     joined = pairs.select("h", "c", "t", "o", shorter).join(shared, ["g", "c"]).join(contexts, "h")
     known = joined.select(F.lit(1).alias("kind"), F.concat("h", "c").alias("key"), (seen - unseen).alias("value"))
-    return written(known.unionByName(contexts.select(F.lit(0).alias("kind"), F.col("h").alias("key"), unseen.alias("value"))), "toxicity")
+    return written_alone(known.unionByName(contexts.select(F.lit(0).alias("kind"), F.col("h").alias("key"), unseen.alias("value"))), "toxicity")
 
 
 def _keys(points: np.ndarray, start: np.ndarray, end: np.ndarray, kind: np.ndarray | int) -> np.ndarray:
@@ -106,17 +111,17 @@ def _hash_table(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 class Held:
-    """The model's table in memory, by hash."""
+    """The model's table, by hash; ``keys`` ascend, as signed numbers."""
 
     def __init__(self, keys: np.ndarray, values: np.ndarray):
-        order = np.argsort(keys, kind="stable")
-        self.keys, self.values = keys[order], values[order]
+        self.keys, self.values = keys, values
 
     def find(self, keys: np.ndarray) -> np.ndarray:
         if not len(self.keys):
             return np.zeros(len(keys))
-        at = np.minimum(np.searchsorted(self.keys, keys), len(self.keys) - 1)
-        return np.where(self.keys[at] == keys, self.values[at], 0.0).astype(np.float64)
+        asked, back = np.unique(keys.view(np.int64), return_inverse=True)  # in order, so the search goes through the table once
+        at = np.minimum(np.searchsorted(self.keys, asked), len(self.keys) - 1)
+        return np.where(self.keys[at] == asked, self.values[at], 0.0).astype(np.float64)[back]
 
     def ratios(self, words: list[str]) -> np.ndarray:
         """Log-likelihood ratio of each word."""
@@ -130,10 +135,56 @@ class Held:
         return np.add.reduceat(found, np.cumsum(lengths - 1) - (lengths - 1))
 
 
-def _features(held: Held) -> Callable:
+def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        both = (batch.column("key").to_numpy().astype(np.int64).tobytes(), batch.column("value").to_numpy().astype(np.float32).tobytes())
+        yield pa.RecordBatch.from_pydict({n: pa.array([v], pa.binary()) for n, v in zip(("keys", "values"), both, strict=True)})
+
+
+#: Folders of laid out tables; each goes when the driver ends, as tasks may ask for the files until then.
+_FOLDERS: list[tempfile.TemporaryDirectory] = []
+
+
+def _laid_out(hashed: DataFrame) -> Callable[[], Held]:
+    """What maps the rows key, value in a task, from files on the task's machine. The driver holds a partition at a time.
+
+    The files, 12 bytes a row, stay on the machines until the application ends.
+    """
+    _FOLDERS.append(tempfile.TemporaryDirectory(prefix="medloom-"))
+    mark = uuid.uuid4().hex
+    names = [f"toxicity-{mark}.{n}" for n in ("keys", "values")]
+    paths = [os.path.join(os.path.realpath(_FOLDERS[-1].name), n) for n in names]
+    rows = arrow_map(hashed.orderBy("key", "value"), _packed, "keys binary, values binary")
+    with open(paths[0], "wb") as keys, open(paths[1], "wb") as values:
+        for k, v in rows.toLocalIterator():
+            keys.write(k)
+            values.write(v)
+    for path in paths:
+        hashed.sparkSession.sparkContext.addFile(path)
+
+    def load() -> Held:
+        return Held(*(np.asarray(np.memmap(SparkFiles.get(n), kind, "r")) for n, kind in zip(names, (np.int64, np.float32), strict=True)))
+
+    return load
+
+
+def model_of(table: DataFrame, held_rows: int = HELD_ROWS) -> Callable[[], Held]:
+    """What gives a task the model."""
+    hashed = arrow_map(table, _hash_table, "key long, value float")
+    if table.count() > held_rows:
+        return _laid_out(hashed)
+    both = hashed.toArrow()  # 12 bytes a row, at most ``held_rows``
+    keys, values = (both.column(n).to_numpy() for n in ("key", "value"))
+    order = np.argsort(keys, kind="stable")
+    held = Held(keys[order], values[order])
+    return lambda: held
+
+
+def _features(model: Callable[[], Held]) -> Callable:
     """Adds ratio (per character of a text's words) and worst (of one word); both 0 without words."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = model()
         for batch in batches:
             column = batch.column("words")
             count = pc.list_value_length(column).to_numpy(zero_copy_only=False)
@@ -154,25 +205,15 @@ def _features(held: Held) -> Callable:
     return run
 
 
+def _with_features(rows: DataFrame, model: Callable[[], Held]) -> DataFrame:
+    kept = [rows.schema[c] for c in rows.columns if c != "words"]
+    schema = T.StructType([*kept, T.StructField("ratio", T.DoubleType()), T.StructField("worst", T.DoubleType())])
+    return arrow_map(rows, _features(model), schema)
+
+
 def features(rows: DataFrame, table: DataFrame, held_rows: int = HELD_ROWS) -> DataFrame:
     """The columns of ``rows``, but for their ``words``, with ratio and worst."""
-    kept = [c for c in rows.columns if c != "words"]
-    schema = T.StructType([*(rows.schema[c] for c in kept), T.StructField("ratio", T.DoubleType()), T.StructField("worst", T.DoubleType())])
-    if table.count() <= held_rows:
-        hashed = arrow_map(table, _hash_table, "key long, value float").toArrow()  # 12 bytes a row, at most ``held_rows``
-        keys, values = (hashed.column(n).to_numpy() for n in ("key", "value"))
-        return arrow_map(rows, _features(Held(keys.view(U), values)), schema)
-    mark = F.struct(F.xxhash64("words"), F.xxhash64(F.lit(1), "words")).alias("_mark")
-    marked = written(rows.select("*", mark), "marked")
-    own = written(marked.select("_mark", F.explode("words").alias("w")).groupBy("_mark", "w").agg(F.count("*").alias("n")), "words")
-    grams = written(_grams(own.select("w").distinct()), "word_grams")
-    wanted = grams.select("w", F.lit(1).alias("kind"), F.concat("h", "c").alias("key")).unionByName(grams.select("w", F.lit(0).alias("kind"), F.col("h").alias("key")))
-    value = written(wanted.join(table, ["kind", "key"]).groupBy("w").agg(F.sum(F.col("value").cast("float").cast("double")).alias("value")), "word_values")
-    of_word = F.coalesce("value", F.lit(0.0))
-    size = (F.length("w") + 1) * F.col("n")
-    summed = own.join(value, "w", "left").groupBy("_mark").agg((F.sum(of_word * F.col("n")) / F.sum(size)).alias("ratio"), F.max(of_word).alias("worst"))
-    zero = [F.coalesce(c, F.lit(0.0)).alias(c) for c in ("ratio", "worst")]
-    return marked.join(written(summed, "features"), "_mark", "left").select(*kept, *zero)
+    return _with_features(rows, model_of(table, held_rows))
 
 
 def fit(ratio: np.ndarray, worst: np.ndarray, label: np.ndarray) -> np.ndarray:
@@ -212,19 +253,19 @@ def rate(
     known = labels.filter(own.isNotNull() & (side != held)).select(own.alias("_id"), F.col(f"`{label_col}`").cast("int").alias("label")).filter("label in (0, 1)").distinct()
     texts = docs.filter(own.isNotNull() & (side != held)).select(own.alias("_id"), F.col(f"`{text_col}`").alias("_text"))
     sample = texts.join(known, "_id").select("_id", "label", words_of(F.col("_text")).alias("words"))
-    sample = written(sample, "labelled")
+    sample = written_alone(sample, "labelled")
     apart = F.pmod(F.xxhash64("_id"), F.lit(KEPT_OUT)) == 0
     once = sample.filter(~apart).select("label", F.explode(F.array_distinct("words")).alias("w"))
-    counted = written(once.groupBy("w").agg(F.sum("label").alias("toxic"), F.sum(1 - F.col("label")).alias("ordinary")), "counted")
+    counted = written_alone(once.groupBy("w").agg(F.sum("label").alias("toxic"), F.sum(1 - F.col("label")).alias("ordinary")), "counted")
     rows = docs.select(own.alias("_id"), F.coalesce(side == held, F.lit(False)).alias("held_out"), words_of(F.col(f"`{text_col}`")).alias("words"))
     seen = counted.agg(F.coalesce(F.sum("toxic"), F.lit(0)).alias("t"), F.coalesce(F.sum("ordinary"), F.lit(0)).alias("o")).first()
     if not seen.t or not seen.o:
         found = rows.select("_id", "held_out", F.lit(0.5).alias("score"))
     else:
-        table = table_of(counted)
+        model = model_of(table_of(counted), held_rows)
         drawn = sample.filter(apart).orderBy(F.xxhash64("_id"), "_id", "label").limit(fit_rows)
-        seen = features(drawn, table, held_rows).select("ratio", "worst", "label").toArrow()  # at most ``fit_rows``
+        seen = _with_features(drawn, model).select("ratio", "worst", "label").toArrow()  # at most ``fit_rows``
         a, b, c = fit(*(seen.column(n).to_numpy().astype(np.float64) for n in ("ratio", "worst", "label"))).tolist()
         chance = 1 / (1 + F.exp(-(a * 100 * F.col("ratio") + b * F.col("worst") + c)))
-        found = features(rows, table, held_rows).select("_id", "held_out", chance.alias("score"))
+        found = _with_features(rows, model).select("_id", "held_out", chance.alias("score"))
     return found.select(F.col("_id").alias(id_col), "held_out", "score", (F.col("score") >= least).cast("int").alias("predicted"))

@@ -39,6 +39,16 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def written_alone(df: DataFrame, name: str) -> DataFrame:
+    """``written``, after which the files of the shuffles that made it go.
+
+    Spark deletes a shuffle's files when the driver's JVM collects the plan they belong to, which may be long after the last use.
+    """
+    out = written(df, name)
+    df.sparkSession.sparkContext._jvm.System.gc()
+    return out
+
+
 def importable(spark: SparkSession) -> None:
     """Let Python workers that run where the driver's files are import this package.
 

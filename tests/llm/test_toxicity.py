@@ -2,6 +2,8 @@
 
 import collections
 import math
+import os
+import random
 import re
 import zlib
 
@@ -98,3 +100,38 @@ def test_label_and_language_are_not_inputs(spark):
     turned = labels.withColumn("toxic", F.when(held, 1 - F.col("toxic")).otherwise(F.col("toxic")))
     changed = docs.withColumn("lang", F.lit("xx")).withColumn("source", F.lit(None).cast("string"))
     assert brute.same(toxicity.rate(docs, labels).collect(), toxicity.rate(changed, turned).collect())
+
+
+def test_large_model_writes_no_texts(spark):
+    """A model that is not held is laid out once; texts are scored where they are read."""
+    rng = random.Random(12)
+    words = ["".join(rng.choices("abcdefgh", k=rng.randint(2, 12))) for _ in range(9000)]
+    counted = spark.createDataFrame([(w, i % 3, 1 - i % 2) for i, w in enumerate(words[:300])], "w string, toxic long, ordinary long")
+    table = toxicity.table_of(counted)
+    rows = spark.createDataFrame([(i, rng.choices(words, k=rng.randint(0, 400))) for i in range(600)], "i long, words array<string>").cache()
+    folder = spark.conf.get("spark.checkpoint.dir")
+    used = lambda: sum(os.path.getsize(os.path.join(at, n)) for at, _, names in os.walk(folder) for n in names)
+    rows.count()
+    before = used()
+    large = toxicity.features(rows, table, table.count() - 1)
+    got = {r.i: (r.ratio, r.worst) for r in large.collect()}
+    assert used() == before
+    assert "Exchange" not in large._jdf.queryExecution().toString()
+    assert got == {r.i: (r.ratio, r.worst) for r in toxicity.features(rows, table, table.count()).collect()}
+    assert len(got) == 600 and len(set(got.values())) > 500
+    rows.unpersist()
+
+
+def test_laid_out_model_is_whole_and_in_order(spark):
+    words = [f"{i:x}" for i in range(20000)]
+    counted = spark.createDataFrame([(w, i % 4, i % 7) for i, w in enumerate(words)], "w string, toxic long, ordinary long")
+    table = toxicity.table_of(counted)
+    held = toxicity.model_of(table)()
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")  # so that it comes in several partitions
+    try:
+        laid = toxicity.model_of(table, 0)()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert len(held.keys) == table.count() > 20000 and (np.diff(laid.keys) > 0).all()
+    assert np.array_equal(held.keys, laid.keys) and np.array_equal(held.values, laid.values)
+    assert np.array_equal(held.ratios([*words, "", "zzz"]), laid.ratios([*words, "", "zzz"]))
